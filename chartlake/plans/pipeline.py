@@ -1,0 +1,173 @@
+"""The pipeline run (OP-24): land -> scan -> stage -> dimensions (upsert) ->
+enrich -> fact -> marts, each materialised as the reference materialises it
+(views stay lazy, tables are written, incremental models are upserted).
+
+Everything is written under the cluster-shared folder named by
+``spark.checkpoint.dir`` (a written table also cuts lineage, so a lost
+executor only recomputes from the last written layer)."""
+from __future__ import annotations
+
+import hashlib
+import threading
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import operators as ops
+from ..session import shared_dir
+from ..sources.landing import read_raw_artists, read_raw_tracks, write_landing
+from . import binding
+from .tables import VersionedTable
+
+STG_TRACK_COLUMNS = [
+    "track_id", "track_name", "primary_artist_id", "album_id", "track_popularity",
+    "duration_ms", "explicit", "track_uri", "primary_artist_name", "primary_artist_uri",
+    "album_name", "album_release_date", "album_release_date_precision", "album_type",
+    "album_uri", "album_image_url", "snapshot_year", "snapshot_month", "snapshot_day",
+    "track_snapshot_date"]
+STG_ARTIST_COLUMNS = [
+    "artist_id", "artist_name", "artist_uri", "artist_popularity", "artist_genres",
+    "artist_follower_count", "artist_image_url", "snapshot_year", "snapshot_month",
+    "snapshot_day", "artist_snapshot_date"]
+FACT_COLUMNS = [
+    "track_snapshot_date", "track_id", "artist_id", "album_id", "track_name",
+    "track_popularity", "duration_ms", "explicit", "track_uri", "album_name",
+    "album_release_date_parsed", "album_type", "artist_name", "artist_popularity",
+    "artist_genres", "artist_uri", "artist_image_url"]
+
+
+def to_lines(raw: DataFrame) -> DataFrame:
+    """Raw rows -> (value = compact JSON of the item, zero-padded y/m/d)."""
+    item_cols = [c for c in raw.columns if c not in ("year", "month", "day")]
+    return raw.select(
+        F.to_json(F.struct(*item_cols), {"ignoreNullFields": "false"}).alias("value"),
+        F.lpad(F.col("year").cast("string"), 4, "0").alias("year"),
+        F.lpad(F.col("month").cast("string"), 2, "0").alias("month"),
+        F.lpad(F.col("day").cast("string"), 2, "0").alias("day"))
+
+
+class Workspace:
+    """Landing zone and materialised layers for one source directory."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        tag = hashlib.sha1(self.root.encode()).hexdigest()[:10]
+        self.base = f"{shared_dir(spark)}/chartlake/ws-{tag}"
+        self.tables = {n: VersionedTable(spark, f"{self.base}/{n}") for n in
+                       ("stg_tracks", "stg_artists", "dim_albums", "dim_artists",
+                        "fct_snapshot_top_items")}
+        self.landing = f"{self.base}/landing"
+        self._lock = threading.RLock()
+        self._landed = False
+
+    # -- OP-03 + OP-01/02 ----------------------------------------------------
+    def land(self) -> str:
+        """Backfill the landing zone from the binding (once)."""
+        with self._lock:
+            marker = VersionedTable(self.spark, f"{self.base}/landing_marker")
+            if not self._landed and not marker.exists():
+                for kind, raw in (("tracks", binding.raw_tracks(self.spark, self.root)),
+                                  ("artists", binding.raw_artists(self.spark, self.root))):
+                    lines = to_lines(raw)
+                    write_landing(lines, f"{self.landing}/{kind}",
+                                  partition_cols=["year", "month", "day"])
+                marker.write(self.spark.range(1))
+            self._landed = True
+        return self.landing
+
+    def raw_tracks(self) -> DataFrame:
+        return read_raw_tracks(self.spark, f"{self.land()}/tracks")
+
+    def raw_artists(self) -> DataFrame:
+        return read_raw_artists(self.spark, f"{self.land()}/artists")
+
+    # -- staging (views, materialised once, partitioned by snapshot date) ------
+    def stg_tracks(self) -> DataFrame:
+        t = self.tables["stg_tracks"]
+        with self._lock:
+            if not t.exists():
+                t.write(ops.stage_tracks(self.raw_tracks()), ["track_snapshot_date"])
+        return t.read().select(*STG_TRACK_COLUMNS)
+
+    def stg_artists(self) -> DataFrame:
+        t = self.tables["stg_artists"]
+        with self._lock:
+            if not t.exists():
+                t.write(ops.stage_artists(self.raw_artists()), ["artist_snapshot_date"])
+        return t.read().select(*STG_ARTIST_COLUMNS)
+
+    def details(self) -> DataFrame:
+        return binding.artist_details(self.spark, self.root)
+
+    # -- gold -------------------------------------------------------------------
+    def fact(self) -> DataFrame:
+        t = self.tables["fct_snapshot_top_items"]
+        with self._lock:
+            if not t.exists():
+                stg = self.stg_tracks()
+                f = ops.build_fact(stg, ops.dim_albums(stg), ops.dim_artists(self.stg_artists()))
+                t.write(f, ["track_snapshot_date"])
+        return t.read().select(*FACT_COLUMNS)
+
+
+_WORKSPACES: dict[tuple[str, str], Workspace] = {}
+_WS_LOCK = threading.Lock()
+
+
+def workspace(spark: SparkSession, root: str) -> Workspace:
+    key = (spark.sparkContext.applicationId, root.rstrip("/"))
+    with _WS_LOCK:
+        if key not in _WORKSPACES:
+            _WORKSPACES[key] = Workspace(spark, root)
+        return _WORKSPACES[key]
+
+
+# -- OP-24: a full run ----------------------------------------------------------
+def upsert_dimension(table: VersionedTable, full: DataFrame, new_rows: DataFrame,
+                     key: str) -> DataFrame:
+    """Incremental model: first run writes ``full``; later runs upsert the
+    newest rows per key into the committed version (new version + switch)."""
+    if not table.exists():
+        table.write(full)
+    else:
+        table.write(ops.upsert(table.read(), new_rows, key, check_unique=True))
+    return table.read()
+
+
+def run_pipeline(spark: SparkSession, root: str, out: str | None = None) -> dict[str, DataFrame]:
+    """Run the whole DAG in dependency order; returns every relation, each
+    read back from its written table (marts unsorted; see ``present``)."""
+    ws = workspace(spark, root)
+    base = out or ws.base
+    stg_t, stg_a = ws.stg_tracks(), ws.stg_artists()
+    newest_a = stg_a.agg(F.max("artist_snapshot_date")).scalar()
+    newest_t = stg_t.agg(F.max("track_snapshot_date")).scalar()
+    d_art = upsert_dimension(
+        VersionedTable(spark, f"{base}/run/dim_artists"), ops.dim_artists(stg_a),
+        ops.dim_artists(stg_a.filter(F.col("artist_snapshot_date") == newest_a)), "artist_id")
+    d_alb = upsert_dimension(
+        VersionedTable(spark, f"{base}/run/dim_albums"), ops.dim_albums(stg_t),
+        ops.dim_albums(stg_t.filter(F.col("track_snapshot_date") == newest_t)), "album_id")
+    # Enrichment runs between the artist dimension and the fact.
+    t_art = VersionedTable(spark, f"{base}/run/dim_artists")
+    t_art.write(ops.enrich_artists(stg_t, d_art, ws.details()))
+    d_art = t_art.read()
+    fact_t = VersionedTable(spark, f"{base}/run/fct_snapshot_top_items")
+    fact_t.write(ops.build_fact(stg_t, d_alb, d_art))
+    fact = fact_t.read()
+    dates = stg_t.filter(F.col("track_id").isNotNull()).select("track_snapshot_date")
+    marts = {
+        "mart_avg_popularity_trends": ops.popularity_trends(fact),
+        "mart_genre_distribution": ops.genre_distribution(fact),
+        "mart_track_vintages": ops.track_vintages(fact),
+        "mart_list_changes": ops.list_changes(stg_t, stg_a),
+    }
+    result = {"stg_top_tracks": stg_t, "stg_top_artists": stg_a, "dim_artists": d_art,
+              "dim_albums": d_alb, "fct_snapshot_top_items": fact}
+    for name, df in marts.items():
+        t = VersionedTable(spark, f"{base}/run/{name}")
+        t.write(df)
+        result[name] = t.read()
+    # The persistence mart is a view in the reference: left lazy.
+    result["mart_track_persistence"] = ops.track_persistence(fact, dates)
+    return result
