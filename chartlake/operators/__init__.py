@@ -1,7 +1,7 @@
 """DataFrame -> DataFrame operators."""
 from .dims import dim_albums, dim_artists
 from .enrich import (enrich_artists, enrichment_candidates, latest_snapshot,
-                     lookup_details, shape_details, snapshot_entities, zip_arrays)
+                     lookup_details, shape_details, snapshot_entities, to_parallel_arrays, zip_arrays)
 from .fact import build_fact
 from .latest import latest_by_key
 from .marts import (genre_distribution, list_changes, popularity_trends, present,

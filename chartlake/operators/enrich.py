@@ -63,6 +63,19 @@ def zip_arrays(df: DataFrame, arrays: Sequence[str], keep: Sequence[str] = (),
     return z.select(*out)
 
 
+def to_parallel_arrays(df: DataFrame, batch: str, fields: Sequence[str],
+                       order: str) -> DataFrame:
+    """Rows -> one payload row per ``batch`` holding one array per field, all
+    in ``order`` (the columnar shape of a batch lookup response). Callers
+    must choose a batch key with a bounded number of rows per batch."""
+    packed = F.array_sort(F.collect_list(F.struct(order, *[f for f in fields if f != order])))
+    agg = df.groupBy(batch).agg(packed.alias("__rows"))
+    def field(name):
+        return F.transform("__rows", lambda x: x.getField(name)).alias(name)
+
+    return agg.select(batch, *[field(f) for f in fields])
+
+
 def genres_array(col) -> F.Column:
     """JSON text (``'["a","b"]'``) or an array -> ``array<string>`` with the
     elements unquoted."""

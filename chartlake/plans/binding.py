@@ -39,7 +39,8 @@ def release_fields(o_orderdate: str = "o_orderdate", price: str = "o_totalprice"
     y = F.year(o_orderdate) - F.floor(F.col(price) / 50000).cast("int") * 10
     m, d = F.month(o_orderdate), F.dayofmonth(o_orderdate)
     p = F.col(priority)
-    text = (F.when(p == "1-URGENT", F.format_string("%04d-%02d-%02d", y, m, d))
+    text = (F.when(F.col(o_orderdate).isNull(), F.lit(None).cast("string"))
+             .when(p == "1-URGENT", F.format_string("%04d-%02d-%02d", y, m, d))
              .when(p == "2-HIGH", F.format_string("%04d-%02d", y, m))
              .otherwise(F.format_string("%04d", y)))
     prec = (F.when(p == "1-URGENT", "day").when(p == "2-HIGH", "month")
