@@ -52,7 +52,8 @@ class Workspace:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         tag = hashlib.sha1(self.root.encode()).hexdigest()[:10]
-        self.base = f"{shared_dir(spark)}/chartlake/ws-{tag}"
+        app = spark.sparkContext.applicationId
+        self.base = f"{shared_dir(spark)}/chartlake/{app}/ws-{tag}"
         self.tables = {n: VersionedTable(spark, f"{self.base}/{n}") for n in
                        ("stg_tracks", "stg_artists", "dim_albums", "dim_artists",
                         "fct_snapshot_top_items")}
