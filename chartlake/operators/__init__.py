@@ -8,6 +8,6 @@ from .marts import (genre_distribution, list_changes, popularity_trends, present
                     share_of_total, streaks, track_persistence, track_vintages)
 from .staging import stage_artists, stage_tracks
 from .topk import snapshot_top_k
-from .upsert import upsert
+from .upsert import upsert, upsert_latest
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 # dates rather than with the data (one row per date).
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# File-based size estimates are on-disk (compressed) bytes; allow for a
+# decompression factor before trusting them as an in-memory bound.
+ESTIMATE_SAFETY = 10
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -26,7 +29,7 @@ def broadcast_if_bounded(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     cached and its rows counted up to ``max_rows + 1``; only a frame that is
     proven small is hinted. Anything larger is returned un-hinted so the
     planner (and AQE at runtime) picks a shuffle join."""
-    if estimated_bytes(small) <= max_bytes:
+    if estimated_bytes(small) * ESTIMATE_SAFETY <= max_bytes:
         return F.broadcast(small)
     small = small.cache()
     if small.limit(max_rows + 1).count() <= max_rows:

@@ -1,0 +1,3 @@
+from .dimensions import start_dimension_stream
+
+__all__ = ["start_dimension_stream"]
