@@ -46,6 +46,9 @@ class VersionedTable:
         """Write ``df`` as a new version and commit it. Returns its path."""
         name = f"v-{uuid.uuid4().hex[:16]}"
         path = f"{self.root}/{name}"
+        if partition_by:
+            # few files per partition folder, hot partitions split (AQE).
+            df = df.hint("rebalance", *partition_by)
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)

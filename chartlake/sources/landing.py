@@ -61,5 +61,9 @@ def write_landing(lines: DataFrame, root: str, run_ts=None,
         partition_cols = partition_columns(run_ts)
     cols = [F.col(c) if isinstance(c, str) else c for c in partition_cols]
     out = lines.select("value", *[c.alias(n) for c, n in zip(cols, PARTITIONS)])
+    # REBALANCE: AQE clusters rows by partition so each task writes few
+    # partition folders (no file explosion), and splits a hot snapshot over
+    # several tasks instead of sending it to one.
+    out = out.hint("rebalance", *PARTITIONS)
     (out.write.mode("append").partitionBy(*PARTITIONS)
         .option("compression", "none").text(root))
