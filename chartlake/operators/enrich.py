@@ -19,21 +19,28 @@ def latest_snapshot(df: DataFrame, date: str = "track_snapshot_date") -> DataFra
     return df.agg(F.max(date).alias("latest_snapshot_date"))
 
 
+def _as_of(stg_tracks: DataFrame, date: str, as_of):
+    """The snapshot to enrich: ``as_of`` (a backfill date parameter) or the
+    newest one as a scalar subquery (a partition filter either way)."""
+    if as_of is None:
+        return latest_snapshot(stg_tracks, date).scalar()
+    return as_of if isinstance(as_of, F.Column) else F.lit(as_of).cast("date")
+
+
 def snapshot_entities(stg_tracks: DataFrame, date: str = "track_snapshot_date",
-                      entity: str = "primary_artist_id") -> DataFrame:
-    """Distinct non-NULL entity ids in the newest snapshot. The date is a
-    scalar subquery (a partition filter on a date-partitioned table)."""
-    newest = latest_snapshot(stg_tracks, date).scalar()
+                      entity: str = "primary_artist_id", as_of=None) -> DataFrame:
+    """Distinct non-NULL entity ids in the newest snapshot (or ``as_of``)."""
+    newest = _as_of(stg_tracks, date, as_of)
     return (stg_tracks.filter((F.col(date) == newest) & F.col(entity).isNotNull())
                       .select(F.col(entity).alias("artist_id")).distinct())
 
 
 def enrichment_candidates(stg_tracks: DataFrame, dim: DataFrame,
-                          key: str = "artist_id") -> DataFrame:
+                          key: str = "artist_id", as_of=None) -> DataFrame:
     """Entities of the newest snapshot absent from the dimension (left-anti
     join; the reference's driver-side set difference)."""
     known = dim.select(F.col(key).alias("artist_id")).filter(F.col("artist_id").isNotNull())
-    return snapshot_entities(stg_tracks).join(known, "artist_id", "left_anti")
+    return snapshot_entities(stg_tracks, as_of=as_of).join(known, "artist_id", "left_anti")
 
 
 def lookup_details(ids: DataFrame, details: DataFrame, id_col: str = "artist_id",
@@ -94,9 +101,11 @@ def shape_details(found: DataFrame, snapshot_date) -> DataFrame:
         snapshot_date.cast("date").alias("last_seen_artist_snapshot_date"))
 
 
-def enrich_artists(stg_tracks: DataFrame, dim: DataFrame, details: DataFrame) -> DataFrame:
+def enrich_artists(stg_tracks: DataFrame, dim: DataFrame, details: DataFrame,
+                   as_of=None) -> DataFrame:
     """candidates -> lookup -> shape -> upsert into the dimension. Returns the
-    new dimension (lazy); with no candidates it equals ``dim``."""
-    found = lookup_details(enrichment_candidates(stg_tracks, dim), details)
-    newest = latest_snapshot(stg_tracks).scalar()
-    return upsert(dim, shape_details(found, newest), "artist_id")
+    new dimension (lazy); with no candidates it equals ``dim``. ``as_of``
+    backfills an older snapshot instead of the newest."""
+    found = lookup_details(enrichment_candidates(stg_tracks, dim, as_of=as_of), details)
+    snap = _as_of(stg_tracks, "track_snapshot_date", as_of)
+    return upsert(dim, shape_details(found, snap), "artist_id")

@@ -60,6 +60,7 @@ class Workspace:
         self.landing = f"{self.base}/landing"
         self._lock = threading.RLock()
         self._landed = False
+        self._frames: dict[str, DataFrame] = {}
 
     # -- OP-03 + OP-01/02 ----------------------------------------------------
     def land(self) -> str:
@@ -83,32 +84,35 @@ class Workspace:
         return read_raw_artists(self.spark, f"{self.land()}/artists")
 
     # -- staging (views, materialised once, partitioned by snapshot date) ------
-    def stg_tracks(self) -> DataFrame:
-        t = self.tables["stg_tracks"]
+    def _materialised(self, name: str, build, partition: str, columns: list[str]) -> DataFrame:
+        """Write once, then hand out the same DataFrame (its file index is
+        listed once, not on every query)."""
         with self._lock:
-            if not t.exists():
-                t.write(ops.stage_tracks(self.raw_tracks()), ["track_snapshot_date"])
-        return t.read().select(*STG_TRACK_COLUMNS)
+            if name not in self._frames:
+                t = self.tables[name]
+                if not t.exists():
+                    t.write(build(), [partition])
+                self._frames[name] = t.read().select(*columns)
+            return self._frames[name]
+
+    def stg_tracks(self) -> DataFrame:
+        return self._materialised("stg_tracks", lambda: ops.stage_tracks(self.raw_tracks()),
+                                  "track_snapshot_date", STG_TRACK_COLUMNS)
 
     def stg_artists(self) -> DataFrame:
-        t = self.tables["stg_artists"]
-        with self._lock:
-            if not t.exists():
-                t.write(ops.stage_artists(self.raw_artists()), ["artist_snapshot_date"])
-        return t.read().select(*STG_ARTIST_COLUMNS)
+        return self._materialised("stg_artists", lambda: ops.stage_artists(self.raw_artists()),
+                                  "artist_snapshot_date", STG_ARTIST_COLUMNS)
 
     def details(self) -> DataFrame:
         return binding.artist_details(self.spark, self.root)
 
     # -- gold -------------------------------------------------------------------
     def fact(self) -> DataFrame:
-        t = self.tables["fct_snapshot_top_items"]
-        with self._lock:
-            if not t.exists():
-                stg = self.stg_tracks()
-                f = ops.build_fact(stg, ops.dim_albums(stg), ops.dim_artists(self.stg_artists()))
-                t.write(f, ["track_snapshot_date"])
-        return t.read().select(*FACT_COLUMNS)
+        def build():
+            stg = self.stg_tracks()
+            return ops.build_fact(stg, ops.dim_albums(stg), ops.dim_artists(self.stg_artists()))
+        return self._materialised("fct_snapshot_top_items", build, "track_snapshot_date",
+                                  FACT_COLUMNS)
 
 
 _WORKSPACES: dict[tuple[str, str], Workspace] = {}

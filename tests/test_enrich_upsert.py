@@ -102,3 +102,11 @@ def test_parallel_arrays_round_trip(spark):
     p = ops.to_parallel_arrays(df, "g", ["id", "v"], order="id")
     assert rows(p) == [(1, ["a", "b"], [1, 2]), (2, ["c"], [3])]
     assert rows(ops.zip_arrays(p, ["id", "v"], pos=None)) == [("a", 1), ("b", 2), ("c", 3)]
+
+
+def test_enrich_backfill_as_of(spark, stg):
+    st, dim = stg
+    assert rows(ops.snapshot_entities(st, as_of=D(2024, 1, 1))) == [("A1",), ("A4",)]
+    det = _details(spark, [("A4", "old", "artist:A4", 3, [], [])])
+    out = {r.artist_id: r for r in ops.enrich_artists(st, dim, det, as_of=D(2024, 1, 1)).collect()}
+    assert out["A4"].last_seen_artist_snapshot_date == D(2024, 1, 1)

@@ -67,3 +67,10 @@ def test_snapshot_top_k(spark):
     with pytest.raises(ValueError):
         check_kind("playlists")
     assert check_kind("tracks") == "tracks"
+
+
+def test_zero_byte_file_reads_as_no_rows(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "tracks", "year=2024", "month=01", "day=02")
+    os.makedirs(d)
+    open(os.path.join(d, "top_tracks_empty.json"), "w").close()     # empty feed (Q20)
+    assert read_raw_tracks(spark, os.path.join(tmp_dir, "tracks")).count() == 0

@@ -127,3 +127,22 @@ def test_streak_plan_has_no_single_partition_exchange_on_rows(spark):
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
     # the only single-partition exchanges allowed are over the distinct dates
     s.collect()
+
+
+def test_same_day_rename_splits_streak_deterministically(spark):
+    # Q8: row_number partitions by id while the streak groups by (id, name);
+    # the name tie-break makes the split reproducible.
+    f, _, _ = fact_from(spark, [
+        track("T1", "a", "2024-01-01"), track("T1", "a", "2024-01-02"),
+        track("T1", "b", "2024-01-02"), track("T1", "b", "2024-01-03"),
+    ], [])
+    # ranks 1,2,2,3 minus row numbers 1,2,3,4 -> groups (a: 0,0) and (b: -1,-1)
+    assert rows(ops.track_persistence(f)) == [("T1", "b", 2)]
+
+
+def test_present_orders_marts(spark):
+    df = spark.createDataFrame([(D(2024, 1, 1), "1990s"), (D(2024, 1, 2), "Older or Unknown"),
+                                (D(2024, 1, 2), "2020s")], "track_snapshot_date date, release_decade string")
+    got = [tuple(r) for r in ops.present("mart_track_vintages", df).collect()]
+    assert got == [(D(2024, 1, 2), "2020s"), (D(2024, 1, 2), "Older or Unknown"),
+                   (D(2024, 1, 1), "1990s")]
