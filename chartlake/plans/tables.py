@@ -1,14 +1,16 @@
 """Versioned Parquet tables: every write goes to a new folder, then a small
-pointer file is switched. Overwriting a path while a plan still reads it
+commit marker names it. Overwriting a path while a plan still reads it
 fails half-way and loses the data; a new version never does, and readers of
-the old version keep working."""
+the old version keep working. Nothing is deleted or renamed: the current
+version is the newest committed one (names sort by commit time)."""
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-POINTER = "_CURRENT"
+MARKER = "_COMMITTED_"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -22,16 +24,12 @@ class VersionedTable:
         self.spark, self.root = spark, root.rstrip("/")
 
     def current(self) -> str | None:
-        fs, p, jvm = _fs(self.spark, f"{self.root}/{POINTER}")
+        fs, p, jvm = _fs(self.spark, self.root)
         if not fs.exists(p):
             return None
-        stream = fs.open(p)
-        try:
-            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream))
-            line = reader.readLine()
-        finally:
-            stream.close()
-        return f"{self.root}/{line.strip()}" if line else None
+        names = [st.getPath().getName() for st in fs.listStatus(p)]
+        done = sorted(n[len(MARKER):] for n in names if n.startswith(MARKER))
+        return f"{self.root}/{done[-1]}" if done else None
 
     def exists(self) -> bool:
         return self.current() is not None
@@ -44,7 +42,7 @@ class VersionedTable:
 
     def write(self, df: DataFrame, partition_by: list[str] | None = None) -> str:
         """Write ``df`` as a new version and commit it. Returns its path."""
-        name = f"v-{uuid.uuid4().hex[:16]}"
+        name = f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
         path = f"{self.root}/{name}"
         if partition_by:
             # few files per partition folder, hot partitions split (AQE).
@@ -57,14 +55,6 @@ class VersionedTable:
         return path
 
     def _commit(self, name: str) -> None:
-        # Write the pointer beside, then rename over: readers see old or new.
-        fs, tmp, jvm = _fs(self.spark, f"{self.root}/.{POINTER}.{name}")
-        out = fs.create(tmp, True)
-        try:
-            out.write(bytearray(name.encode()))
-        finally:
-            out.close()
-        _, final, _ = _fs(self.spark, f"{self.root}/{POINTER}")
-        if fs.exists(final):
-            fs.delete(final, False)
-        fs.rename(tmp, final)
+        # An empty marker file, created only after the data write succeeded.
+        fs, marker, _ = _fs(self.spark, f"{self.root}/{MARKER}{name}")
+        fs.create(marker, False).close()

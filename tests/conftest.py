@@ -19,8 +19,13 @@ def spark():
 
 
 @pytest.fixture
-def tmp_dir():
-    return tempfile.mkdtemp(prefix="chartlake-t-")
+def tmp_dir(spark):
+    """A fresh folder under the session's shared folder."""
+    import uuid
+    from chartlake.session import shared_dir
+    d = f"{shared_dir(spark)}/tests/{uuid.uuid4().hex[:12]}"
+    os.makedirs(d)
+    return d
 
 
 def rows(df, *cols):
