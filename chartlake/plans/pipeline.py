@@ -84,14 +84,15 @@ class Workspace:
         return read_raw_artists(self.spark, f"{self.land()}/artists")
 
     # -- staging (views, materialised once, partitioned by snapshot date) ------
-    def _materialised(self, name: str, build, partition: str, columns: list[str]) -> DataFrame:
+    def _materialised(self, name: str, build, partition: str | None,
+                      columns: list[str]) -> DataFrame:
         """Write once, then hand out the same DataFrame (its file index is
         listed once, not on every query)."""
         with self._lock:
             if name not in self._frames:
                 t = self.tables[name]
                 if not t.exists():
-                    t.write(build(), [partition])
+                    t.write(build(), [partition] if partition else None)
                 self._frames[name] = t.read().select(*columns)
             return self._frames[name]
 
@@ -103,14 +104,22 @@ class Workspace:
         return self._materialised("stg_artists", lambda: ops.stage_artists(self.raw_artists()),
                                   "artist_snapshot_date", STG_ARTIST_COLUMNS)
 
+    def dim_artists(self) -> DataFrame:
+        """The artist dimension as a table (incremental model in the reference)."""
+        return self._materialised("dim_artists", lambda: ops.dim_artists(self.stg_artists()),
+                                  None, ops.dims.DIM_ARTIST_COLUMNS)
+
+    def dim_albums(self) -> DataFrame:
+        return self._materialised("dim_albums", lambda: ops.dim_albums(self.stg_tracks()),
+                                  None, ops.dims.DIM_ALBUM_COLUMNS)
+
     def details(self) -> DataFrame:
         return binding.artist_details(self.spark, self.root)
 
     # -- gold -------------------------------------------------------------------
     def fact(self) -> DataFrame:
         def build():
-            stg = self.stg_tracks()
-            return ops.build_fact(stg, ops.dim_albums(stg), ops.dim_artists(self.stg_artists()))
+            return ops.build_fact(self.stg_tracks(), self.dim_albums(), self.dim_artists())
         return self._materialised("fct_snapshot_top_items", build, "track_snapshot_date",
                                   FACT_COLUMNS)
 

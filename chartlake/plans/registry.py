@@ -159,7 +159,7 @@ def mart_track_persistence(spark, root):
     return ops.track_persistence(ws.fact(), dates)
 
 
-# -- enrichment -------------------------------------------------------------------
+# -- enrichment (reads the dimension table, as the reference's MERGE does) --------
 def latest_snapshot(spark, root):
     return ops.latest_snapshot(workspace(spark, root).stg_tracks())
 
@@ -170,12 +170,12 @@ def snapshot_entities(spark, root):
 
 def enrichment_candidates(spark, root):
     ws = workspace(spark, root)
-    return ops.enrichment_candidates(ws.stg_tracks(), ops.dim_artists(ws.stg_artists()))
+    return ops.enrichment_candidates(ws.stg_tracks(), ws.dim_artists())
 
 
 def lookup_details(spark, root):
     ws = workspace(spark, root)
-    cand = ops.enrichment_candidates(ws.stg_tracks(), ops.dim_artists(ws.stg_artists()))
+    cand = ops.enrichment_candidates(ws.stg_tracks(), ws.dim_artists())
     found = ops.lookup_details(cand, ws.details())
     return found.select("id", "name", "uri", "popularity", _txt("genres").alias("genres"),
                         first_field("images", "url").alias("image_url"))
@@ -195,7 +195,7 @@ def zip_arrays(spark, root):
 
 def enrich_artists(spark, root):
     ws = workspace(spark, root)
-    dim = ops.enrich_artists(ws.stg_tracks(), ops.dim_artists(ws.stg_artists()), ws.details())
+    dim = ops.enrich_artists(ws.stg_tracks(), ws.dim_artists(), ws.details())
     return _with_txt(dim, "artist_genres")
 
 
