@@ -74,9 +74,9 @@ dim_albums AS (
         WHEN 'month' THEN CAST(try_strptime(album_release_date, '%Y-%m') AS DATE)
         WHEN 'year' THEN CAST(try_strptime(album_release_date, '%Y') AS DATE)
         ELSE NULL END AS album_release_date_parsed,
-      row_number() OVER (PARTITION BY album_id ORDER BY track_snapshot_date DESC,
-        album_name ASC NULLS FIRST, album_release_date ASC NULLS FIRST,
-        album_release_date_precision ASC NULLS FIRST, album_type ASC NULLS FIRST) AS rn
+      row_number() OVER (PARTITION BY album_id ORDER BY track_snapshot_date DESC NULLS LAST,
+        album_name DESC NULLS LAST, album_release_date DESC NULLS LAST,
+        album_release_date_precision DESC NULLS LAST, album_type DESC NULLS LAST) AS rn
     FROM stg_top_tracks WHERE album_id IS NOT NULL) x
   WHERE rn = 1
 )"""
@@ -86,10 +86,10 @@ dim_artists AS (
   SELECT artist_id, artist_name, artist_popularity, artist_genres, artist_uri,
          artist_image_url, artist_snapshot_date AS last_seen_artist_snapshot_date
   FROM (
-    SELECT *, row_number() OVER (PARTITION BY artist_id ORDER BY artist_snapshot_date DESC,
-        artist_name ASC NULLS FIRST, artist_popularity ASC NULLS FIRST,
-        artist_genres ASC NULLS FIRST, artist_uri ASC NULLS FIRST,
-        artist_image_url ASC NULLS FIRST) AS rn
+    SELECT *, row_number() OVER (PARTITION BY artist_id ORDER BY artist_snapshot_date DESC NULLS LAST,
+        artist_name DESC NULLS LAST, artist_popularity DESC NULLS LAST,
+        artist_genres DESC NULLS LAST, artist_uri DESC NULLS LAST,
+        artist_image_url DESC NULLS LAST) AS rn
     FROM stg_top_artists WHERE artist_id IS NOT NULL) x
   WHERE rn = 1
 )"""
@@ -163,11 +163,11 @@ DECADE_SQL = """CASE
 
 TOPK = """
 ranked AS (
-  SELECT snapshot_date, item_id, score,
+  SELECT snapshot_date, 'T' || l_partkey AS item_id, score,
          row_number() OVER (PARTITION BY snapshot_date ORDER BY score DESC NULLS LAST,
-                            item_id ASC NULLS LAST) AS item_rank
+                            l_partkey ASC NULLS LAST) AS item_rank
   FROM (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS snapshot_date,
-               'T' || l_partkey AS item_id, CAST(sum(l_quantity) AS BIGINT) AS score
+               l_partkey, CAST(sum(l_quantity) AS BIGINT) AS score
         FROM lineitem GROUP BY 1, 2) a
 )"""
 

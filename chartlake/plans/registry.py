@@ -53,13 +53,14 @@ def scan_artists(spark, root):
 
 
 def _top_tracks(spark, root):
+    """Top-10 parts per ship month by quantity (ties: smaller part key).
+    Ranked on the numeric key; the text id is built for the k survivors only."""
     li = load_table(spark, root, "lineitem")
-    x = li.select(snapshot_of("l_shipdate").alias("snapshot_date"),
-                  F.concat(F.lit("T"), F.col("l_partkey").cast("string")).alias("item_id"),
-                  "l_quantity")
-    t = ops.snapshot_top_k(x, "snapshot_date", "item_id", "l_quantity", k=10)
-    return t.select("snapshot_date", "item_id", F.col("score").cast("bigint").alias("score"),
-                    "item_rank")
+    x = li.select(snapshot_of("l_shipdate").alias("snapshot_date"), "l_partkey", "l_quantity")
+    t = ops.snapshot_top_k(x, "snapshot_date", "l_partkey", "l_quantity", k=10)
+    return t.select("snapshot_date",
+                    F.concat(F.lit("T"), F.col("l_partkey").cast("string")).alias("item_id"),
+                    F.col("score").cast("bigint").alias("score"), "item_rank")
 
 
 def snapshot_top_k(spark, root):
@@ -98,8 +99,7 @@ def latest_by_key(spark, root):
     li = load_table(spark, root, "lineitem").select(
         "l_partkey", F.col("l_shipdate").cast("date").alias("ship_date"),
         "l_orderkey", "l_linenumber", "l_quantity")
-    return ops.latest_by_key(li, ["l_partkey"], "ship_date",
-                             [F.col("l_orderkey").desc(), F.col("l_linenumber").desc()])
+    return ops.latest_by_key(li, ["l_partkey"], "ship_date", ["l_orderkey", "l_linenumber"])
 
 
 def dim_albums(spark, root):

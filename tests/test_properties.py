@@ -18,14 +18,18 @@ triples = st.lists(st.tuples(st.integers(0, 5), st.integers(0, 9),
 @SETTINGS
 @given(data=triples)
 def test_latest_by_key_matches_brute_force(spark, data):
-    df = spark.createDataFrame(data, "k int, d int, v string")
-    got = sorted(tuple(r) for r in ops.latest_by_key(df, ["k"], "d").collect())
+    df = spark.createDataFrame(data or [(0, 0, "a")], "k int, d int, v string")
+    if not data:
+        df = df.limit(0)
     best = {}
     for k, d, v in data:
-        key = (-d, (v is not None, v or ""))          # newest first, then NULLs first
-        if k not in best or key < best[k][0]:
+        key = (d, (v is not None, v or ""))           # newest, then greatest v, NULL lowest
+        if k not in best or key > best[k][0]:
             best[k] = (key, (k, d, v))
-    assert got == sorted(b[1] for b in best.values())
+    expect = sorted(b[1] for b in best.values())
+    for method in ("aggregate", "window"):
+        got = sorted(tuple(r) for r in ops.latest_by_key(df, ["k"], "d", method=method).collect())
+        assert got == expect
 
 
 @SETTINGS

@@ -77,14 +77,18 @@ def test_latest_by_key_tie_break_is_deterministic(spark):
         [(1, D(2024, 1, 2), "b"), (1, D(2024, 1, 2), "a"), (1, D(2024, 1, 1), "z"),
          (None, D(2024, 1, 3), "n")], "k int, d date, v string")
     for parts in (1, 3):
-        got = rows(ops.latest_by_key(df.repartition(parts), ["k"], "d"))
-        assert got == [(1, D(2024, 1, 2), "a")]
+        for method in ("aggregate", "window"):
+            got = rows(ops.latest_by_key(df.repartition(parts), ["k"], "d", method=method))
+            assert got == [(1, D(2024, 1, 2), "b")]      # tie -> greatest remaining column
 
 
-def test_latest_by_key_plans_window_group_limit(spark):
+def test_latest_by_key_plans_prune_before_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 7).alias("k"), F.col("id").alias("d"))
-    plan = ops.latest_by_key(df, ["k"], "d")._jdf.queryExecution().executedPlan().toString()
+    plan = ops.latest_by_key(df, ["k"], "d", method="window")._jdf.queryExecution() \
+        .executedPlan().toString()
     assert "WindowGroupLimit" in plan
+    plan = ops.latest_by_key(df, ["k"], "d")._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in plan
 
 
 def test_fact_left_joins(raw_t, raw_a):
