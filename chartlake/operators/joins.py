@@ -14,10 +14,14 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 ESTIMATE_SAFETY = 10
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's upper-bound size estimate of ``df`` (no job is run)."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (no job is run); None when the
+    session does not expose it."""
+    try:
+        stats = df._jdf.queryExecution().optimizedPlan().stats()
+        return int(str(stats.sizeInBytes()))
+    except Exception:  # e.g. a Spark Connect session
+        return None
 
 
 def broadcast_if_bounded(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
@@ -29,7 +33,8 @@ def broadcast_if_bounded(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     cached and its rows counted up to ``max_rows + 1``; only a frame that is
     proven small is hinted. Anything larger is returned un-hinted so the
     planner (and AQE at runtime) picks a shuffle join."""
-    if estimated_bytes(small) * ESTIMATE_SAFETY <= max_bytes:
+    est = estimated_bytes(small)
+    if est is not None and est * ESTIMATE_SAFETY <= max_bytes:
         return F.broadcast(small)
     small = small.cache()
     if small.limit(max_rows + 1).count() <= max_rows:

@@ -45,11 +45,17 @@ def shared_dir(spark: SparkSession) -> str:
     we register it as the checkpoint dir so ``checkpoint()`` uses it too."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.sparkContext._jsc.sc().getCheckpointDir()
-        d = d.get() if d.isDefined() else None
+        try:
+            cd = spark.sparkContext._jsc.sc().getCheckpointDir()
+            d = cd.get() if cd.isDefined() else None
+        except Exception:
+            d = None
     if not d:
         d = tempfile.mkdtemp(prefix="chartlake-")
-        spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.sparkContext.setCheckpointDir(d)
+        except Exception:
+            pass
     return d.rstrip("/")
 
 

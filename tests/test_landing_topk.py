@@ -74,3 +74,20 @@ def test_zero_byte_file_reads_as_no_rows(spark, tmp_dir):
     os.makedirs(d)
     open(os.path.join(d, "top_tracks_empty.json"), "w").close()     # empty feed (Q20)
     assert read_raw_tracks(spark, os.path.join(tmp_dir, "tracks")).count() == 0
+
+
+def test_ingest_run_writes_top_k_and_reads_back(spark, tmp_dir):
+    from chartlake.sources import ingest_run
+    from builders import raw_tracks_df
+    raw = raw_tracks_df(spark, [track(f"T{i}", f"n{i}", "2024-01-01", popularity=i)
+                                for i in range(15)])
+    items = raw.drop("year", "month", "day").withColumn("score", F.col("popularity"))
+    run = dt.datetime(2025, 4, 10, 8, 30, 0)
+    ingest_run(items, "tracks", "score", tmp_dir, run, k=10)
+    st = ops.stage_tracks(read_raw_tracks(spark, os.path.join(tmp_dir, "tracks")))
+    got = sorted(r.track_id for r in st.collect())
+    assert got == sorted(f"T{i}" for i in range(5, 15))
+    assert {r.track_snapshot_date for r in st.collect()} == {D(2025, 4, 10)}
+    assert os.path.isdir(os.path.join(tmp_dir, "tracks", "year=2025", "month=04", "day=10"))
+    with pytest.raises(ValueError):
+        ingest_run(items, "albums", "score", tmp_dir, run)
