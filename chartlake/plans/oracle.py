@@ -164,8 +164,8 @@ DECADE_SQL = """CASE
 TOPK = """
 ranked AS (
   SELECT snapshot_date, 'T' || l_partkey AS item_id, score,
-         row_number() OVER (PARTITION BY snapshot_date ORDER BY score DESC NULLS LAST,
-                            l_partkey ASC NULLS LAST) AS item_rank
+         CAST(row_number() OVER (PARTITION BY snapshot_date ORDER BY score DESC NULLS LAST,
+                                 l_partkey ASC NULLS LAST) AS INTEGER) AS item_rank
   FROM (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS snapshot_date,
                l_partkey, CAST(sum(l_quantity) AS BIGINT) AS score
         FROM lineitem GROUP BY 1, 2) a
@@ -193,7 +193,8 @@ FROM stg_top_artists"""
     q["landing_items"] = _with(TOPK) + """
 SELECT printf('%04d', year(snapshot_date)) AS year, printf('%02d', month(snapshot_date)) AS month,
        printf('%02d', day(snapshot_date)) AS day,
-       to_json(struct_pack(item_rank := item_rank, id := item_id, score := score)) AS value
+       CAST(to_json(struct_pack(item_rank := item_rank, id := item_id, score := score)) AS VARCHAR)
+         AS value
 FROM ranked WHERE item_rank <= 10"""
     q["stg_top_tracks"] = _with(STG_TRACKS) + "SELECT * FROM stg_top_tracks"
     q["stg_top_artists"] = _with(STG_ARTISTS) + f"""
