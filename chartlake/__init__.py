@@ -4,7 +4,7 @@ Layers:
   sources/    landing-zone NDJSON scan and sink, parquet table loading
   functions/  column expressions (safe indexing, partial dates, decades)
   operators/  DataFrame -> DataFrame operators (staging, dims, fact, marts, enrichment)
-  plans/      the pipeline run (materialisation) and the scale binding
+  plans/      the model run (materialisation), the scale binding, the query registry
   streaming/  incremental landing -> dimension upsert with Structured Streaming
 """
 

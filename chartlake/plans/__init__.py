@@ -1,3 +1,3 @@
-from .pipeline import run_pipeline, workspace
+from .models import run_models, workspace
 
-__all__ = ["run_pipeline", "workspace"]
+__all__ = ["run_models", "workspace"]

@@ -1,4 +1,4 @@
-"""The pipeline run (OP-24): land -> scan -> stage -> dimensions (upsert) ->
+"""The model run (OP-24): land -> scan -> stage -> dimensions (upsert) ->
 enrich -> fact -> marts, each materialised as the reference materialises it
 (views stay lazy, tables are written, incremental models are upserted).
 
@@ -148,7 +148,7 @@ def upsert_dimension(table: VersionedTable, full: DataFrame, new_rows: DataFrame
     return table.read()
 
 
-def run_pipeline(spark: SparkSession, root: str, out: str | None = None) -> dict[str, DataFrame]:
+def run_models(spark: SparkSession, root: str, out: str | None = None) -> dict[str, DataFrame]:
     """Run the whole DAG in dependency order; returns every relation, each
     read back from its written table (marts unsorted; see ``present``)."""
     ws = workspace(spark, root)

@@ -15,7 +15,7 @@ from ..functions import first_field, parse_partial_date
 from ..sources.landing import landing_items
 from ..sources.tables import load_table
 from .binding import snapshot_of
-from .pipeline import workspace
+from .models import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 

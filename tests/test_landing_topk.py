@@ -43,7 +43,7 @@ def test_landing_empty_feed_writes_nothing(spark, tmp_dir):
 
 
 def test_scan_partition_filter(spark, tmp_dir):
-    from chartlake.plans.pipeline import to_lines
+    from chartlake.plans.models import to_lines
     from builders import raw_tracks_df
     raw = raw_tracks_df(spark, [track("T1", "a", "2024-01-01"), track("T2", "b", "2024-02-01")])
     root = os.path.join(tmp_dir, "t")

@@ -1,17 +1,17 @@
 from pyspark.sql import functions as F
 
-from chartlake.plans import run_pipeline
+from chartlake.plans import run_models
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_pipeline_rerun_is_stable(spark):
-    first = run_pipeline(spark, SF)
+def test_models_rerun_is_stable(spark):
+    first = run_models(spark, SF)
     a1 = sorted(map(tuple, first["dim_albums"].collect()))
     r1 = sorted(tuple(r) for r in first["dim_artists"].select(
         "artist_id", "artist_name", "last_seen_artist_snapshot_date").collect())
     m1 = sorted(map(tuple, first["mart_track_persistence"].collect()))
-    second = run_pipeline(spark, SF)          # incremental path: upsert into committed versions
+    second = run_models(spark, SF)          # incremental path: upsert into committed versions
     assert sorted(map(tuple, second["dim_albums"].collect())) == a1
     assert sorted(tuple(r) for r in second["dim_artists"].select(
         "artist_id", "artist_name", "last_seen_artist_snapshot_date").collect()) == r1

@@ -47,7 +47,7 @@ def test_every_query_has_oracle():
     assert set(queries()) == set(oracle_sql())
 
 
-def test_entry_pipeline(spark):
+def test_entry_runs_all_models(spark):
     from __spark_entry__ import entry
     df = entry(spark)
     assert df.columns == ["track_snapshot_date", "genre", "track_count", "total_tracks",

@@ -1,7 +1,7 @@
 import datetime as dt
 import os
 
-from chartlake.plans.pipeline import to_lines
+from chartlake.plans.models import to_lines
 from chartlake.plans.tables import VersionedTable
 from chartlake.sources import write_landing
 from chartlake.streaming import start_dimension_stream
