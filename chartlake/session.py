@@ -39,6 +39,24 @@ def get_session(master: str | None = None, cores: int | None = None,
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int,
+               target_partition_bytes: int = 128 * 1024 * 1024) -> dict[str, str]:
+    """Shuffle sizing for a cluster run: enough initial shuffle partitions
+    that each holds about ``target_partition_bytes`` of the input (at least
+    2 per core), AQE coalescing down from there to the advisory size, and
+    skew-join splitting of any partition 5x the median and above 256 MiB.
+    Pass the result as ``extra`` to ``get_session`` (or spark-submit --conf)."""
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 * 1024),
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared working folder: ``spark.checkpoint.dir`` from the
     session. Only when it is unset (local runs, tests) do we make one, and

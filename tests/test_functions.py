@@ -54,3 +54,10 @@ def test_decade_rank_sorts_newest_first(spark):
     assert got == ["2020s", "1990s", "Older or Unknown"]
     # a plain text sort would not give this order
     assert got != sorted(got, reverse=True)
+
+
+def test_scale_conf_sizes_partitions():
+    from chartlake.session import scale_conf
+    c = scale_conf(100 * 1024 ** 4, 8000)            # 100 TiB on 8000 cores
+    assert int(c["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (128 * 1024 ** 2)
+    assert int(scale_conf(1024, 8)["spark.sql.shuffle.partitions"]) == 16

@@ -53,3 +53,25 @@ def test_entry_runs_all_models(spark):
     assert df.columns == ["track_snapshot_date", "genre", "track_count", "total_tracks",
                           "percentage_of_tracks"]
     assert df.count() > 0
+
+
+SHUFFLE_PLAN_QUERIES = ["fct_snapshot_top_items", "mart_list_changes", "mart_track_persistence",
+                        "upsert_artists", "enrich_artists", "mart_genre_distribution"]
+
+
+@pytest.mark.parametrize("name", SHUFFLE_PLAN_QUERIES)
+def test_shuffle_join_plans_match_oracle(spark, duck, name):
+    """The plans used at scale (no broadcast of data-sized sides) give the
+    same rows as the broadcast plans chosen at test scale."""
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        test_query_matches_oracle(spark, duck, name)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
