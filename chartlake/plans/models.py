@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from .. import operators as ops
 from ..session import shared_dir
 from ..sources.landing import read_raw_artists, read_raw_tracks, write_landing
 from . import binding
-from .tables import VersionedTable
+from .tables import VersionedTable, put_marker
 
 STG_TRACK_COLUMNS = [
     "track_id", "track_name", "primary_artist_id", "album_id", "track_popularity",
@@ -57,24 +58,25 @@ class Workspace:
         self.tables = {n: VersionedTable(spark, f"{self.base}/{n}") for n in
                        ("stg_tracks", "stg_artists", "dim_albums", "dim_artists",
                         "fct_snapshot_top_items")}
-        self.landing = f"{self.base}/landing"
+        self.landing: str | None = None
         self._lock = threading.RLock()
-        self._landed = False
         self._frames: dict[str, DataFrame] = {}
 
     # -- OP-03 + OP-01/02 ----------------------------------------------------
     def land(self) -> str:
-        """Backfill the landing zone from the binding (once)."""
+        """Backfill the landing zone from the binding (once). Each attempt
+        writes a fresh folder and commits it with a marker, so a failed
+        attempt never leaves half a backfill under the committed folder."""
         with self._lock:
-            marker = VersionedTable(self.spark, f"{self.base}/landing_marker")
-            if not self._landed and not marker.exists():
+            if self.landing is None:
+                attempt = f"{self.base}/landing-{uuid.uuid4().hex[:12]}"
                 for kind, raw in (("tracks", binding.raw_tracks(self.spark, self.root)),
                                   ("artists", binding.raw_artists(self.spark, self.root))):
                     lines = to_lines(raw)
-                    write_landing(lines, f"{self.landing}/{kind}",
+                    write_landing(lines, f"{attempt}/{kind}",
                                   partition_cols=["year", "month", "day"])
-                marker.write(self.spark.range(1))
-            self._landed = True
+                put_marker(self.spark, f"{attempt}/_LANDED")
+                self.landing = attempt
         return self.landing
 
     def raw_tracks(self) -> DataFrame:

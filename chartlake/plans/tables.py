@@ -19,6 +19,17 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def has_marker(spark: SparkSession, path: str) -> bool:
+    fs, p, _ = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def put_marker(spark: SparkSession, path: str) -> None:
+    """An empty file that records a completed step (created after it)."""
+    fs, p, _ = _fs(spark, path)
+    fs.create(p, True).close()
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
