@@ -83,9 +83,13 @@ def to_parallel_arrays(df: DataFrame, batch: str, fields: Sequence[str],
     return agg.select(batch, *[field(f) for f in fields])
 
 
-def genres_array(col) -> F.Column:
-    """JSON text (``'["a","b"]'``) or an array -> ``array<string>`` with the
-    elements unquoted."""
+def genres_array(col, quoted: bool = False) -> F.Column:
+    """JSON text (``'["a","b"]'``) -> ``array<string>``. Unquoted elements by
+    default (our decision, so enriched genres equal staged ones);
+    ``quoted=True`` keeps each element's JSON text (``'"a"'``), as a
+    JSON-array query function on JSON text returns it."""
+    if quoted:
+        return F.transform(F.parse_json(col).cast("array<variant>"), lambda x: F.to_json(x))
     return F.from_json(col, T.ArrayType(T.StringType()))
 
 

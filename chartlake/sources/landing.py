@@ -12,21 +12,27 @@ from ..schemas import RAW_ARTIST, RAW_TRACK, with_partitions
 PARTITIONS = ["year", "month", "day"]
 
 
-def _read(spark: SparkSession, path: str, schema) -> DataFrame:
+def _read(spark: SparkSession, path: str, schema, infer: bool = False,
+          mode: str = "PERMISSIVE") -> DataFrame:
     # Declared schema (partition keys typed int: "month=04" reads as 4);
-    # basePath keeps partition discovery when a sub-path is given.
-    return (spark.read.schema(with_partitions(schema))
-                 .option("basePath", path.split("/year=")[0])
-                 .option("mode", "PERMISSIVE")
-                 .json(path))
+    # basePath keeps partition discovery when a sub-path or glob is given.
+    # ``infer=True`` is the opt-in auto-detect of the source tables: it costs
+    # a pass over the data and types an all-empty ``images: []`` as
+    # array<string>, so the declared schema is the default.
+    r = spark.read.option("basePath", path.split("/year=")[0]).option("mode", mode)
+    if not infer:
+        r = r.schema(with_partitions(schema))
+    return r.json(path)
 
 
-def read_raw_tracks(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, RAW_TRACK)
+def read_raw_tracks(spark: SparkSession, path: str, infer: bool = False,
+                    mode: str = "PERMISSIVE") -> DataFrame:
+    return _read(spark, path, RAW_TRACK, infer, mode)
 
 
-def read_raw_artists(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, RAW_ARTIST)
+def read_raw_artists(spark: SparkSession, path: str, infer: bool = False,
+                     mode: str = "PERMISSIVE") -> DataFrame:
+    return _read(spark, path, RAW_ARTIST, infer, mode)
 
 
 def landing_items(response: DataFrame, items: str = "items",

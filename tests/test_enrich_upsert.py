@@ -110,3 +110,11 @@ def test_enrich_backfill_as_of(spark, stg):
     det = _details(spark, [("A4", "old", "artist:A4", 3, [], [])])
     out = {r.artist_id: r for r in ops.enrich_artists(st, dim, det, as_of=D(2024, 1, 1)).collect()}
     assert out["A4"].last_seen_artist_snapshot_date == D(2024, 1, 1)
+
+
+def test_genres_json_quoted_and_unquoted(spark):
+    from chartlake.operators.enrich import genres_array
+    df = spark.createDataFrame([('["pop","hip hop"]',), ("[]",)], "g string")
+    got = df.select(genres_array("g").alias("u"), genres_array("g", quoted=True).alias("q")).collect()
+    assert got[0].u == ["pop", "hip hop"] and got[0].q == ['"pop"', '"hip hop"']
+    assert got[1].u == [] and got[1].q == []

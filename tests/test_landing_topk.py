@@ -91,3 +91,15 @@ def test_ingest_run_writes_top_k_and_reads_back(spark, tmp_dir):
     assert os.path.isdir(os.path.join(tmp_dir, "tracks", "year=2025", "month=04", "day=10"))
     with pytest.raises(ValueError):
         ingest_run(items, "albums", "score", tmp_dir, run)
+
+
+def test_inferred_schema_is_opt_in(spark, tmp_dir):
+    lines = spark.createDataFrame([('{"id":"A1","name":"x","images":[],"genres":["pop"]}',)],
+                                  "value string")
+    root = os.path.join(tmp_dir, "artists")
+    write_landing(lines, root, run_ts=D(2024, 1, 1))
+    inferred = read_raw_artists(spark, root, infer=True)
+    assert dict(inferred.dtypes)["images"] == "array<string>"     # why the schema is declared
+    declared = read_raw_artists(spark, root)
+    assert dict(declared.dtypes)["images"].startswith("array<struct<url:string")
+    assert dict(declared.dtypes)["month"] == "int"
