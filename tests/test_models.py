@@ -24,3 +24,10 @@ def test_models_rerun_is_stable(spark):
         assert second[name].count() > 0, name
     assert second["mart_avg_popularity_trends"].filter(
         F.col("avg_track_popularity").isNull()).count() == 0
+
+
+def test_models_incremental_read_of_new_partitions(spark):
+    first = run_models(spark, SF, read_new_partitions_only=True)
+    second = run_models(spark, SF, read_new_partitions_only=True)
+    assert sorted(map(tuple, second["dim_albums"].collect())) == \
+        sorted(map(tuple, first["dim_albums"].collect()))
