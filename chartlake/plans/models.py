@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import threading
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +62,7 @@ class Workspace:
         self.landing: str | None = None
         self._lock = threading.RLock()
         self._frames: dict[str, DataFrame] = {}
+        self._layer_locks: dict[str, threading.Lock] = {}
 
     # -- OP-03 + OP-01/02 ----------------------------------------------------
     def land(self) -> str:
@@ -70,11 +72,19 @@ class Workspace:
         with self._lock:
             if self.landing is None:
                 attempt = f"{self.base}/landing-{uuid.uuid4().hex[:12]}"
-                for kind, raw in (("tracks", binding.raw_tracks(self.spark, self.root)),
-                                  ("artists", binding.raw_artists(self.spark, self.root))):
-                    lines = to_lines(raw)
-                    write_landing(lines, f"{attempt}/{kind}",
+
+                def land_feed(kind, raw):
+                    write_landing(to_lines(raw), f"{attempt}/{kind}",
                                   partition_cols=["year", "month", "day"])
+
+                # The two feeds are independent jobs: submit them together.
+                with ThreadPoolExecutor(max_workers=2) as pool:
+                    futures = [pool.submit(land_feed, "tracks",
+                                           binding.raw_tracks(self.spark, self.root)),
+                               pool.submit(land_feed, "artists",
+                                           binding.raw_artists(self.spark, self.root))]
+                    for f in futures:
+                        f.result()
                 put_marker(self.spark, f"{attempt}/_LANDED")
                 self.landing = attempt
         return self.landing
@@ -89,8 +99,11 @@ class Workspace:
     def _materialised(self, name: str, build, partition: str | None,
                       columns: list[str]) -> DataFrame:
         """Write once, then hand out the same DataFrame (its file index is
-        listed once, not on every query)."""
+        listed once, not on every query). One lock per layer, so independent
+        layers can be built by concurrent jobs."""
         with self._lock:
+            lock = self._layer_locks.setdefault(name, threading.Lock())
+        with lock:
             if name not in self._frames:
                 t = self.tables[name]
                 if not t.exists():
@@ -118,6 +131,18 @@ class Workspace:
     def details(self) -> DataFrame:
         return binding.artist_details(self.spark, self.root)
 
+    def warm(self) -> None:
+        """Materialise every layer; independent layers are submitted as
+        concurrent jobs."""
+        self.land()
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            for f in [pool.submit(self.stg_tracks), pool.submit(self.stg_artists)]:
+                f.result()
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            for f in [pool.submit(self.dim_albums), pool.submit(self.dim_artists)]:
+                f.result()
+        self.fact()
+
     # -- gold -------------------------------------------------------------------
     def fact(self) -> DataFrame:
         def build():
