@@ -231,42 +231,41 @@ FROM fct GROUP BY track_snapshot_date"""
     q["mart_track_vintages"] = _share(
         DECADE_SQL, "release_decade", "album_release_date_parsed IS NOT NULL", "fct")
     q["mart_list_changes"] = _with(STG_TRACKS, STG_ARTISTS) + """,
-snapshots AS (SELECT track_snapshot_date AS snapshot_date FROM stg_top_tracks
+all_dates AS (SELECT track_snapshot_date AS d FROM stg_top_tracks
               UNION SELECT artist_snapshot_date FROM stg_top_artists),
-snapshot_dates AS (SELECT snapshot_date,
-                          lag(snapshot_date) OVER (ORDER BY snapshot_date) AS previous_snapshot_date
-                   FROM snapshots),
-ls AS (SELECT * FROM snapshot_dates
-       WHERE snapshot_date = (SELECT max(snapshot_date) FROM snapshots)
-         AND previous_snapshot_date IS NOT NULL),
-ct AS (SELECT DISTINCT track_id, track_name FROM stg_top_tracks
-       WHERE track_snapshot_date = (SELECT snapshot_date FROM ls)),
-pt AS (SELECT DISTINCT track_id, track_name FROM stg_top_tracks
-       WHERE track_snapshot_date = (SELECT previous_snapshot_date FROM ls)),
-ca AS (SELECT DISTINCT artist_id, artist_name FROM stg_top_artists
-       WHERE artist_snapshot_date = (SELECT snapshot_date FROM ls) AND artist_id IS NOT NULL),
-pa AS (SELECT DISTINCT artist_id, artist_name FROM stg_top_artists
-       WHERE artist_snapshot_date = (SELECT previous_snapshot_date FROM ls) AND artist_id IS NOT NULL)
-SELECT ls.snapshot_date, 'Track' AS item_type, x.track_id AS item_id, x.track_name AS item_name,
-       'New Entry' AS change_status FROM (SELECT * FROM ct EXCEPT SELECT * FROM pt) x CROSS JOIN ls
-UNION ALL
-SELECT ls.snapshot_date, 'Track', x.track_id, x.track_name, 'Dropped Off'
-FROM (SELECT * FROM pt EXCEPT SELECT * FROM ct) x CROSS JOIN ls
-UNION ALL
-SELECT ls.snapshot_date, 'Artist', x.artist_id, x.artist_name, 'New Entry'
-FROM (SELECT * FROM ca EXCEPT SELECT * FROM pa) x CROSS JOIN ls
-UNION ALL
-SELECT ls.snapshot_date, 'Artist', x.artist_id, x.artist_name, 'Dropped Off'
-FROM (SELECT * FROM pa EXCEPT SELECT * FROM ca) x CROSS JOIN ls"""
+pair AS (SELECT max(d) AS c, (SELECT max(d) FROM all_dates
+                              WHERE d < (SELECT max(d) FROM all_dates)) AS p FROM all_dates),
+t_now AS (SELECT track_id AS i, track_name AS n FROM stg_top_tracks
+          WHERE track_snapshot_date = (SELECT c FROM pair)),
+t_before AS (SELECT track_id AS i, track_name AS n FROM stg_top_tracks
+             WHERE track_snapshot_date = (SELECT p FROM pair)),
+a_now AS (SELECT artist_id AS i, artist_name AS n FROM stg_top_artists
+          WHERE artist_snapshot_date = (SELECT c FROM pair) AND artist_id IS NOT NULL),
+a_before AS (SELECT artist_id AS i, artist_name AS n FROM stg_top_artists
+             WHERE artist_snapshot_date = (SELECT p FROM pair) AND artist_id IS NOT NULL),
+changes AS (
+  SELECT 'Track' AS k, 'New Entry' AS st, * FROM (SELECT * FROM t_now EXCEPT SELECT * FROM t_before)
+  UNION ALL
+  SELECT 'Track', 'Dropped Off', * FROM (SELECT * FROM t_before EXCEPT SELECT * FROM t_now)
+  UNION ALL
+  SELECT 'Artist', 'New Entry', * FROM (SELECT * FROM a_now EXCEPT SELECT * FROM a_before)
+  UNION ALL
+  SELECT 'Artist', 'Dropped Off', * FROM (SELECT * FROM a_before EXCEPT SELECT * FROM a_now))
+SELECT pair.c AS snapshot_date, k AS item_type, i AS item_id, n AS item_name,
+       st AS change_status
+FROM changes, pair WHERE pair.p IS NOT NULL"""
     q["mart_track_persistence"] = _with(*BASE) + """,
-fd AS (SELECT DISTINCT track_snapshot_date, track_id, track_name FROM fct WHERE track_id IS NOT NULL),
-r AS (SELECT *, dense_rank() OVER (ORDER BY track_snapshot_date)
-               - row_number() OVER (PARTITION BY track_id ORDER BY track_snapshot_date,
-                                    track_name NULLS FIRST) AS g FROM fd),
-s AS (SELECT track_id, track_name, g, count(*) AS n, max(track_snapshot_date) AS e
-      FROM r GROUP BY track_id, track_name, g)
-SELECT track_id, track_name, n AS consecutive_snapshots_in_top_10 FROM s
-WHERE e = (SELECT max(track_snapshot_date) FROM fd)"""
+seen AS (SELECT DISTINCT track_snapshot_date AS d, track_id, track_name
+         FROM fct WHERE track_id IS NOT NULL),
+numbered AS (
+  SELECT track_id, track_name, d,
+         dense_rank() OVER (ORDER BY d)
+           - row_number() OVER (PARTITION BY track_id ORDER BY d, track_name NULLS FIRST) AS island
+  FROM seen),
+islands AS (SELECT track_id, track_name, island, count(*) AS len, max(d) AS last_d
+            FROM numbered GROUP BY track_id, track_name, island)
+SELECT track_id, track_name, len AS consecutive_snapshots_in_top_10
+FROM islands WHERE last_d = (SELECT max(d) FROM seen)"""
     q["latest_snapshot"] = _with(STG_TRACKS) + """
 SELECT max(track_snapshot_date) AS latest_snapshot_date FROM stg_top_tracks"""
     q["snapshot_entities"] = _with(STG_TRACKS) + """
