@@ -146,3 +146,22 @@ def test_present_orders_marts(spark):
     got = [tuple(r) for r in ops.present("mart_track_vintages", df).collect()]
     assert got == [(D(2024, 1, 2), "2020s"), (D(2024, 1, 2), "Older or Unknown"),
                    (D(2024, 1, 1), "1990s")]
+
+
+def test_null_track_id_is_reported_but_null_artist_id_is_not(spark):
+    # Q6: the artist side filters NULL ids, the track side does not.
+    got = _changes(spark, [track("T1", "a", "2024-01-01"), track(None, "ghost", "2024-01-02"),
+                           track("T1", "a", "2024-01-02")],
+                   [artist("A1", "x", "2024-01-01"), artist("A1", "x", "2024-01-02"),
+                    artist(None, "nobody", "2024-01-02")])
+    assert got == [(D(2024, 1, 2), "Track", None, "ghost", "New Entry")]
+
+
+def test_marts_keep_every_snapshot(spark):
+    # Q1: the "latest" marts are not filtered to the newest date.
+    f, _, _ = fact_from(spark, [track("T1", "a", "2024-01-01"), track("T1", "a", "2024-01-02")],
+                        [artist("A1", "x", "2024-01-01", genres=("pop",))])
+    dates = {r[0] for r in ops.genre_distribution(f).select("track_snapshot_date").collect()}
+    assert dates == {D(2024, 1, 1), D(2024, 1, 2)}
+    dates = {r[0] for r in ops.track_vintages(f).select("track_snapshot_date").collect()}
+    assert dates == {D(2024, 1, 1), D(2024, 1, 2)}
