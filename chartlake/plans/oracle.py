@@ -217,6 +217,7 @@ WHERE rn = 1"""
     q["dim_albums"] = _with(STG_TRACKS, DIM_ALBUMS) + "SELECT * FROM dim_albums"
     q["dim_artists"] = _with(STG_ARTISTS, DIM_ARTISTS) + f"""
 SELECT * REPLACE ({_txt('artist_genres')} AS artist_genres) FROM dim_artists"""
+    q["stream_dim_artists"] = q["dim_artists"]
     q["upsert_albums"] = q["dim_albums"]
     q["upsert_artists"] = q["dim_artists"]
     q["fct_snapshot_top_items"] = _with(*BASE) + f"""

@@ -199,6 +199,26 @@ def enrich_artists(spark, root):
     return _with_txt(dim, "artist_genres")
 
 
+# -- streaming (incremental model maintenance) -------------------------------------
+def stream_dim_artists(spark, root):
+    """The artist dimension maintained by an availableNow file stream over
+    the landing zone, several files per micro-batch, each merged with the
+    order-aware upsert; must equal the batch-built dimension."""
+    import uuid
+
+    from ..streaming import start_dimension_stream
+    from .tables import VersionedTable
+    ws = workspace(spark, root)
+    run = f"{ws.base}/stream-{uuid.uuid4().hex[:12]}"
+    q = start_dimension_stream(spark, f"{ws.land()}/artists", "artists", f"{run}/dim",
+                               f"{run}/checkpoint", max_files_per_trigger=20)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return _with_txt(VersionedTable(spark, f"{run}/dim").read()
+                     .select(*ops.dims.DIM_ARTIST_COLUMNS), "artist_genres")
+
+
 QUERIES: dict[str, Query] = {
     "scan_tracks": scan_tracks,
     "scan_artists": scan_artists,
@@ -224,4 +244,5 @@ QUERIES: dict[str, Query] = {
     "lookup_details": lookup_details,
     "zip_arrays": zip_arrays,
     "enrich_artists": enrich_artists,
+    "stream_dim_artists": stream_dim_artists,
 }
