@@ -211,7 +211,7 @@ def stream_dim_artists(spark, root):
     ws = workspace(spark, root)
     run = f"{ws.base}/stream-{uuid.uuid4().hex[:12]}"
     q = start_dimension_stream(spark, f"{ws.land()}/artists", "artists", f"{run}/dim",
-                               f"{run}/checkpoint", max_files_per_trigger=20)
+                               f"{run}/checkpoint", max_files_per_trigger=42)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
