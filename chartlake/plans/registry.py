@@ -128,9 +128,11 @@ def upsert_artists(spark, root):
 
 
 def fct_snapshot_top_items(spark, root):
+    """The star join over the staged tracks and the dimension tables (the
+    dimensions are tables in the reference too; their build is measured by
+    the ``dim_*`` queries)."""
     ws = workspace(spark, root)
-    stg = ws.stg_tracks()
-    f = ops.build_fact(stg, ops.dim_albums(stg), ops.dim_artists(ws.stg_artists()))
+    f = ops.build_fact(ws.stg_tracks(), ws.dim_albums(), ws.dim_artists())
     return _with_txt(f, "artist_genres")
 
 
