@@ -40,18 +40,22 @@ def get_session(master: str | None = None, cores: int | None = None,
 
 
 def scale_conf(input_bytes: int, total_cores: int,
-               target_partition_bytes: int = 128 * 1024 * 1024) -> dict[str, str]:
-    """Shuffle sizing for a cluster run: enough initial shuffle partitions
-    that each holds about ``target_partition_bytes`` of the input (at least
-    2 per core), AQE coalescing down from there to the advisory size, and
-    skew-join splitting of any partition 5x the median and above 256 MiB.
-    Pass the result as ``extra`` to ``get_session`` (or spark-submit --conf)."""
+               target_partition_bytes: int = 256 * 1024 * 1024,
+               max_partitions: int = 100_000) -> dict[str, str]:
+    """Shuffle sizing for a cluster run. Initial shuffle partitions: about
+    ``target_partition_bytes`` of input each, at least 2 per core, at most
+    ``max_partitions`` (shuffle bookkeeping grows with mappers x reducers;
+    past that cap partitions grow instead, and sort-based operators spill).
+    AQE coalesces small partitions to the advisory size and splits skewed
+    ones (5x the median and above 256 MiB). Pass the result as ``extra`` to
+    ``get_session`` (or as spark-submit --conf)."""
     parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    parts = min(parts, max(max_partitions, 2 * total_cores))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 * 1024),
     }

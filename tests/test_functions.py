@@ -58,6 +58,8 @@ def test_decade_rank_sorts_newest_first(spark):
 
 def test_scale_conf_sizes_partitions():
     from chartlake.session import scale_conf
-    c = scale_conf(100 * 1024 ** 4, 8000)            # 100 TiB on 8000 cores
-    assert int(c["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (128 * 1024 ** 2)
+    c = scale_conf(100 * 1024 ** 4, 8000)            # 100 TiB on 8000 cores: capped
+    assert int(c["spark.sql.shuffle.partitions"]) == 100_000
+    c = scale_conf(1024 ** 4, 1000)                  # 1 TiB: 256 MiB each
+    assert int(c["spark.sql.shuffle.partitions"]) == 4096
     assert int(scale_conf(1024, 8)["spark.sql.shuffle.partitions"]) == 16
