@@ -1,3 +1,4 @@
 from .dimensions import start_dimension_stream
+from .staging import start_staging_stream
 
-__all__ = ["start_dimension_stream"]
+__all__ = ["start_dimension_stream", "start_staging_stream"]
