@@ -165,29 +165,38 @@ def workspace(spark: SparkSession, root: str) -> Workspace:
 
 # -- OP-24: a full run ----------------------------------------------------------
 def upsert_dimension(table: VersionedTable, stg: DataFrame, build, key: str,
-                     date_col: str, last_seen_col: str,
-                     read_new_partitions_only: bool = False) -> DataFrame:
+                     date_col: str, read_new_partitions_only: bool = False) -> DataFrame:
     """Incremental model with a unique key. First run: write the dimension.
     Later runs: MERGE the latest row per key into the committed version (a
     new version; keys gone from staging survive). As in the reference, the
     source is rebuilt from all history, which also picks up late files for
     old snapshots. ``read_new_partitions_only`` reads only snapshots newer
-    than the table's newest ``last_seen`` (partition-pruned), at the price
-    of ignoring late files for older snapshots (the streaming path handles
-    those with an order-aware upsert)."""
-    if not table.exists():
-        table.write(build(stg))
-        return table.read()
-    current = table.read()
+    than the newest one a previous run consumed (recorded in a marker, so
+    rows written by other steps, e.g. enrichment, do not move it), at the
+    price of ignoring late files for older snapshots (the streaming path
+    handles those with an order-aware upsert)."""
     src = stg
-    if read_new_partitions_only:
-        watermark = current.agg(F.max(last_seen_col)).scalar()
-        src = stg.filter(F.col(date_col) > watermark)
+    if table.exists() and read_new_partitions_only:
+        mark = consumed_upto(table)
+        if mark is not None:
+            src = stg.filter(F.col(date_col) > F.lit(mark).cast("date"))
     # ``build`` is latest-by-key, so the source keys are unique by construction.
-    table.write(ops.upsert(current, build(src), key))
+    table.write(build(src) if not table.exists() else ops.upsert(table.read(), build(src), key))
+    upto = src.agg(F.max(date_col)).collect()[0][0]          # one scalar
+    if upto is not None:
+        put_marker(table.spark, f"{table.root}/{_UPTO}{upto.isoformat()}")
     return table.read()
 
 
+_UPTO = "_SOURCE_UPTO_"
+
+
+def consumed_upto(table: VersionedTable) -> str | None:
+    """Newest source snapshot date merged into ``table`` by earlier runs."""
+    marks = [n[len(_UPTO):] for n in table.names() if n.startswith(_UPTO)]
+    return max(marks) if marks else None
+
+
 def run_models(spark: SparkSession, root: str, out: str | None = None,
                read_new_partitions_only: bool = False) -> dict[str, DataFrame]:
     """Run the whole DAG in dependency order; returns every relation, each
@@ -197,10 +206,10 @@ def run_models(spark: SparkSession, root: str, out: str | None = None,
     stg_t, stg_a = ws.stg_tracks(), ws.stg_artists()
     d_art = upsert_dimension(
         VersionedTable(spark, f"{base}/run/dim_artists"), stg_a, ops.dim_artists, "artist_id",
-        "artist_snapshot_date", "last_seen_artist_snapshot_date", read_new_partitions_only)
+        "artist_snapshot_date", read_new_partitions_only)
     d_alb = upsert_dimension(
         VersionedTable(spark, f"{base}/run/dim_albums"), stg_t, ops.dim_albums, "album_id",
-        "track_snapshot_date", "last_seen_album_snapshot_date", read_new_partitions_only)
+        "track_snapshot_date", read_new_partitions_only)
     # Enrichment runs between the artist dimension and the fact.
     t_art = VersionedTable(spark, f"{base}/run/dim_artists")
     t_art.write(ops.enrich_artists(stg_t, d_art, ws.details()))

@@ -34,12 +34,15 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def current(self) -> str | None:
-        fs, p, jvm = _fs(self.spark, self.root)
+    def names(self) -> list[str]:
+        """Entry names directly under the table root."""
+        fs, p, _ = _fs(self.spark, self.root)
         if not fs.exists(p):
-            return None
-        names = [st.getPath().getName() for st in fs.listStatus(p)]
-        done = sorted(n[len(MARKER):] for n in names if n.startswith(MARKER))
+            return []
+        return [st.getPath().getName() for st in fs.listStatus(p)]
+
+    def current(self) -> str | None:
+        done = sorted(n[len(MARKER):] for n in self.names() if n.startswith(MARKER))
         return f"{self.root}/{done[-1]}" if done else None
 
     def exists(self) -> bool:

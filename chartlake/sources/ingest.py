@@ -26,12 +26,16 @@ def ingest_run(items: DataFrame, kind: str, score: Column | str, landing_root: s
     """Write this run's top-k ``kind`` items (``tracks`` or ``artists``) as
     compact JSON lines under ``landing_root/kind/year=…/month=…/day=…``.
     The score column is not part of the item. Returns the written lines
-    (lazy). NULL items are dropped; an empty source writes nothing."""
+    (lazy). Items with every field NULL are dropped; an empty source writes
+    nothing."""
     check_kind(kind)
     best = top_items(items, score, k)
     sc = score if isinstance(score, str) else None
     cols = [c for c in best.columns if c != sc]
-    lines = best.filter(F.struct(*cols).isNotNull()).select(
+    any_field = F.lit(False)
+    for c in cols:
+        any_field = any_field | F.col(c).isNotNull()
+    lines = best.filter(any_field).select(
         F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("value"))
     write_landing(lines, f"{landing_root.rstrip('/')}/{kind}", run_ts=run_ts)
     return lines

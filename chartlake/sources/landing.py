@@ -47,11 +47,16 @@ def landing_items(response: DataFrame, items: str = "items",
 
 def partition_columns(run_ts) -> list:
     """Zero-padded string partition values from the run timestamp, so the
-    paths read ``month=04``; they read back as int."""
-    ts = F.lit(run_ts) if isinstance(run_ts, (_dt.date, _dt.datetime)) else run_ts
-    return [F.date_format(ts, "yyyy").alias("year"),
-            F.date_format(ts, "MM").alias("month"),
-            F.date_format(ts, "dd").alias("day")]
+    paths read ``month=04``; they read back as int. A Python date/datetime
+    is used as the wall-clock date it states (no time-zone shift); a Column
+    is formatted in the session time zone."""
+    if isinstance(run_ts, (_dt.date, _dt.datetime)):
+        return [F.lit(f"{run_ts.year:04d}").alias("year"),
+                F.lit(f"{run_ts.month:02d}").alias("month"),
+                F.lit(f"{run_ts.day:02d}").alias("day")]
+    return [F.date_format(run_ts, "yyyy").alias("year"),
+            F.date_format(run_ts, "MM").alias("month"),
+            F.date_format(run_ts, "dd").alias("day")]
 
 
 def write_landing(lines: DataFrame, root: str, run_ts=None,

@@ -103,3 +103,14 @@ def test_inferred_schema_is_opt_in(spark, tmp_dir):
     declared = read_raw_artists(spark, root)
     assert dict(declared.dtypes)["images"].startswith("array<struct<url:string")
     assert dict(declared.dtypes)["month"] == "int"
+
+
+def test_run_timestamp_partition_is_time_zone_free(spark, tmp_dir):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        lines = spark.createDataFrame([('{"id":"T1"}',)], "value string")
+        write_landing(lines, os.path.join(tmp_dir, "t"), run_ts=dt.datetime(2024, 1, 1, 0, 30))
+        assert os.path.isdir(os.path.join(tmp_dir, "t", "year=2024", "month=01", "day=01"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

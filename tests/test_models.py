@@ -31,3 +31,31 @@ def test_models_incremental_read_of_new_partitions(spark):
     second = run_models(spark, SF, read_new_partitions_only=True)
     assert sorted(map(tuple, second["dim_albums"].collect())) == \
         sorted(map(tuple, first["dim_albums"].collect()))
+
+
+def test_incremental_watermark_ignores_rows_written_by_enrichment(spark, tmp_dir):
+    import datetime as dt
+
+    from chartlake import operators as ops
+    from chartlake.plans.models import upsert_dimension
+    from chartlake.plans.tables import VersionedTable
+    from builders import artist, raw_artists_df
+
+    def stg(rows_):
+        return ops.stage_artists(raw_artists_df(spark, rows_))
+
+    t = VersionedTable(spark, f"{tmp_dir}/dim")
+    upsert_dimension(t, stg([artist("A1", "v1", "2024-01-01")]), ops.dim_artists, "artist_id",
+                     "artist_snapshot_date", read_new_partitions_only=True)
+    # enrichment stamps a row with a newer (track) snapshot date
+    enriched = t.read().unionByName(t.read().limit(1).select(
+        F.lit("A9").alias("artist_id"), *[c for c in t.read().columns if c not in
+                                          ("artist_id", "last_seen_artist_snapshot_date")],
+        F.lit(dt.date(2024, 1, 5)).alias("last_seen_artist_snapshot_date")))
+    t.write(enriched.select(*t.read().columns))
+    # the artist feed for 2024-01-03 arrives afterwards
+    later = stg([artist("A1", "v1", "2024-01-01"), artist("A1", "v3", "2024-01-03")])
+    out = upsert_dimension(t, later, ops.dim_artists, "artist_id", "artist_snapshot_date",
+                           read_new_partitions_only=True)
+    got = {r.artist_id: r.artist_name for r in out.collect()}
+    assert got == {"A1": "v3", "A9": "v1"}
