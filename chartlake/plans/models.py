@@ -19,7 +19,7 @@ from .. import operators as ops
 from ..session import shared_dir
 from ..sources.landing import read_raw_artists, read_raw_tracks, write_landing
 from . import binding
-from .tables import VersionedTable, put_marker
+from .tables import VersionedTable, has_marker, put_marker
 
 STG_TRACK_COLUMNS = [
     "track_id", "track_name", "primary_artist_id", "album_id", "track_popularity",
@@ -70,6 +70,8 @@ class Workspace:
         writes a fresh folder and commits it with a marker, so a failed
         attempt never leaves half a backfill under the committed folder."""
         with self._lock:
+            if self.landing is None:
+                self.landing = self._committed_landing()
             if self.landing is None:
                 attempt = f"{self.base}/landing-{uuid.uuid4().hex[:12]}"
 
@@ -89,6 +91,16 @@ class Workspace:
                 self.landing = attempt
         return self.landing
 
+    def _committed_landing(self) -> str | None:
+        """A landing attempt committed earlier in this application (e.g. by
+        another session on the same context)."""
+        base = VersionedTable(self.spark, self.base)
+        for name in sorted(base.names()):
+            if name.startswith("landing-") and has_marker(self.spark,
+                                                          f"{self.base}/{name}/_LANDED"):
+                return f"{self.base}/{name}"
+        return None
+
     def raw_tracks(self) -> DataFrame:
         return read_raw_tracks(self.spark, f"{self.land()}/tracks")
 
@@ -156,7 +168,9 @@ _WS_LOCK = threading.Lock()
 
 
 def workspace(spark: SparkSession, root: str) -> Workspace:
-    key = (spark.sparkContext.applicationId, root.rstrip("/"))
+    """The workspace of ``root`` for this session (sessions sharing a context
+    share the written layers, not DataFrame objects)."""
+    key = (spark.sparkContext.applicationId, id(spark), root.rstrip("/"))
     with _WS_LOCK:
         if key not in _WORKSPACES:
             _WORKSPACES[key] = Workspace(spark, root)

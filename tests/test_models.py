@@ -59,3 +59,13 @@ def test_incremental_watermark_ignores_rows_written_by_enrichment(spark, tmp_dir
                            read_new_partitions_only=True)
     got = {r.artist_id: r.artist_name for r in out.collect()}
     assert got == {"A1": "v3", "A9": "v1"}
+
+
+def test_new_session_reuses_written_layers(spark):
+    from chartlake.plans.models import workspace
+    a = workspace(spark, SF)
+    landed = a.land()
+    other = spark.newSession()
+    b = workspace(other, SF)
+    assert b is not a and b.land() == landed
+    assert b.stg_tracks().count() == a.stg_tracks().count()
