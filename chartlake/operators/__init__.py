@@ -4,7 +4,7 @@ from .enrich import (enrich_artists, enrichment_candidates, latest_snapshot,
                      lookup_details, shape_details, snapshot_entities, to_parallel_arrays, zip_arrays)
 from .fact import build_fact
 from .latest import latest_by_key
-from .marts import (genre_distribution, list_changes, popularity_trends, present,
+from .marts import (genre_distribution, item_changes, list_changes, popularity_trends, present,
                     share_of_total, streaks, track_persistence, track_vintages)
 from .staging import stage_artists, stage_tracks
 from .topk import snapshot_top_k
