@@ -214,7 +214,9 @@ def stream_dim_artists(spark, root):
     run = f"{ws.base}/stream-{uuid.uuid4().hex[:12]}"
     q = start_dimension_stream(spark, f"{ws.land()}/artists", "artists", f"{run}/dim",
                                f"{run}/checkpoint", max_files_per_trigger=42)
-    q.awaitTermination()
+    if not q.awaitTermination(3600):              # availableNow stops by itself
+        q.stop()
+        raise TimeoutError("stream did not finish the available files in time")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return _with_txt(VersionedTable(spark, f"{run}/dim").read()
