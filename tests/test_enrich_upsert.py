@@ -118,3 +118,10 @@ def test_genres_json_quoted_and_unquoted(spark):
     got = df.select(genres_array("g").alias("u"), genres_array("g", quoted=True).alias("q")).collect()
     assert got[0].u == ["pop", "hip hop"] and got[0].q == ['"pop"', '"hip hop"']
     assert got[1].u == [] and got[1].q == []
+
+
+def test_zip_arrays_null_and_empty(spark):
+    df = spark.createDataFrame([(1, None, [1]), (2, [], []), (3, ["a"], [None])],
+                               "k int, n array<string>, v array<int>")
+    got = rows(ops.zip_arrays(df, ["n", "v"], keep=["k"]))
+    assert got == [(3, 0, "a", None)]

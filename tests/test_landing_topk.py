@@ -114,3 +114,10 @@ def test_run_timestamp_partition_is_time_zone_free(spark, tmp_dir):
         assert os.path.isdir(os.path.join(tmp_dir, "t", "year=2024", "month=01", "day=01"))
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_top_k_null_scores_rank_last(spark):
+    df = spark.createDataFrame([(1, "a", None), (1, "b", 1.0), (1, "c", None)],
+                               "d int, item string, s double")
+    got = sorted(tuple(r) for r in ops.snapshot_top_k(df, "d", "item", "s", k=2).collect())
+    assert got == [(1, "a", None, 2), (1, "b", 1.0, 1)]
