@@ -103,3 +103,40 @@ def test_top_k_matches_brute_force(spark, data, k):
         ranked = sorted(tot.items(), key=lambda x: (-x[1], x[0]))[:k]
         expect += [(d, it, s, r + 1) for r, (it, s) in enumerate(ranked)]
     assert got == sorted(expect)
+
+
+@SETTINGS
+@given(data=st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["x", "y", None]),
+                               st.sampled_from([1, 2, 3])), max_size=30))
+def test_item_changes_match_set_difference(spark, data):
+    df = spark.createDataFrame(data or [(0, "x", 1)], "i int, n string, d int")
+    if not data:
+        df = df.limit(0)
+    got = [(r.item_id, r.item_name, r.change_status) for r in
+           ops.item_changes(df, "d", "i", "n", F.lit(3), F.lit(2), "T").collect()]
+    now = {(i, n) for i, n, d in data if d == 3}
+    before = {(i, n) for i, n, d in data if d == 2}
+    expect = sorted([(i, n, "New Entry") for i, n in now - before] +
+                    [(i, n, "Dropped Off") for i, n in before - now], key=repr)
+    assert sorted(got, key=repr) == expect
+
+
+@SETTINGS
+@given(tgt=st.dictionaries(st.integers(0, 6), st.tuples(st.integers(0, 9), st.integers(0, 9)),
+                           max_size=6),
+       src=st.lists(st.tuples(st.integers(0, 6), st.integers(0, 9), st.integers(0, 9)),
+                    max_size=10))
+def test_upsert_latest_equals_recompute(spark, tgt, src):
+    t = spark.createDataFrame([(k, d, v) for k, (d, v) in tgt.items()] or [(0, 0, 0)],
+                              "k int, d int, v int")
+    if not tgt:
+        t = t.limit(0)
+    s = spark.createDataFrame(src or [(0, 0, 0)], "k int, d int, v int")
+    if not src:
+        s = s.limit(0)
+    got = sorted(tuple(r) for r in ops.upsert_latest(t, s, "k", "d").collect())
+    best = {}
+    for k, d, v in [(k, d, v) for k, (d, v) in tgt.items()] + src:
+        if k not in best or (d, v) > best[k]:
+            best[k] = (d, v)
+    assert got == sorted((k, d, v) for k, (d, v) in best.items())
