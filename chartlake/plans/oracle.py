@@ -147,19 +147,12 @@ SELECT c.track_snapshot_date, c.{bucket}, c.track_count, t.total_tracks,
 FROM c JOIN t ON c.track_snapshot_date = t.track_snapshot_date"""
 
 
+# Decade label by arithmetic (an independent check of the Spark when-chain):
+# open-ended from 2020, catch-all before 1920.
 DECADE_SQL = """CASE
   WHEN year(album_release_date_parsed) >= 2020 THEN '2020s'
-  WHEN year(album_release_date_parsed) >= 2010 THEN '2010s'
-  WHEN year(album_release_date_parsed) >= 2000 THEN '2000s'
-  WHEN year(album_release_date_parsed) >= 1990 THEN '1990s'
-  WHEN year(album_release_date_parsed) >= 1980 THEN '1980s'
-  WHEN year(album_release_date_parsed) >= 1970 THEN '1970s'
-  WHEN year(album_release_date_parsed) >= 1960 THEN '1960s'
-  WHEN year(album_release_date_parsed) >= 1950 THEN '1950s'
-  WHEN year(album_release_date_parsed) >= 1940 THEN '1940s'
-  WHEN year(album_release_date_parsed) >= 1930 THEN '1930s'
-  WHEN year(album_release_date_parsed) >= 1920 THEN '1920s'
-  ELSE 'Older or Unknown' END"""
+  WHEN year(album_release_date_parsed) < 1920 THEN 'Older or Unknown'
+  ELSE CAST(year(album_release_date_parsed) // 10 * 10 AS VARCHAR) || 's' END"""
 
 TOPK = """
 ranked AS (
