@@ -102,3 +102,11 @@ def test_fact_left_joins(raw_t, raw_a):
     assert t1.artist_popularity == 20 and t1.album_type == "single"
     assert got[("T4", D(2024, 1, 2))].artist_name is None   # artist not in the dimension
     assert got[("T3", D(2024, 1, 2))].album_name is None    # NULL album id never matches
+
+
+def test_first_of_several_artists_and_images(spark):
+    raw = raw_tracks_df(spark, [track("T1", "a", "2024-01-01",
+                                      artists=(("A1", "lead"), ("A2", "feat")),
+                                      alb=album("L1", images=(("big",), ("small",))))])
+    r = ops.stage_tracks(raw).collect()[0]
+    assert (r.primary_artist_id, r.primary_artist_name, r.album_image_url) == ("A1", "lead", "big")
