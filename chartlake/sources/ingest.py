@@ -22,15 +22,16 @@ def top_items(items: DataFrame, score: Column | str, k: int = DEFAULT_K,
 
 
 def ingest_run(items: DataFrame, kind: str, score: Column | str, landing_root: str,
-               run_ts: dt.datetime, k: int = DEFAULT_K) -> DataFrame:
+               run_ts: dt.datetime, k: int = DEFAULT_K, keep_score: bool = False) -> DataFrame:
     """Write this run's top-k ``kind`` items (``tracks`` or ``artists``) as
     compact JSON lines under ``landing_root/kind/year=…/month=…/day=…``.
-    The score column is not part of the item. Returns the written lines
+    A score given by column name is left out of the item unless
+    ``keep_score`` (it is an item field, e.g. popularity). Returns the written lines
     (lazy). Items with every field NULL are dropped; an empty source writes
     nothing."""
     check_kind(kind)
     best = top_items(items, score, k)
-    sc = score if isinstance(score, str) else None
+    sc = score if isinstance(score, str) and not keep_score else None
     cols = [c for c in best.columns if c != sc]
     any_field = F.lit(False)
     for c in cols:
@@ -39,3 +40,20 @@ def ingest_run(items: DataFrame, kind: str, score: Column | str, landing_root: s
         F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("value"))
     write_landing(lines, f"{landing_root.rstrip('/')}/{kind}", run_ts=run_ts)
     return lines
+
+
+def ingest_feeds(feeds: dict[str, tuple[DataFrame, Column | str]], landing_root: str,
+                 run_ts: dt.datetime, k: int = DEFAULT_K,
+                 keep_score: bool = False) -> dict[str, str]:
+    """One scheduled run over both feeds (``{"tracks": (items, score),
+    "artists": (items, score)}``), all stamped with the same run timestamp.
+    A failing feed does not stop the other one; the outcome of each feed is
+    returned (``"ok"`` or the error text)."""
+    status: dict[str, str] = {}
+    for kind, (items, score) in feeds.items():
+        try:
+            ingest_run(items, kind, score, landing_root, run_ts, k, keep_score)
+            status[kind] = "ok"
+        except Exception as e:  # one feed failing must not lose the other
+            status[kind] = f"error: {e}"
+    return status

@@ -121,3 +121,16 @@ def test_top_k_null_scores_rank_last(spark):
                                "d int, item string, s double")
     got = sorted(tuple(r) for r in ops.snapshot_top_k(df, "d", "item", "s", k=2).collect())
     assert got == [(1, "a", None, 2), (1, "b", 1.0, 1)]
+
+
+def test_ingest_feeds_tolerates_a_failing_feed(spark, tmp_dir):
+    from chartlake.sources import ingest_feeds
+    from builders import raw_tracks_df
+    items = raw_tracks_df(spark, [track("T1", "a", "2024-01-01")]).drop("year", "month", "day")
+    status = ingest_feeds({"tracks": (items, "popularity"),
+                           "artists": (items, "no_such_column")}, tmp_dir,
+                          dt.datetime(2024, 5, 6, 7, 8, 9), keep_score=True)
+    assert status["tracks"] == "ok" and status["artists"].startswith("error")
+    st = ops.stage_tracks(read_raw_tracks(spark, os.path.join(tmp_dir, "tracks")))
+    assert [(r.track_snapshot_date, r.track_popularity) for r in st.collect()] == \
+        [(D(2024, 5, 6), 50)]
