@@ -1,3 +1,3 @@
-from .models import run_models, workspace
+from .models import run_models, run_models_on, stage_landing, workspace
 
-__all__ = ["run_models", "workspace"]
+__all__ = ["run_models", "run_models_on", "stage_landing", "workspace"]

@@ -213,11 +213,33 @@ def consumed_upto(table: VersionedTable) -> str | None:
 
 def run_models(spark: SparkSession, root: str, out: str | None = None,
                read_new_partitions_only: bool = False) -> dict[str, DataFrame]:
-    """Run the whole DAG in dependency order; returns every relation, each
-    read back from its written table (marts unsorted; see ``present``)."""
+    """Run the whole DAG over the scale binding of the tables in ``root``."""
     ws = workspace(spark, root)
-    base = out or ws.base
-    stg_t, stg_a = ws.stg_tracks(), ws.stg_artists()
+    return run_models_on(spark, ws.stg_tracks(), ws.stg_artists(), ws.details(),
+                         out or ws.base, read_new_partitions_only)
+
+
+def stage_landing(spark: SparkSession, landing_root: str, out: str) -> tuple[DataFrame, DataFrame]:
+    """Your own feeds: landing folder (``tracks/`` and ``artists/`` with
+    ``year=/month=/day=`` partitions) -> staged tables written under ``out``
+    (new versions, partitioned by snapshot date) -> (stg_tracks, stg_artists)."""
+    t = VersionedTable(spark, f"{out}/stg_tracks")
+    a = VersionedTable(spark, f"{out}/stg_artists")
+    t.write(ops.stage_tracks(read_raw_tracks(spark, f"{landing_root}/tracks")),
+            ["track_snapshot_date"])
+    a.write(ops.stage_artists(read_raw_artists(spark, f"{landing_root}/artists")),
+            ["artist_snapshot_date"])
+    return (t.read().select(*STG_TRACK_COLUMNS), a.read().select(*STG_ARTIST_COLUMNS))
+
+
+def run_models_on(spark: SparkSession, stg_t: DataFrame, stg_a: DataFrame,
+                  details: DataFrame, out: str,
+                  read_new_partitions_only: bool = False) -> dict[str, DataFrame]:
+    """Run the DAG in dependency order on staged feeds and a details table
+    (columns of ``schemas.ARTIST_DETAILS``), writing under ``out``. Returns
+    every relation, each read back from its written table (marts unsorted;
+    see ``present``); the persistence mart stays a lazy view."""
+    base = out
     d_art = upsert_dimension(
         VersionedTable(spark, f"{base}/run/dim_artists"), stg_a, ops.dim_artists, "artist_id",
         "artist_snapshot_date", read_new_partitions_only)
@@ -226,11 +248,11 @@ def run_models(spark: SparkSession, root: str, out: str | None = None,
         "track_snapshot_date", read_new_partitions_only)
     # Enrichment runs between the artist dimension and the fact.
     t_art = VersionedTable(spark, f"{base}/run/dim_artists")
-    t_art.write(ops.enrich_artists(stg_t, d_art, ws.details()))
+    t_art.write(ops.enrich_artists(stg_t, d_art, details))
     d_art = t_art.read()
     fact_t = VersionedTable(spark, f"{base}/run/fct_snapshot_top_items")
-    fact_t.write(ops.build_fact(stg_t, d_alb, d_art))
-    fact = fact_t.read()
+    fact_t.write(ops.build_fact(stg_t, d_alb, d_art), ["track_snapshot_date"])
+    fact = fact_t.read().select(*FACT_COLUMNS)
     dates = stg_t.filter(F.col("track_id").isNotNull()).select("track_snapshot_date")
     marts = {
         "mart_avg_popularity_trends": ops.popularity_trends(fact),

@@ -69,3 +69,27 @@ def test_new_session_reuses_written_layers(spark):
     b = workspace(other, SF)
     assert b is not a and b.land() == landed
     assert b.stg_tracks().count() == a.stg_tracks().count()
+
+
+def test_models_on_own_landing_feeds(spark, tmp_dir):
+    from chartlake.plans import run_models_on, stage_landing
+    from chartlake.plans.models import to_lines
+    from chartlake.schemas import ARTIST_DETAILS
+    from chartlake.sources import write_landing
+    from builders import artist, raw_artists_df, raw_tracks_df, track
+    land = f"{tmp_dir}/landing"
+    for kind, raw in (("tracks", raw_tracks_df(spark, [
+            track("T1", "a", "2024-01-01", artists=(("A1", "x"),)),
+            track("T1", "a", "2024-01-02", artists=(("A1", "x"),)),
+            track("T2", "b", "2024-01-02", artists=(("A2", "y"),))])),
+                      ("artists", raw_artists_df(spark, [artist("A1", "x", "2024-01-01")]))):
+        write_landing(to_lines(raw), f"{land}/{kind}", partition_cols=["year", "month", "day"])
+    stg_t, stg_a = stage_landing(spark, land, f"{tmp_dir}/out")
+    details = spark.createDataFrame([("A2", "y", "artist:A2", 5, ["jazz"], [])], ARTIST_DETAILS)
+    out = run_models_on(spark, stg_t, stg_a, details, f"{tmp_dir}/out")
+    assert sorted(r.artist_id for r in out["dim_artists"].collect()) == ["A1", "A2"]
+    p = {r.track_id: r.consecutive_snapshots_in_top_10
+         for r in out["mart_track_persistence"].collect()}
+    assert p == {"T1": 2, "T2": 1}
+    genres = {(r.track_snapshot_date.day, r.genre) for r in out["mart_genre_distribution"].collect()}
+    assert (2, "jazz") in genres and (1, "pop") in genres
