@@ -24,22 +24,22 @@ def main(argv=None) -> None:
     q.add_argument("--rows", type=int, default=20)
     p.add_argument("--master", default=None)
     a = p.parse_args(argv)
+    if a.cmd == "models" and not (a.src or a.landing):
+        p.error("give --src or --landing")
+    if a.cmd == "models" and a.landing and not a.details:
+        p.error("--landing needs --details")
 
     spark = get_session(master=a.master)
     if a.cmd == "models":
         from .operators import present
         from .plans import run_models, run_models_on, stage_landing
         if a.landing:
-            if not a.details:
-                p.error("--landing needs --details")
             from .session import shared_dir
             target = a.out or f"{shared_dir(spark)}/chartlake/models"
             stg_t, stg_a = stage_landing(spark, a.landing, target)
             out = run_models_on(spark, stg_t, stg_a, spark.read.parquet(a.details), target)
-        elif a.src:
-            out = run_models(spark, a.src)
         else:
-            p.error("give --src or --landing")
+            out = run_models(spark, a.src)
         for name, df in out.items():
             if name.startswith("mart_"):
                 print(f"== {name}")
