@@ -47,11 +47,17 @@ def lookup_details(ids: DataFrame, details: DataFrame, id_col: str = "artist_id"
                    detail_key: str = "id") -> DataFrame:
     """Resolve ids against a details table: empty/NULL ids dropped, ids with
     no details vanish silently, NULL detail rows dropped. A left-semi join
-    from the details side; AQE broadcasts the id set when it is small."""
+    from the details side; AQE broadcasts the id set when it is small. A
+    details table with several rows for one id yields one of them,
+    deterministically (the greatest row), so the upsert source stays keyed;
+    the dedupe runs on the matched rows only."""
+    from .latest import latest_by_key
     wanted = (ids.select(F.col(id_col).alias("__id"))
                  .filter(F.col("__id").isNotNull() & (F.col("__id") != "")).distinct())
     d = details.filter(F.col(detail_key).isNotNull())
-    return d.join(wanted, d[detail_key] == wanted["__id"], "left_semi")
+    found = d.join(wanted, d[detail_key] == wanted["__id"], "left_semi")
+    rest = [c for c, t in found.dtypes if c != detail_key and "map<" not in t]
+    return latest_by_key(found, [detail_key], rest[0], rest[1:]) if rest else found.distinct()
 
 
 def zip_arrays(df: DataFrame, arrays: Sequence[str], keep: Sequence[str] = (),

@@ -125,3 +125,10 @@ def test_zip_arrays_null_and_empty(spark):
                                "k int, n array<string>, v array<int>")
     got = rows(ops.zip_arrays(df, ["n", "v"], keep=["k"]))
     assert got == [(3, 0, "a", None)]
+
+
+def test_lookup_dedupes_repeated_detail_rows(spark):
+    det = _details(spark, [("A2", "y", "u", 1, [], []), ("A2", "z", "u", 2, [], [])])
+    ids = spark.createDataFrame([("A2",)], "artist_id string")
+    got = [(r.id, r.name) for r in ops.lookup_details(ids, det).collect()]
+    assert got == [("A2", "z")]
