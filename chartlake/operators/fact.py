@@ -4,6 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import spread_null_key
+
 
 def build_fact(stg_tracks: DataFrame, dim_albums: DataFrame,
                dim_artists: DataFrame) -> DataFrame:
@@ -13,8 +15,10 @@ def build_fact(stg_tracks: DataFrame, dim_albums: DataFrame,
     orders, artists with suppliers). The planner broadcasts a side whose
     size estimate is under ``autoBroadcastJoinThreshold`` and AQE converts a
     sort-merge join to a broadcast join once the dimension stage has run
-    and its real size is known; skewed keys (a NULL primary artist is a hot
-    key on the left side) are split by AQE's skew-join handling."""
+    and its real size is known. A NULL key (e.g. a track without artists)
+    is the typical hot key of the left side: it is replaced by a salted,
+    never-matching value so those rows spread over all partitions; other
+    skewed keys are split by AQE's skew-join handling."""
     t = stg_tracks.select("track_snapshot_date", "track_id", "primary_artist_id",
                           "album_id", "track_name", "track_popularity",
                           "duration_ms", "explicit", "track_uri")
@@ -23,8 +27,11 @@ def build_fact(stg_tracks: DataFrame, dim_albums: DataFrame,
     ar = dim_artists.select(F.col("artist_id").alias("__artist_id"), "artist_name",
                             "artist_popularity", "artist_genres", "artist_uri",
                             "artist_image_url")
-    j = (t.join(al, t["album_id"] == al["__album_id"], "left")
-          .join(ar, t["primary_artist_id"] == ar["__artist_id"], "left"))
+    salt = ("track_id", "track_snapshot_date", "track_uri", "duration_ms")
+    t = t.withColumn("__album_key", spread_null_key("album_id", *salt)) \
+         .withColumn("__artist_key", spread_null_key("primary_artist_id", *salt))
+    j = (t.join(al, t["__album_key"] == al["__album_id"], "left")
+          .join(ar, t["__artist_key"] == ar["__artist_id"], "left"))
     return j.select(
         "track_snapshot_date", "track_id",
         F.col("primary_artist_id").alias("artist_id"), "album_id",
