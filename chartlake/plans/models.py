@@ -269,3 +269,12 @@ def run_models_on(spark: SparkSession, stg_t: DataFrame, stg_a: DataFrame,
     # The persistence mart is a view in the reference: left lazy.
     result["mart_track_persistence"] = ops.track_persistence(fact, dates)
     return result
+
+
+def register_views(relations: dict[str, DataFrame]) -> list[str]:
+    """Expose every relation of a model run as a temporary view under its
+    model name, so the marts can be queried with SQL
+    (``spark.sql("SELECT * FROM mart_list_changes")``)."""
+    for name, df in relations.items():
+        df.createOrReplaceTempView(name)
+    return sorted(relations)

@@ -93,3 +93,12 @@ def test_models_on_own_landing_feeds(spark, tmp_dir):
     assert p == {"T1": 2, "T2": 1}
     genres = {(r.track_snapshot_date.day, r.genre) for r in out["mart_genre_distribution"].collect()}
     assert (2, "jazz") in genres and (1, "pop") in genres
+
+
+def test_register_views_for_sql(spark):
+    from chartlake.plans import register_views
+    out = run_models(spark, SF)
+    names = register_views(out)
+    assert "mart_list_changes" in names and "fct_snapshot_top_items" in names
+    n = spark.sql("SELECT count(*) FROM fct_snapshot_top_items").collect()[0][0]
+    assert n == out["stg_top_tracks"].count()
