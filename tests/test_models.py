@@ -102,3 +102,12 @@ def test_register_views_for_sql(spark):
     assert "mart_list_changes" in names and "fct_snapshot_top_items" in names
     n = spark.sql("SELECT count(*) FROM fct_snapshot_top_items").collect()[0][0]
     assert n == out["stg_top_tracks"].count()
+
+
+def test_cli_query_and_models(spark, capsys):
+    from chartlake.__main__ import main
+    main(["query", "latest_snapshot", "--src", SF, "--rows", "1"])
+    assert "latest_snapshot_date" in capsys.readouterr().out
+    main(["models", "--src", SF, "--rows", "1"])
+    out = capsys.readouterr().out
+    assert "== mart_track_persistence" in out and "== mart_list_changes" in out
