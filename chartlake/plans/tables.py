@@ -5,12 +5,15 @@ the old version keep working. Nothing is deleted or renamed: the current
 version is the newest committed one (names sort by commit time)."""
 from __future__ import annotations
 
+import json
 import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 MARKER = "_COMMITTED_"
+SCHEMA_FILE = "_chartlake_schema.json"   # "_" prefix: ignored by the Parquet reader
 
 
 def _fs(spark: SparkSession, path: str):
@@ -52,6 +55,17 @@ class VersionedTable:
         cur = self.current()
         if cur is None:
             raise FileNotFoundError(f"no committed version under {self.root}")
+        # The recorded schema also reads an empty partitioned version (which
+        # has no data file to infer a schema from).
+        fs, p, jvm = _fs(self.spark, f"{cur}/{SCHEMA_FILE}")
+        if fs.exists(p):
+            stream = fs.open(p)
+            try:
+                reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+                text = "".join(iter(reader.readLine, None))
+            finally:
+                stream.close()
+            return self.spark.read.schema(T.StructType.fromJson(json.loads(text))).parquet(cur)
         return self.spark.read.parquet(cur)
 
     def write(self, df: DataFrame, partition_by: list[str] | None = None) -> str:
@@ -65,6 +79,12 @@ class VersionedTable:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
+        fs, p, _ = _fs(self.spark, f"{path}/{SCHEMA_FILE}")
+        out = fs.create(p, True)
+        try:
+            out.write(bytearray(df.schema.json().encode("utf-8")))
+        finally:
+            out.close()
         self._commit(name)
         return path
 

@@ -111,3 +111,17 @@ def test_cli_query_and_models(spark, capsys):
     main(["models", "--src", SF, "--rows", "1"])
     out = capsys.readouterr().out
     assert "== mart_track_persistence" in out and "== mart_list_changes" in out
+
+
+def test_models_on_empty_feeds(spark, tmp_dir):
+    from chartlake import operators as ops
+    from chartlake.plans import run_models_on
+    from chartlake.plans.models import STG_ARTIST_COLUMNS, STG_TRACK_COLUMNS
+    from chartlake.schemas import ARTIST_DETAILS
+    from builders import raw_artists_df, raw_tracks_df
+    stg_t = ops.stage_tracks(raw_tracks_df(spark, [])).select(*STG_TRACK_COLUMNS)
+    stg_a = ops.stage_artists(raw_artists_df(spark, [])).select(*STG_ARTIST_COLUMNS)
+    details = spark.createDataFrame([], ARTIST_DETAILS)
+    out = run_models_on(spark, stg_t, stg_a, details, f"{tmp_dir}/out")
+    for name, df in out.items():
+        assert df.count() == 0, name
