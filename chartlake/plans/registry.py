@@ -219,8 +219,9 @@ def stream_dim_artists(spark, root):
         raise TimeoutError("stream did not finish the available files in time")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return _with_txt(VersionedTable(spark, f"{run}/dim").read()
-                     .select(*ops.dims.DIM_ARTIST_COLUMNS), "artist_genres")
+    t = VersionedTable(spark, f"{run}/dim")
+    dim = t.read() if t.exists() else ops.dim_artists(ws.stg_artists().limit(0))  # no files yet
+    return _with_txt(dim.select(*ops.dims.DIM_ARTIST_COLUMNS), "artist_genres")
 
 
 QUERIES: dict[str, Query] = {
