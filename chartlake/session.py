@@ -22,11 +22,16 @@ DEFAULT_CONF = {
 def get_session(master: str | None = None, cores: int | None = None,
                 shuffle_partitions: int | None = None, app: str = "chartlake",
                 extra: dict | None = None) -> SparkSession:
-    """Build (or fetch) a session. ``master`` defaults to ``local[cores]``
-    only when no master is configured by the launcher."""
+    """Build (or fetch) a session. Without an explicit ``master`` the
+    launcher's master (spark-submit / cluster configuration) is kept; only
+    when none is configured does the session run on ``local[cores]``."""
     b = SparkSession.builder.appName(app)
-    if master or not os.environ.get("MASTER"):
-        b = b.master(master or f"local[{cores or os.cpu_count() or 8}]")
+    if master:
+        b = b.master(master)
+    else:
+        from pyspark import SparkConf
+        if not SparkConf().contains("spark.master"):
+            b = b.master(f"local[{cores or os.cpu_count() or 8}]")
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
