@@ -34,3 +34,22 @@ def test_newest_snapshot_filters_prune_partitions(spark):
 def test_pre_shuffle_pruning(spark):
     assert "WindowGroupLimit" in plan_of(spark, "snapshot_top_k")
     assert "partial_max_by" in plan_of(spark, "dim_albums")
+
+
+def test_streak_plan_shuffles_fact_rows_once_at_scale_shape(spark):
+    """With broadcasts off (dimension-sized sides at 100 TB), the history
+    is shuffled once, on the track id; the distinct and the window reuse
+    that partitioning."""
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        p = plan_of(spark, "mart_track_persistence")
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)
+    on_rows = [e for e in exchanges if "track_name" in e or "track_snapshot_date#" in e.split(",")[0]]
+    assert not on_rows, exchanges
+    assert sum(e.startswith("track_id") for e in exchanges) == 2      # history + current items
