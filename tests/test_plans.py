@@ -53,3 +53,12 @@ def test_streak_plan_shuffles_fact_rows_once_at_scale_shape(spark):
     on_rows = [e for e in exchanges if "track_name" in e or "track_snapshot_date#" in e.split(",")[0]]
     assert not on_rows, exchanges
     assert sum(e.startswith("track_id") for e in exchanges) == 2      # history + current items
+
+
+def test_list_changes_one_grouped_shuffle_per_feed(spark):
+    p = plan_of(spark, "mart_list_changes")
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)
+    item_shuffles = {e.split("#")[0] for e in exchanges
+                     if e.startswith(("track_id", "artist_id", "item_id"))}
+    assert item_shuffles == {"track_id", "artist_id"}, exchanges     # one per feed
+    assert "SortMergeJoin" not in p and "BroadcastHashJoin" not in p   # no anti joins
