@@ -62,3 +62,19 @@ def test_list_changes_one_grouped_shuffle_per_feed(spark):
                      if e.startswith(("track_id", "artist_id", "item_id"))}
     assert item_shuffles == {"track_id", "artist_id"}, exchanges     # one per feed
     assert "SortMergeJoin" not in p and "BroadcastHashJoin" not in p   # no anti joins
+
+
+def test_fact_at_scale_shape_is_two_sort_merge_joins(spark):
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        p = plan_of(spark, "fct_snapshot_top_items")
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    exchanges = sorted(e.split("#")[0] for e in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p))
+    # staged rows: once by (salted) album key, once by (salted) artist key; each dimension once
+    assert exchanges == ["__album_id", "__album_key", "__artist_id", "__artist_key"], exchanges
+    assert p.count("SortMergeJoin") == 2
