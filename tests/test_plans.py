@@ -78,3 +78,10 @@ def test_fact_at_scale_shape_is_two_sort_merge_joins(spark):
     # staged rows: once by (salted) album key, once by (salted) artist key; each dimension once
     assert exchanges == ["__album_id", "__album_key", "__artist_id", "__artist_key"], exchanges
     assert p.count("SortMergeJoin") == 2
+
+
+def test_scans_read_only_needed_columns(spark):
+    p = plan_of(spark, "mart_avg_popularity_trends")
+    assert "ReadSchema: struct<track_popularity:int,artist_popularity:int>" in p
+    p = plan_of(spark, "latest_snapshot")
+    assert "ReadSchema: struct<>" in p          # the date is a partition column: no data columns
