@@ -125,3 +125,17 @@ def test_models_on_empty_feeds(spark, tmp_dir):
     out = run_models_on(spark, stg_t, stg_a, details, f"{tmp_dir}/out")
     for name, df in out.items():
         assert df.count() == 0, name
+
+
+def test_failed_write_never_becomes_current(spark, tmp_dir):
+    import pytest as _pytest
+    from pyspark.sql import functions as F
+    from chartlake.plans.tables import VersionedTable
+    t = VersionedTable(spark, f"{tmp_dir}/tbl")
+    t.write(spark.range(5))
+    good = t.current()
+    bad = spark.range(5).select(F.when(F.col("id") == 3, F.raise_error(F.lit("boom")))
+                                .otherwise(F.col("id")).alias("id"))
+    with _pytest.raises(Exception):
+        t.write(bad)
+    assert t.current() == good and t.read().count() == 5
