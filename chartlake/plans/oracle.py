@@ -5,6 +5,24 @@ generated from the Spark code. Tables are the driver's pre-registered views.
 Array columns are compared as ``|``-joined sorted text."""
 from __future__ import annotations
 
+ALBUM_FIELDS = """    CASE WHEN o.o_orderdate IS NULL THEN NULL
+         WHEN o.o_orderpriority = '1-URGENT'
+           THEN printf('%04d-%02d-%02d', ry, month(o.o_orderdate), day(o.o_orderdate))
+         WHEN o.o_orderpriority = '2-HIGH' THEN printf('%04d-%02d', ry, month(o.o_orderdate))
+         ELSE printf('%04d', ry) END AS album_release_date,
+    CASE o.o_orderpriority WHEN '1-URGENT' THEN 'day' WHEN '2-HIGH' THEN 'month'
+         WHEN '3-MEDIUM' THEN 'year' WHEN '5-LOW' THEN 'decade' END
+      AS album_release_date_precision,
+    CASE o.o_orderstatus WHEN 'F' THEN 'album' WHEN 'O' THEN 'single'
+         WHEN 'P' THEN 'compilation' END AS album_type,"""
+
+TRACK_FROM = """  FROM (SELECT *, CAST(date_trunc('month', l_shipdate) AS DATE) AS sd FROM lineitem) l
+  LEFT JOIN part p ON l.l_partkey = p.p_partkey
+  LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  LEFT JOIN (SELECT *, CAST(year(o_orderdate) AS INTEGER)
+                        - CAST(floor(o_totalprice / 50000) AS INTEGER) * 10 AS ry
+             FROM orders) o ON l.l_orderkey = o.o_orderkey"""
+
 STG_TRACKS = """
 stg_top_tracks AS (
   SELECT
@@ -19,30 +37,36 @@ stg_top_tracks AS (
     s.s_name AS primary_artist_name,
     'artist:' || l.l_suppkey AS primary_artist_uri,
     'Album ' || l.l_orderkey AS album_name,
-    CASE WHEN o.o_orderdate IS NULL THEN NULL
-         WHEN o.o_orderpriority = '1-URGENT'
-           THEN printf('%04d-%02d-%02d', ry, month(o.o_orderdate), day(o.o_orderdate))
-         WHEN o.o_orderpriority = '2-HIGH' THEN printf('%04d-%02d', ry, month(o.o_orderdate))
-         ELSE printf('%04d', ry) END AS album_release_date,
-    CASE o.o_orderpriority WHEN '1-URGENT' THEN 'day' WHEN '2-HIGH' THEN 'month'
-         WHEN '3-MEDIUM' THEN 'year' WHEN '5-LOW' THEN 'decade' END
-      AS album_release_date_precision,
-    CASE o.o_orderstatus WHEN 'F' THEN 'album' WHEN 'O' THEN 'single'
-         WHEN 'P' THEN 'compilation' END AS album_type,
+{ALBUM_FIELDS}
     'album:' || l.l_orderkey AS album_uri,
     'img/L' || l.l_orderkey AS album_image_url,
     CAST(year(sd) AS INTEGER) AS snapshot_year,
     CAST(month(sd) AS INTEGER) AS snapshot_month,
     CAST(day(sd) AS INTEGER) AS snapshot_day,
     sd AS track_snapshot_date
-  FROM (SELECT *, CAST(date_trunc('month', l_shipdate) AS DATE) AS sd FROM lineitem) l
-  LEFT JOIN part p ON l.l_partkey = p.p_partkey
-  LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
-  LEFT JOIN (SELECT *, CAST(year(o_orderdate) AS INTEGER)
-                        - CAST(floor(o_totalprice / 50000) AS INTEGER) * 10 AS ry
-             FROM orders) o ON l.l_orderkey = o.o_orderkey
+{TRACK_FROM}
 )"""
 
+STG_TRACKS = STG_TRACKS.replace("{ALBUM_FIELDS}", ALBUM_FIELDS).replace("{TRACK_FROM}", TRACK_FROM)
+
+# Raw track rows as landed (fields staging does not keep included).
+RAW_TRACKS_SCAN = """
+SELECT
+  'T' || l.l_partkey AS id, p.p_name AS name, 'track' AS type,
+  CAST(least(100, floor(l.l_quantity * 2)) AS INTEGER) AS popularity,
+  CAST(floor(l.l_extendedprice) AS BIGINT) + 60000 AS duration_ms,
+  l.l_returnflag = 'R' AS explicit, 'track:' || l.l_partkey AS uri,
+  '/tracks/' || l.l_partkey AS href, l.l_linenumber AS track_number,
+  l.l_linestatus = 'O' AS is_playable, '/tracks/' || l.l_partkey AS web_url,
+  'N' || s.s_nationkey AS markets,
+  'A' || l.l_suppkey AS primary_artist_id, s.s_name AS primary_artist_name,
+  'L' || l.l_orderkey AS album_id,
+""" + ALBUM_FIELDS + """
+  'img/L' || l.l_orderkey AS album_image_url,
+  CAST(year(l.sd) AS INTEGER) AS year, CAST(month(l.sd) AS INTEGER) AS month,
+  CAST(day(l.sd) AS INTEGER) AS day
+""" + TRACK_FROM
+
 STG_ARTISTS = """
 stg_top_artists AS (
   SELECT
@@ -167,14 +191,7 @@ ranked AS (
 
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
-    q["scan_tracks"] = _with(STG_TRACKS) + """
-SELECT t.track_id AS id, t.track_name AS name, 'track' AS type,
-       t.track_popularity AS popularity, t.duration_ms, t.explicit, t.track_uri AS uri,
-       '/tracks/' || substr(t.track_id, 2) AS href, t.primary_artist_id AS primary_artist_id,
-       t.primary_artist_name, t.album_id, t.album_release_date, t.album_release_date_precision,
-       t.album_type, t.album_image_url, t.snapshot_year AS year, t.snapshot_month AS month,
-       t.snapshot_day AS day
-FROM stg_top_tracks t"""
+    q["scan_tracks"] = RAW_TRACKS_SCAN
     q["scan_artists"] = _with(STG_ARTISTS) + f"""
 SELECT artist_id AS id, artist_name AS name, 'artist' AS type, artist_uri AS uri,
        artist_popularity AS popularity, {_txt('artist_genres')} AS genres,

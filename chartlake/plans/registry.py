@@ -33,6 +33,8 @@ def scan_tracks(spark, root):
     r = workspace(spark, root).raw_tracks()
     return r.select(
         "id", "name", "type", "popularity", "duration_ms", "explicit", "uri", "href",
+        "track_number", "is_playable", F.col("external_urls")["web"].alias("web_url"),
+        F.array_join("available_markets", "|").alias("markets"),
         first_field("artists", "id").alias("primary_artist_id"),
         first_field("artists", "name").alias("primary_artist_name"),
         F.col("album.id").alias("album_id"),
