@@ -131,6 +131,16 @@ class Workspace:
         return self._materialised("stg_artists", lambda: ops.stage_artists(self.raw_artists()),
                                   "artist_snapshot_date", STG_ARTIST_COLUMNS)
 
+    def snapshot_dates(self, kind: str) -> DataFrame:
+        """Distinct snapshot dates of a staged feed (``tracks``/``artists``)
+        from its partition folders: no scan; one row per snapshot."""
+        name, col = {"tracks": ("stg_tracks", "track_snapshot_date"),
+                     "artists": ("stg_artists", "artist_snapshot_date")}[kind]
+        (self.stg_tracks if kind == "tracks" else self.stg_artists)()     # materialised
+        values = self.tables[name].partition_values(col)
+        return self.spark.createDataFrame([(v,) for v in values], "d string").select(
+            F.col("d").cast("date").alias(col))
+
     def dim_artists(self) -> DataFrame:
         """The artist dimension as a table (incremental model in the reference)."""
         return self._materialised("dim_artists", lambda: ops.dim_artists(self.stg_artists()),

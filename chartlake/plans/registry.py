@@ -152,8 +152,10 @@ def mart_track_vintages(spark, root):
 
 
 def mart_list_changes(spark, root):
+    """Snapshot dates come from the staged tables' partition folders."""
     ws = workspace(spark, root)
-    return ops.list_changes(ws.stg_tracks(), ws.stg_artists())
+    return ops.list_changes(ws.stg_tracks(), ws.stg_artists(),
+                            ws.snapshot_dates("tracks"), ws.snapshot_dates("artists"))
 
 
 def mart_track_persistence(spark, root):

@@ -48,6 +48,18 @@ class VersionedTable:
         done = sorted(n[len(MARKER):] for n in self.names() if n.startswith(MARKER))
         return f"{self.root}/{done[-1]}" if done else None
 
+    def partition_values(self, column: str) -> list[str]:
+        """Values of a partition column of the current version, from the
+        folder listing (one entry per partition; no data is read). Spark
+        writes no folder for an empty partition, so every value has rows."""
+        cur = self.current()
+        if cur is None:
+            return []
+        fs, p, _ = _fs(self.spark, cur)
+        prefix = f"{column}="
+        return sorted(st.getPath().getName()[len(prefix):] for st in fs.listStatus(p)
+                      if st.isDirectory() and st.getPath().getName().startswith(prefix))
+
     def exists(self) -> bool:
         return self.current() is not None
 

@@ -139,3 +139,17 @@ def test_failed_write_never_becomes_current(spark, tmp_dir):
     with _pytest.raises(Exception):
         t.write(bad)
     assert t.current() == good and t.read().count() == 5
+
+
+def test_snapshot_dates_from_partition_listing(spark):
+    from chartlake import operators as ops
+    from chartlake.plans.models import workspace
+    ws = workspace(spark, SF)
+    listed = sorted(r[0] for r in ws.snapshot_dates("tracks").collect())
+    scanned = sorted(r[0] for r in ws.stg_tracks().select("track_snapshot_date").distinct().collect())
+    assert listed == scanned and len(listed) == 83
+    a = sorted(map(tuple, ops.list_changes(ws.stg_tracks(), ws.stg_artists()).collect()), key=repr)
+    b = sorted(map(tuple, ops.list_changes(ws.stg_tracks(), ws.stg_artists(),
+                                           ws.snapshot_dates("tracks"),
+                                           ws.snapshot_dates("artists")).collect()), key=repr)
+    assert a == b
