@@ -166,22 +166,29 @@ def mart_track_persistence(spark, root):
 
 
 # -- enrichment (reads the dimension table, as the reference's MERGE does) --------
+def _newest(ws):
+    """Newest staged track snapshot, from the partition listing (a scalar
+    subquery over one row per snapshot; no scan of the staged rows)."""
+    return ops.latest_snapshot(ws.snapshot_dates("tracks")).scalar()
+
+
 def latest_snapshot(spark, root):
-    return ops.latest_snapshot(workspace(spark, root).stg_tracks())
+    return ops.latest_snapshot(workspace(spark, root).snapshot_dates("tracks"))
 
 
 def snapshot_entities(spark, root):
-    return ops.snapshot_entities(workspace(spark, root).stg_tracks())
+    ws = workspace(spark, root)
+    return ops.snapshot_entities(ws.stg_tracks(), as_of=_newest(ws))
 
 
 def enrichment_candidates(spark, root):
     ws = workspace(spark, root)
-    return ops.enrichment_candidates(ws.stg_tracks(), ws.dim_artists())
+    return ops.enrichment_candidates(ws.stg_tracks(), ws.dim_artists(), as_of=_newest(ws))
 
 
 def lookup_details(spark, root):
     ws = workspace(spark, root)
-    cand = ops.enrichment_candidates(ws.stg_tracks(), ws.dim_artists())
+    cand = ops.enrichment_candidates(ws.stg_tracks(), ws.dim_artists(), as_of=_newest(ws))
     found = ops.lookup_details(cand, ws.details())
     return found.select("id", "name", "uri", "popularity", _txt("genres").alias("genres"),
                         first_field("images", "url").alias("image_url"))
@@ -201,7 +208,7 @@ def zip_arrays(spark, root):
 
 def enrich_artists(spark, root):
     ws = workspace(spark, root)
-    dim = ops.enrich_artists(ws.stg_tracks(), ws.dim_artists(), ws.details())
+    dim = ops.enrich_artists(ws.stg_tracks(), ws.dim_artists(), ws.details(), as_of=_newest(ws))
     return _with_txt(dim, "artist_genres")
 
 
