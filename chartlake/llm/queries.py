@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import load_table
-from . import ann, decontam, langid, packing, pii, secrets, shards, simhash, urlfilter
+from . import ann, decontam, langid, packing, pii, secrets, shards, simhash, substrings, urlfilter
 
 
 def op1_simhash_dedup(spark: SparkSession, root: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op4_personal_data(spark: SparkSession, root: str) -> DataFrame:
     return pii.find_personal_data(load_table(spark, root, "documents")).drop("found")
 
 
+def op5_repeated_substrings(spark: SparkSession, root: str) -> DataFrame:
+    return substrings.remove_repeats(load_table(spark, root, "documents")).drop("kept", "removed")
+
+
 def op6_sharding(spark: SparkSession, root: str) -> DataFrame:
     return shards.assign_shards(load_table(spark, root, "documents"))
 
@@ -50,6 +54,6 @@ def op10_decontamination(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_simhash_dedup, op2_secret_scan, op3_url_filter, op4_personal_data, op6_sharding, op7_packing,
-    op8_nearest_neighbours, op9_language_id, op10_decontamination)}
+    op1_simhash_dedup, op2_secret_scan, op3_url_filter, op4_personal_data, op5_repeated_substrings,
+    op6_sharding, op7_packing, op8_nearest_neighbours, op9_language_id, op10_decontamination)}
 ORACLE_SQL: dict[str, str] = {}
