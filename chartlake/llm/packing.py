@@ -21,7 +21,7 @@ from .common import gapless_index, materialise
 
 CAPACITY = 2048
 END = 0                       # id after each document
-CACHE = 400_000               # words whose ids a worker keeps
+CACHE = 500_000               # words of a generation; a worker keeps the ids of two
 SLICE = 2_000_000             # characters tokenised at a time
 
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
@@ -38,6 +38,7 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = []
@@ -47,10 +48,15 @@ class Encoder:
             else:
                 p = t.split(" ")
             parts.append([p[0]] + [" " + x for x in p[1:]])
-        if len(self.known) > CACHE:
-            self.known.clear()
-        known = self.known
-        new = list({x for p in parts for x in p if x not in known})
+        if len(self.known) > CACHE:                      # words in use move on to the new generation
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        new = []
+        for x in {x for p in parts for x in p if x not in known}:
+            if x in older:
+                known[x] = older[x]
+            else:
+                new.append(x)
         for x, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
             known[x] = np.array(e.ids, "<u4").tobytes()
         return [b"".join([known[x] for x in p]) for p in parts]
