@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from .common import gapless_index, materialise
 CAPACITY = 2048
 END = 0                       # id after each document
 CACHE = 500_000               # words of a generation; a worker keeps the ids of two
-SLICE = 2_000_000             # characters tokenised at a time
+SLICE = 300_000               # characters tokenised at a time
 
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 _RUN = re.compile(r"\s\s")
@@ -30,7 +31,7 @@ _state: dict = {}
 
 
 class Encoder:
-    """Token ids as little-endian bytes. The byte-level pre-tokenizer always cuts
+    """Token ids as little-endian 32-bit numbers. The byte-level pre-tokenizer always cuts
     before a single space between two other characters, so a text's ids are
     those of its parts, and parts that recur are looked up."""
 
@@ -44,22 +45,28 @@ class Encoder:
         parts = []
         for t in texts:
             if t[:1] == " " or t[-1:] == " " or _RUN.search(t):
-                p = _SAFE.split(t)
+                parts.append(_SAFE.split(t))
             else:
-                p = t.split(" ")
-            parts.append([p[0]] + [" " + x for x in p[1:]])
+                parts.append(t.split(" "))
         if len(self.known) > CACHE:                      # words in use move on to the new generation
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
-        new = []
-        for x in {x for p in parts for x in p if x not in known}:
+        new: set[str] = set()
+        for p in parts:
+            new.update(set(p[1:]).difference(known))     # a part's ids are those after a space
+        fresh = []
+        for x in new:
             if x in older:
                 known[x] = older[x]
             else:
-                new.append(x)
-        for x, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[x] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join([known[x] for x in p]) for p in parts]
+                fresh.append(x)
+        firsts = [p[0] for p in parts]
+        coded = self.tokenizer.encode_batch_fast([" " + x for x in fresh] + firsts, add_special_tokens=False)
+        for x, e in zip(fresh, coded):
+            known[x] = array("I", e.ids).tobytes()
+        get = known.__getitem__
+        return [array("I", e.ids).tobytes() + b"".join(map(get, p[1:]))
+                for p, e in zip(parts, coded[len(fresh):])]
 
 
 def _encoder(path: str) -> Encoder:
