@@ -216,9 +216,11 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     table gives none; other columns are not read."""
     d = with_spans(docs.select("doc_id", "text"), "p")
     base = F.col("p.base")
-    count = [F.size(F.filter(base, lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
-             for k in range(4)]
-    return d.select("doc_id", *count, F.sha2(span_text(base), 256).alias("base_sha256"),
+
+    def count(k):
+        return F.size(F.filter(base, lambda x: x["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
+
+    return d.select("doc_id", *[count(k) for k in range(4)], F.sha2(span_text(base), 256).alias("base_sha256"),
                     span_text(F.col("p.all")).alias("spans"), F.col("p.all").alias("found"))
 
 

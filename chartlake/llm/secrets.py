@@ -36,7 +36,7 @@ ALLOWED = tuple(re.compile(p) for p in (
     r"(?i).*(example|sample|placeholder|changeme|xxxx)",
     r"[A-Za-z]+([/_-][A-Za-z]*[0-9]{0,4})+\Z",               # path or snake_case name
 ))
-_CLOG = [0.0, 0.0] + [c * log2(c) for c in range(2, WINDOW + 1)]
+_CLOG = [0.0, 0.0] + [c * log2(c) for c in range(2, WINDOW + 1)]     # at most WINDOW of one character
 
 
 def entropy_spans(s: str, limit: float, window: int = WINDOW) -> list[tuple[int, int]]:
@@ -44,14 +44,14 @@ def entropy_spans(s: str, limit: float, window: int = WINDOW) -> list[tuple[int,
     counts: dict[str, int] = {}
     total, spans, need = 0.0, [], log2(window) - limit
     for i, ch in enumerate(s):
-        c = counts.get(ch, 0)
-        counts[ch] = c + 1
-        total += _CLOG[c + 1] - _CLOG[c]
-        if i >= window:
+        if i >= window:                                      # one leaves, then one enters
             out = s[i - window]
             c = counts[out]
             counts[out] = c - 1
             total += _CLOG[c - 1] - _CLOG[c]
+        c = counts.get(ch, 0)
+        counts[ch] = c + 1
+        total += _CLOG[c + 1] - _CLOG[c]
         if i >= window - 1 and total / window < need:        # H = log2(w) - total/w
             a = i - window + 1
             if spans and a <= spans[-1][1]:

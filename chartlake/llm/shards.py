@@ -59,8 +59,8 @@ def difference(vectors: np.ndarray) -> np.ndarray:
 
 def _groups(shards: int):
     def run(batches):
-        t = pa.Table.from_batches(batches)
-        if t.num_rows:
+        if batches := [b for b in batches if b.num_rows]:            # a partition may be empty
+            t = pa.Table.from_batches(batches)
             size = t.column("bytes").to_numpy()
             v = np.zeros((len(size), shards), np.int64)
             v[:, 0] = size
@@ -71,8 +71,8 @@ def _groups(shards: int):
 
 
 def _vectors(batches):
-    t = pa.Table.from_batches(batches)
-    if t.num_rows:
+    if batches := [b for b in batches if b.num_rows]:
+        t = pa.Table.from_batches(batches)
         v = np.array(t.column("vec").to_pylist(), np.int64)
         order = np.argsort(-v, axis=1, kind="stable")
         place = difference(np.take_along_axis(v, order, 1))
@@ -98,7 +98,8 @@ def partition_groups(groups: DataFrame, shards: int) -> DataFrame:
     cur = vectors(items.groupBy("node", "pos").agg(F.sum("bytes").alias("bytes")))
     while True:
         parts = -(-n // FAN)
-        level = materialise(cur.repartition(parts, "node").mapInArrow(
+        dealt = cur.repartition(parts, "node") if parts > 1 else cur.repartition(1)
+        level = materialise(dealt.mapInArrow(
             _vectors, "node long, vec array<long>, parent long, perm array<int>"), "kk-vectors")
         place = place.join(level.select("node", "parent", "perm"), "node").select(
             "grp", F.col("parent").alias("node"), F.get("perm", "pos").alias("pos"))
