@@ -1,47 +1,8 @@
-"""Join helpers: broadcast only behind a size check, with the shuffle join
-as the way beyond it."""
+"""Join helpers."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound (rows) for tables whose size grows with the number of snapshot
-# dates rather than with the data (one row per date).
-MAX_BROADCAST_ROWS = 1_000_000
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-# File-based size estimates are on-disk (compressed) bytes; allow for a
-# decompression factor before trusting them as an in-memory bound.
-ESTIMATE_SAFETY = 10
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (no job is run); None when the
-    session does not expose it."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except Exception:  # e.g. a Spark Connect session
-        return None
-
-
-def broadcast_if_bounded(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                         max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Return ``small`` with a broadcast hint when its size is proven to fit.
-
-    First the optimizer's upper-bound estimate is consulted (free). When that
-    bound is too loose (aggregates inherit their child's size), the frame is
-    cached and its rows counted up to ``max_rows + 1``; only a frame that is
-    proven small is hinted. Anything larger is returned un-hinted so the
-    planner (and AQE at runtime) picks a shuffle join."""
-    est = estimated_bytes(small)
-    if est is not None and est * ESTIMATE_SAFETY <= max_bytes:
-        return F.broadcast(small)
-    small = small.cache()
-    if small.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(small)
-    return small
-
-
 # Prefix that no real key carries: a NULL join key becomes a unique,
 # never-matching value, so NULL-key rows spread over all partitions instead of
 # all hashing to one (a left join would keep them unmatched anyway).

@@ -137,7 +137,8 @@ class Workspace:
         name, col = {"tracks": ("stg_tracks", "track_snapshot_date"),
                      "artists": ("stg_artists", "artist_snapshot_date")}[kind]
         (self.stg_tracks if kind == "tracks" else self.stg_artists)()     # materialised
-        values = self.tables[name].partition_values(col)
+        # Rows without a date lie in Hive's default partition, which names no date.
+        values = [v for v in self.tables[name].partition_values(col) if v != HIVE_NULL]
         return self.spark.createDataFrame([(v,) for v in values], "d string").select(
             F.col("d").cast("date").alias(col))
 
@@ -173,6 +174,7 @@ class Workspace:
                                   FACT_COLUMNS)
 
 
+HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
 _WORKSPACES: dict[tuple[str, str], Workspace] = {}
 _WS_LOCK = threading.Lock()
 
@@ -188,45 +190,22 @@ def workspace(spark: SparkSession, root: str) -> Workspace:
 
 
 # -- OP-24: a full run ----------------------------------------------------------
-def upsert_dimension(table: VersionedTable, stg: DataFrame, build, key: str,
-                     date_col: str, read_new_partitions_only: bool = False) -> DataFrame:
+def upsert_dimension(table: VersionedTable, stg: DataFrame, build, key: str) -> DataFrame:
     """Incremental model with a unique key. First run: write the dimension.
     Later runs: MERGE the latest row per key into the committed version (a
     new version; keys gone from staging survive). As in the reference, the
     source is rebuilt from all history, which also picks up late files for
-    old snapshots. ``read_new_partitions_only`` reads only snapshots newer
-    than the newest one a previous run consumed (recorded in a marker, so
-    rows written by other steps, e.g. enrichment, do not move it), at the
-    price of ignoring late files for older snapshots (the streaming path
-    handles those with an order-aware upsert)."""
-    src = stg
-    if table.exists() and read_new_partitions_only:
-        mark = consumed_upto(table)
-        if mark is not None:
-            src = stg.filter(F.col(date_col) > F.lit(mark).cast("date"))
+    old snapshots and further files of the newest one."""
     # ``build`` is latest-by-key, so the source keys are unique by construction.
-    table.write(build(src) if not table.exists() else ops.upsert(table.read(), build(src), key))
-    upto = src.agg(F.max(date_col)).collect()[0][0]          # one scalar
-    if upto is not None:
-        put_marker(table.spark, f"{table.root}/{_UPTO}{upto.isoformat()}")
+    table.write(build(stg) if not table.exists() else ops.upsert(table.read(), build(stg), key))
     return table.read()
 
 
-_UPTO = "_SOURCE_UPTO_"
-
-
-def consumed_upto(table: VersionedTable) -> str | None:
-    """Newest source snapshot date merged into ``table`` by earlier runs."""
-    marks = [n[len(_UPTO):] for n in table.names() if n.startswith(_UPTO)]
-    return max(marks) if marks else None
-
-
-def run_models(spark: SparkSession, root: str, out: str | None = None,
-               read_new_partitions_only: bool = False) -> dict[str, DataFrame]:
+def run_models(spark: SparkSession, root: str, out: str | None = None) -> dict[str, DataFrame]:
     """Run the whole DAG over the scale binding of the tables in ``root``."""
     ws = workspace(spark, root)
     return run_models_on(spark, ws.stg_tracks(), ws.stg_artists(), ws.details(),
-                         out or ws.base, read_new_partitions_only)
+                         out or ws.base)
 
 
 def stage_landing(spark: SparkSession, landing_root: str, out: str) -> tuple[DataFrame, DataFrame]:
@@ -243,19 +222,16 @@ def stage_landing(spark: SparkSession, landing_root: str, out: str) -> tuple[Dat
 
 
 def run_models_on(spark: SparkSession, stg_t: DataFrame, stg_a: DataFrame,
-                  details: DataFrame, out: str,
-                  read_new_partitions_only: bool = False) -> dict[str, DataFrame]:
+                  details: DataFrame, out: str) -> dict[str, DataFrame]:
     """Run the DAG in dependency order on staged feeds and a details table
     (columns of ``schemas.ARTIST_DETAILS``), writing under ``out``. Returns
     every relation, each read back from its written table (marts unsorted;
     see ``present``); the persistence mart stays a lazy view."""
     base = out
     d_art = upsert_dimension(
-        VersionedTable(spark, f"{base}/run/dim_artists"), stg_a, ops.dim_artists, "artist_id",
-        "artist_snapshot_date", read_new_partitions_only)
+        VersionedTable(spark, f"{base}/run/dim_artists"), stg_a, ops.dim_artists, "artist_id")
     d_alb = upsert_dimension(
-        VersionedTable(spark, f"{base}/run/dim_albums"), stg_t, ops.dim_albums, "album_id",
-        "track_snapshot_date", read_new_partitions_only)
+        VersionedTable(spark, f"{base}/run/dim_albums"), stg_t, ops.dim_albums, "album_id")
     # Enrichment runs between the artist dimension and the fact.
     t_art = VersionedTable(spark, f"{base}/run/dim_artists")
     t_art.write(ops.enrich_artists(stg_t, d_art, details))

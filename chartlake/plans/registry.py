@@ -114,7 +114,8 @@ def dim_artists(spark, root):
 
 def _split_newest(df, date):
     newest = df.agg(F.max(date)).scalar()
-    return df.filter(F.col(date) < newest), df.filter(F.col(date) == newest)
+    is_newest = F.coalesce(F.col(date) == newest, F.lit(False))     # rows without a date are old
+    return df.filter(~is_newest), df.filter(is_newest)
 
 
 def upsert_albums(spark, root):
@@ -173,7 +174,8 @@ def _newest(ws):
 
 
 def latest_snapshot(spark, root):
-    return ops.latest_snapshot(workspace(spark, root).snapshot_dates("tracks"))
+    """Read from the staged tracks; only the partition column is scanned."""
+    return ops.latest_snapshot(workspace(spark, root).stg_tracks())
 
 
 def snapshot_entities(spark, root):
@@ -215,8 +217,8 @@ def enrich_artists(spark, root):
 # -- streaming (incremental model maintenance) -------------------------------------
 def stream_dim_artists(spark, root):
     """The artist dimension maintained by an availableNow file stream over
-    the landing zone, several files per micro-batch, each merged with the
-    order-aware upsert; must equal the batch-built dimension."""
+    the landing zone: all files not seen yet in one micro-batch, hence one merge
+    with the order-aware upsert and one new version per run; must equal the batch-built dimension."""
     import uuid
 
     from ..streaming import start_dimension_stream
@@ -224,10 +226,8 @@ def stream_dim_artists(spark, root):
     ws = workspace(spark, root)
     run = f"{ws.base}/stream-{uuid.uuid4().hex[:12]}"
     q = start_dimension_stream(spark, f"{ws.land()}/artists", "artists", f"{run}/dim",
-                               f"{run}/checkpoint", max_files_per_trigger=42)
-    if not q.awaitTermination(3600):              # availableNow stops by itself
-        q.stop()
-        raise TimeoutError("stream did not finish the available files in time")
+                               f"{run}/checkpoint")
+    q.awaitTermination()                          # availableNow stops by itself
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     t = VersionedTable(spark, f"{run}/dim")

@@ -2,8 +2,8 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
-import uuid
 
 from pyspark.sql import SparkSession
 
@@ -25,17 +25,16 @@ def get_session(master: str | None = None, cores: int | None = None,
     """Build (or fetch) a session. Without an explicit ``master`` the
     launcher's master (spark-submit / cluster configuration) is kept; only
     when none is configured does the session run on ``local[cores]``."""
+    from pyspark import SparkConf
+    launched = SparkConf()                       # what spark-submit or the cluster configured
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    else:
-        from pyspark import SparkConf
-        if not SparkConf().contains("spark.master"):
-            b = b.master(f"local[{cores or os.cpu_count() or 8}]")
-    conf = dict(DEFAULT_CONF)
-    if shuffle_partitions:
+    elif not launched.contains("spark.master"):
+        b = b.master(f"local[{cores or os.cpu_count() or 8}]")
+    conf = {k: v for k, v in DEFAULT_CONF.items() if not launched.contains(k)}
+    if shuffle_partitions and not launched.contains("spark.sql.shuffle.partitions"):
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", "16g")
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -45,17 +44,13 @@ def get_session(master: str | None = None, cores: int | None = None,
 
 
 def scale_conf(input_bytes: int, total_cores: int,
-               target_partition_bytes: int = 256 * 1024 * 1024,
-               max_partitions: int = 100_000) -> dict[str, str]:
+               target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Shuffle sizing for a cluster run. Initial shuffle partitions: about
-    ``target_partition_bytes`` of input each, at least 2 per core, at most
-    ``max_partitions`` (shuffle bookkeeping grows with mappers x reducers;
-    past that cap partitions grow instead, and sort-based operators spill).
-    AQE coalesces small partitions to the advisory size and splits skewed
-    ones (5x the median and above 256 MiB). Pass the result as ``extra`` to
-    ``get_session`` (or as spark-submit --conf)."""
+    ``target_partition_bytes`` of input each, at least 2 per core. AQE coalesces
+    small partitions to the advisory size and splits skewed ones (5x the median
+    and above 256 MiB). Pass the result as ``extra`` to ``get_session`` (or as
+    spark-submit --conf)."""
     parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
-    parts = min(parts, max(max_partitions, 2 * total_cores))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
@@ -68,24 +63,20 @@ def scale_conf(input_bytes: int, total_cores: int,
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared working folder: ``spark.checkpoint.dir`` from the
-    session. Only when it is unset (local runs, tests) do we make one, and
-    we register it as the checkpoint dir so ``checkpoint()`` uses it too."""
+    session, or the checkpoint folder set on its context. Where neither is set a
+    local session (tests) gets a folder of its own; on a cluster that is an error,
+    since executors would not share it."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        try:
-            cd = spark.sparkContext._jsc.sc().getCheckpointDir()
-            d = cd.get() if cd.isDefined() else None
-        except Exception:
-            d = None
+        cd = spark.sparkContext._jsc.sc().getCheckpointDir()
+        d = cd.get() if cd.isDefined() else None
     if not d:
-        d = tempfile.mkdtemp(prefix="chartlake-")
-        try:
-            spark.sparkContext.setCheckpointDir(d)
-        except Exception:
-            pass
+        d = _own_dir(spark.sparkContext.master)
+        spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
 
 
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new, never-used path under the shared folder (versioned writes)."""
-    return f"{shared_dir(spark)}/{name}/v-{uuid.uuid4().hex[:12]}"
+def _own_dir(master: str) -> str:
+    if not re.fullmatch(r"local(\[[^,\]]*(,[^\]]*)?\])?", master):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
+    return tempfile.mkdtemp(prefix="chartlake-")

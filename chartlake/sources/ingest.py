@@ -27,16 +27,13 @@ def ingest_run(items: DataFrame, kind: str, score: Column | str, landing_root: s
     compact JSON lines under ``landing_root/kind/year=…/month=…/day=…``.
     A score given by column name is left out of the item unless
     ``keep_score`` (it is an item field, e.g. popularity). Returns the written lines
-    (lazy). Items with every field NULL are dropped; an empty source writes
+    (lazy). An item whose fields are all NULL is an item; an empty source writes
     nothing."""
     check_kind(kind)
     best = top_items(items, score, k)
     sc = score if isinstance(score, str) and not keep_score else None
     cols = [c for c in best.columns if c != sc]
-    any_field = F.lit(False)
-    for c in cols:
-        any_field = any_field | F.col(c).isNotNull()
-    lines = best.filter(any_field).select(
+    lines = best.select(
         F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("value"))
     write_landing(lines, f"{landing_root.rstrip('/')}/{kind}", run_ts=run_ts)
     return lines

@@ -58,8 +58,43 @@ def test_decade_rank_sorts_newest_first(spark):
 
 def test_scale_conf_sizes_partitions():
     from chartlake.session import scale_conf
-    c = scale_conf(100 * 1024 ** 4, 8000)            # 100 TiB on 8000 cores: capped
-    assert int(c["spark.sql.shuffle.partitions"]) == 100_000
+    c = scale_conf(100 * 1024 ** 4, 8000)            # 100 TiB: 256 MiB each
+    assert int(c["spark.sql.shuffle.partitions"]) == 409_600
     c = scale_conf(1024 ** 4, 1000)                  # 1 TiB: 256 MiB each
     assert int(c["spark.sql.shuffle.partitions"]) == 4096
     assert int(scale_conf(1024, 8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_launcher_settings_win(monkeypatch, spark):
+    import pyspark
+    from chartlake import session
+
+    class Launched:
+        def contains(self, key):
+            return key in ("spark.sql.session.timeZone", "spark.master")
+    monkeypatch.setattr(pyspark, "SparkConf", Launched)
+    set_ = {}
+
+    class Builder:
+        def appName(self, _):
+            return self
+
+        def config(self, k, v):
+            set_[k] = v
+            return self
+
+        def getOrCreate(self):
+            return spark
+    monkeypatch.setattr(session, "SparkSession", type("S", (), {"builder": Builder()}))
+    session.get_session()
+    assert "spark.sql.session.timeZone" not in set_ and "spark.sql.adaptive.enabled" in set_
+    assert "spark.driver.memory" not in set_
+
+
+def test_a_cluster_needs_a_shared_folder():
+    import pytest
+    from chartlake.session import _own_dir
+    for master in ("spark://h:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            _own_dir(master)
+    assert _own_dir("local[4]") and _own_dir("local") and _own_dir("local[*]")

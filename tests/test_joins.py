@@ -1,30 +1,5 @@
 from pyspark.sql import functions as F
 
-from chartlake.operators import joins
-
-
-def _hinted(df) -> bool:
-    return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
-
-
-def test_small_estimate_is_broadcast(spark):
-    small = spark.range(10)
-    assert _hinted(joins.broadcast_if_bounded(small))
-
-
-def test_loose_estimate_falls_back_to_a_row_count(spark, monkeypatch):
-    monkeypatch.setattr(joins, "estimated_bytes", lambda df: 10 ** 15)   # estimate too loose
-    small = spark.range(100).select((F.col("id") % 7).alias("d")).distinct()
-    assert _hinted(joins.broadcast_if_bounded(small, max_rows=10))      # 7 rows counted
-
-
-def test_too_many_rows_stays_a_shuffle_join(spark, monkeypatch):
-    monkeypatch.setattr(joins, "estimated_bytes", lambda df: None)      # no estimate at all
-    big = spark.range(1000)
-    out = joins.broadcast_if_bounded(big, max_rows=100)
-    assert not _hinted(out)
-    assert out.count() == 1000
-
 
 def test_null_keys_spread_and_never_match(spark):
     from chartlake.operators.joins import spread_null_key

@@ -26,16 +26,7 @@ def test_models_rerun_is_stable(spark):
         F.col("avg_track_popularity").isNull()).count() == 0
 
 
-def test_models_incremental_read_of_new_partitions(spark):
-    first = run_models(spark, SF, read_new_partitions_only=True)
-    second = run_models(spark, SF, read_new_partitions_only=True)
-    assert sorted(map(tuple, second["dim_albums"].collect())) == \
-        sorted(map(tuple, first["dim_albums"].collect()))
-
-
-def test_incremental_watermark_ignores_rows_written_by_enrichment(spark, tmp_dir):
-    import datetime as dt
-
+def test_a_second_file_of_the_newest_day_is_merged(spark, tmp_dir):
     from chartlake import operators as ops
     from chartlake.plans.models import upsert_dimension
     from chartlake.plans.tables import VersionedTable
@@ -45,20 +36,24 @@ def test_incremental_watermark_ignores_rows_written_by_enrichment(spark, tmp_dir
         return ops.stage_artists(raw_artists_df(spark, rows_))
 
     t = VersionedTable(spark, f"{tmp_dir}/dim")
-    upsert_dimension(t, stg([artist("A1", "v1", "2024-01-01")]), ops.dim_artists, "artist_id",
-                     "artist_snapshot_date", read_new_partitions_only=True)
-    # enrichment stamps a row with a newer (track) snapshot date
-    enriched = t.read().unionByName(t.read().limit(1).select(
-        F.lit("A9").alias("artist_id"), *[c for c in t.read().columns if c not in
-                                          ("artist_id", "last_seen_artist_snapshot_date")],
-        F.lit(dt.date(2024, 1, 5)).alias("last_seen_artist_snapshot_date")))
-    t.write(enriched.select(*t.read().columns))
-    # the artist feed for 2024-01-03 arrives afterwards
-    later = stg([artist("A1", "v1", "2024-01-01"), artist("A1", "v3", "2024-01-03")])
-    out = upsert_dimension(t, later, ops.dim_artists, "artist_id", "artist_snapshot_date",
-                           read_new_partitions_only=True)
-    got = {r.artist_id: r.artist_name for r in out.collect()}
-    assert got == {"A1": "v3", "A9": "v1"}
+    upsert_dimension(t, stg([artist("A1", "v1", "2024-01-01")]), ops.dim_artists, "artist_id")
+    later = stg([artist("A1", "v1", "2024-01-01"), artist("A5", "n", "2024-01-01"), artist("A6", "n", "2023-01-01")])
+    out = upsert_dimension(t, later, ops.dim_artists, "artist_id")
+    assert {r.artist_id for r in out.collect()} == {"A1", "A5", "A6"}
+
+
+def test_partition_without_a_date_is_no_snapshot(spark, tmp_dir):
+    from chartlake.plans.models import HIVE_NULL, Workspace
+    from chartlake.plans.tables import VersionedTable
+    ws = Workspace(spark, SF)
+    df = ws.stg_tracks().limit(5)
+    bad = df.withColumn("track_snapshot_date", F.lit(None).cast("date"))
+    t = VersionedTable(spark, f"{tmp_dir}/stg")
+    t.write(df.unionByName(bad), ["track_snapshot_date"])
+    assert HIVE_NULL in t.partition_values("track_snapshot_date")
+    ws.tables["stg_tracks"] = t
+    dates = [r[0] for r in ws.snapshot_dates("tracks").collect()]
+    assert dates and None not in dates
 
 
 def test_new_session_reuses_written_layers(spark):
