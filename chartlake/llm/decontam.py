@@ -25,8 +25,8 @@ RANK = 256               # of the latent space, at most
 BLOCK, BLOCKS = 16, 3    # a window is BLOCKS blocks of BLOCK words
 PASSAGE = 96             # words of a benchmark passage, at most
 QUERIES = 4096           # benchmark passages compared at a time, at most
-COMMON = 0.05            # words in more than this share of passages carry no weight
-COSINE = 0.4
+COMMON = 0.01            # words in more than this share of passages carry no weight
+COSINE = 0.5
 SAME, CLOSE, ANSWER = 0.75, 0.55, 0.6    # of the passage's words; of the answer's
 SHORT = 8                # passages of fewer words must occur word for word
 
@@ -195,6 +195,7 @@ class Searcher:
         self.weight = np.where(idf > 0, idf, 0.0).astype(np.float32)
         self.rows = basis * np.where(idf[feats] > 0, idf[feats], 1.0).astype(np.float32)[:, None]
         self.queries = queries                                   # (item_id, part, words, answer)
+        self.lists = [w.tolist() for _, _, w, _ in queries]
         lat = np.zeros((len(queries), basis.shape[1]), np.float32)
         for i, (_, _, w, _) in enumerate(queries):
             f, v = weigh(w, idf)
@@ -228,15 +229,22 @@ class Searcher:
     def hits(self, words: np.ndarray) -> list[tuple[int, float, float, float]]:
         """(item_id, cosine, share of its words in order, share of the answer)."""
         out: dict[int, tuple] = {}
-        for a in range(0, len(words), 65536):                    # long texts part by part, overlapping
-            part = words[max(0, a - 2 * PASSAGE):a + 65536 + 2 * PASSAGE]
+        for at in range(0, len(words), 65536):                   # long texts part by part, overlapping
+            part = words[max(0, at - 2 * PASSAGE):at + 65536 + 2 * PASSAGE]
             starts, lat = self.windows(part)
             if lat is None:
                 continue
             cos = (lat @ self.latent.T) / np.maximum(np.linalg.norm(lat, axis=1, keepdims=True), 1e-12)
-            for s, q in np.argwhere(cos >= COSINE):
+            rows, cols = np.nonzero(cos >= COSINE)
+            near, around = -1, frozenset()
+            for s, q in zip(rows.tolist(), cols.tolist()):
+                if s != near:                                    # the words near the window, of any passage's reach
+                    a, z = max(0, starts[s] - PASSAGE), starts[s] + BLOCK * BLOCKS + PASSAGE
+                    near, around = s, frozenset(part[a:z].tolist())
                 item, _, passage, _ = self.queries[q]
                 n = len(passage)
+                if sum(map(around.__contains__, self.lists[q])) < CLOSE * n:
+                    continue                                     # no subsequence is longer than that
                 wide = max(0, n - BLOCK * (BLOCKS - 1)) + 4
                 region = part[max(0, starts[s] - wide):starts[s] + BLOCK * BLOCKS + wide]
                 if n < SHORT:
