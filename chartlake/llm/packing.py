@@ -30,14 +30,33 @@ _RUN = re.compile(r"\s\s")
 _state: dict = {}
 
 
+def byte_letters() -> dict[str, int]:
+    """The letters that byte-level vocabularies write for bytes: printable ones for
+    themselves, the others for the characters from 256 on, in order."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
 class Encoder:
     """Token ids as little-endian 32-bit numbers. The byte-level pre-tokenizer always cuts
     before a single space between two other characters, so a text's ids are
-    those of its parts, and parts that recur are looked up."""
+    those of its parts, and parts that recur are looked up. New parts are merged by
+    tiktoken from the same file's vocabulary (its ids are in the order of the merges),
+    several times as fast as by the tokenizer itself; parts that hold one of its special
+    tokens are left to the tokenizer."""
 
     def __init__(self, path: str):
+        from public_tokenizers import PATTERN
+        from tiktoken import Encoding
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
+        byte = byte_letters()
+        ranks = {bytes(byte[c] for c in t): i
+                 for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t not in special}
+        self.merger = Encoding("pieces", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -60,13 +79,15 @@ class Encoder:
                 known[x] = older[x]
             else:
                 fresh.append(x)
-        firsts = [p[0] for p in parts]
-        coded = self.tokenizer.encode_batch_fast([" " + x for x in fresh] + firsts, add_special_tokens=False)
-        for x, e in zip(fresh, coded):
-            known[x] = array("I", e.ids).tobytes()
+        for x in fresh:
+            known[x] = self.ids(" " + x)
         get = known.__getitem__
-        return [array("I", e.ids).tobytes() + b"".join(map(get, p[1:]))
-                for p, e in zip(parts, coded[len(fresh):])]
+        return [self.ids(p[0]) + b"".join(map(get, p[1:])) for p in parts]
+
+    def ids(self, part: str) -> bytes:
+        if self.special.search(part):
+            return array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
+        return array("I", self.merger.encode_ordinary(part)).tobytes()
 
 
 def _encoder(path: str) -> Encoder:
