@@ -25,8 +25,8 @@ RANK = 256               # of the latent space, at most
 BLOCK, BLOCKS = 16, 3    # a window is BLOCKS blocks of BLOCK words
 PASSAGE = 96             # words of a benchmark passage, at most
 QUERIES = 4096           # benchmark passages compared at a time, at most
-COMMON = 0.01            # words in more than this share of passages carry no weight
-COSINE = 0.5
+COMMON = 0.5             # words in more than this share of passages carry no weight
+COSINE = 0.4
 SAME, CLOSE, ANSWER = 0.75, 0.55, 0.6    # of the passage's words; of the answer's
 SHORT = 8                # passages of fewer words must occur word for word
 
