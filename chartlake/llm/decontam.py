@@ -10,7 +10,6 @@ subsequence with the passage, and the answer's words. That also finds paraphrase
 from __future__ import annotations
 
 import re
-import zlib
 
 import numpy as np
 import pandas as pd
@@ -28,30 +27,63 @@ QUERIES = 4096           # benchmark passages compared at a time, at most
 COMMON = 0.5             # words in more than this share of passages carry no weight
 COSINE = 0.4
 SAME, CLOSE, ANSWER = 0.75, 0.55, 0.6    # of the passage's words; of the answer's
+TOGETHER = 4096          # words of texts compared at a time (one part of a long text may be more)
 SHORT = 8                # passages of fewer words must occur word for word
 
-_WORD = re.compile(r"\w+")
+PART = 1 << 20           # characters hashed at a time, to the end of a word
 
+_GAP = re.compile(r"\W")
+_tables: dict = {}
 
-def word_ids(text: str | None, known: dict) -> np.ndarray:
-    """32-bit hashes of the lower-case words."""
-    words = _WORD.findall(text.lower()) if text else []
-    out = np.empty(len(words), np.uint32)
-    for i, w in enumerate(words):
-        h = known.get(w)
-        if h is None:
-            if len(known) > 500_000:
-                known.clear()
-            h = known[w] = zlib.crc32(w.encode("utf-8", "surrogatepass"))
-        out[i] = h
-    return out
+
+def _characters() -> np.ndarray:
+    """Which code points are letters, digits or the underscore."""
+    if "word" not in _tables:
+        _tables["word"] = np.fromiter((c == 95 or chr(c).isalnum() for c in range(0x110000)), bool, 0x110000)
+    return _tables["word"]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers, n at least, of an odd number modulo 2^64 and of its inverse."""
+    if len(_tables.get("up", ())) < n:
+        base = 0x9E3779B97F4A7C15
+        for name, x in (("up", base), ("down", pow(base, -1, 1 << 64))):
+            steps = np.full(n + 1, x, np.uint64)
+            steps[0] = 1
+            _tables[name] = np.multiply.accumulate(steps)
+    return _tables["up"], _tables["down"]
+
+
+def mix(h: np.ndarray) -> np.ndarray:
+    """Spread 64-bit numbers over all their bits."""
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
+def word_ids(text: str | None) -> np.ndarray:
+    """32-bit hashes of the lower-case words (runs of letters, digits and
+    underscores): polynomials over the words' code points, from prefix sums."""
+    lower, out, at = text.lower() if text else "", [], 0
+    while at < len(lower):
+        gap = _GAP.search(lower, min(at + PART, len(lower)))
+        end = gap.start() if gap else len(lower)
+        points = np.frombuffer(lower[at:end].encode("utf-32-le", "surrogatepass"), np.uint32)
+        inside = np.zeros(len(points) + 2, np.int8)
+        inside[1:-1] = _characters()[points]
+        edges = np.flatnonzero(np.diff(inside))
+        up, down = _powers(len(points))
+        sums = np.zeros(len(points) + 1, np.uint64)
+        np.cumsum(mix(points + np.uint64(1)) * up[:len(points)], out=sums[1:])
+        starts, ends = edges[::2], edges[1::2]
+        out.append(mix((sums[ends] - sums[starts]) * down[starts]).astype(np.uint32))
+        at = end
+    return np.concatenate(out) if out else np.empty(0, np.uint32)
 
 
 def _hash_words(batches):
-    known: dict = {}
     for b in batches:
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), b.column(1), pa.array([word_ids(t.as_py(), known).tobytes() for t in b.column(2)],
+            [b.column(0), b.column(1), pa.array([word_ids(t.as_py()).tobytes() for t in b.column(2)],
                                                 pa.binary())], names=["doc_id", "text_hash", "words"])
 
 
@@ -65,13 +97,19 @@ def _count_passages(batches):
     """Passages of BLOCK * BLOCKS words that hold each feature; feature -1: all."""
     total, n = np.zeros(FEATURES, np.int64), 0
     size = BLOCK * BLOCKS
+    held, waiting = [], 0
     for b in batches:
         for w in b.column(0):
             f = (np.frombuffer(w.as_py(), np.uint32) % FEATURES).astype(np.int64)
             if len(f):
-                key = np.unique((np.arange(len(f)) // size) * FEATURES + f)
-                total += np.bincount(key % FEATURES, minlength=FEATURES)
+                held.append(np.unique((np.arange(len(f)) // size) * FEATURES + f) % FEATURES)
+                waiting += len(f)
                 n += -(-len(f) // size)
+            if waiting > 1 << 20:
+                total += np.bincount(np.concatenate(held), minlength=FEATURES)
+                held, waiting = [], 0
+    if held:
+        total += np.bincount(np.concatenate(held), minlength=FEATURES)
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(total[at], n))],
                                      names=["feature", "n"])
@@ -94,13 +132,12 @@ def benchmark_passages(benchmark: DataFrame) -> DataFrame:
     answer = F.col("answer").cast("string") if "answer" in benchmark.columns else F.lit(None).cast("string")
 
     def cut(batches):
-        known: dict = {}
         for b in batches:
             rows = []
             for item, text, ans in zip(*(b.column(i).to_pylist() for i in range(3))):
-                w = word_ids(text, known)
+                w = word_ids(text)
                 parts = np.array_split(w, -(-len(w) // PASSAGE)) if len(w) else []
-                rows += [(item, i, p.tobytes(), word_ids(ans, known).tobytes()) for i, p in enumerate(parts)]
+                rows += [(item, i, p.tobytes(), word_ids(ans).tobytes()) for i, p in enumerate(parts)]
             cols = list(zip(*rows)) if rows else [()] * 4
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.binary(), pa.binary()))],
@@ -210,54 +247,82 @@ class Searcher:
                 rare = u[np.argsort(-idf[u % FEATURES], kind="stable")[:max(1, len(u) // 4)]]
                 self.answers.append(set(rare.tolist()))
 
-    def windows(self, words: np.ndarray):
-        """(first words of windows, their latent vectors)."""
-        col = self.column[words % FEATURES]
+    def windows(self, parts: list[np.ndarray]):
+        """(part, first word, latent vector of length one) of all windows of some texts. The
+        texts are laid out in blocks with BLOCKS - 1 empty ones between them, so
+        that no window holds words of two."""
+        sizes = np.array([len(p) for p in parts])
+        blocks = -(-sizes // BLOCK) + BLOCKS - 1
+        begin = np.concatenate(([0], np.cumsum(blocks)[:-1]))
+        col = self.column[np.concatenate(parts) % FEATURES]
         at = np.flatnonzero(col >= 0)
+        before = np.cumsum(sizes) - sizes
+        place = at + np.repeat(begin * BLOCK - before, sizes)[at]
         if not len(at):
-            return np.empty(0, np.int64), None
-        block, first = np.unique(at // BLOCK, return_index=True)
-        sums = np.add.reduceat(self.rows[col[at]], first, axis=0)
-        starts = np.unique(np.concatenate([np.maximum(0, block - i) for i in range(BLOCKS)]))
+            return at, at, np.empty((0, self.rows.shape[1]), np.float32)
+        block, first = np.unique(place // BLOCK, return_index=True)
+        sums = np.add.reduceat(self.rows.take(col[at], axis=0), first, axis=0)
+        low = begin[np.searchsorted(begin, block, side="right") - 1]
+        starts = np.unique(np.concatenate([np.maximum(low, block - i) for i in range(BLOCKS)]))
         lat = np.zeros((len(starts), sums.shape[1]), np.float32)
         for i in range(BLOCKS):
-            j = np.searchsorted(block, starts + i)
-            ok = (j < len(block)) & (block[np.minimum(j, len(block) - 1)] == starts + i)
+            j = np.minimum(np.searchsorted(block, starts + i), len(block) - 1)
+            ok = block[j] == starts + i
             lat[ok] += sums[j[ok]]
-        return starts * BLOCK, lat
-
-    def hits(self, words: np.ndarray) -> list[tuple[int, float, float, float]]:
-        """(item_id, cosine, share of its words in order, share of the answer)."""
-        out: dict[int, tuple] = {}
-        for at in range(0, len(words), 65536):                   # long texts part by part, overlapping
-            part = words[max(0, at - 2 * PASSAGE):at + 65536 + 2 * PASSAGE]
-            starts, lat = self.windows(part)
-            if lat is None:
+        lat /= np.maximum(np.linalg.norm(lat, axis=1, keepdims=True), 1e-12)
+        part = np.searchsorted(begin, starts, side="right") - 1
+        return part, (starts - begin[part]) * BLOCK, lat
+
+    def hits(self, texts: list[np.ndarray]) -> list[list[tuple[int, float, float, float]]]:
+        """For each text (item_id, cosine, share of its words in order, share of the
+        answer) of the items in it."""
+        out: list[dict] = [{} for _ in texts]
+        held, size = [], 0
+        for i, words in enumerate(texts):
+            for at in range(0, len(words), 65536):               # long texts part by part, overlapping
+                held.append((out[i], words[max(0, at - 2 * PASSAGE):at + 65536 + 2 * PASSAGE]))
+                size += len(held[-1][1])
+                if size >= TOGETHER:
+                    self.compare(held)
+                    held, size = [], 0
+        if held:
+            self.compare(held)
+        return [[(k, c, s, f) for k, (s, f, c) in sorted(o.items(), key=lambda x: (x[0] is None, x[0]))] for o in out]
+
+    def compare(self, held: list[tuple[dict, np.ndarray]]) -> None:
+        owner, starts, lat = self.windows([p for _, p in held])
+        cos = lat @ self.latent.T
+        rows, cols = np.nonzero(cos >= COSINE)
+        n = len(self.queries)
+        pairs, which = np.unique(owner[rows] * n + cols, return_inverse=True)
+        able, mine, lists = np.zeros(len(pairs), bool), -1, {}
+        for i, (p, q) in enumerate(zip(*(x.tolist() for x in np.divmod(pairs, n)))):
+            if p != mine:                                        # a bound for all of a text, then one for each window
+                mine, lists[p] = p, held[p][1].tolist()
+                here = frozenset(lists[p])
+            able[i] = sum(map(here.__contains__, self.lists[q])) >= CLOSE * len(self.lists[q])
+        keep = able[which]
+        rows, cols = rows[keep], cols[keep]
+        near, around = -1, frozenset()
+        for s, q, c in zip(rows.tolist(), cols.tolist(), cos[rows, cols].tolist()):
+            out, part = held[owner[s]]
+            start = int(starts[s])
+            if s != near:                                        # the words near the window, of any passage's reach
+                near, around = s, frozenset(
+                    lists[owner[s]][max(0, start - PASSAGE):start + BLOCK * BLOCKS + PASSAGE])
+            item, _, passage, _ = self.queries[q]
+            n = len(passage)
+            if sum(map(around.__contains__, self.lists[q])) < CLOSE * n:
+                continue                                         # no subsequence is longer than that
+            wide = max(0, n - BLOCK * (BLOCKS - 1)) + 4
+            region = part[max(0, start - wide):start + BLOCK * BLOCKS + wide]
+            same = float(occurs(passage, region)) if n < SHORT else common_subsequence(passage, region) / n
+            if same < CLOSE:
                 continue
-            cos = (lat @ self.latent.T) / np.maximum(np.linalg.norm(lat, axis=1, keepdims=True), 1e-12)
-            rows, cols = np.nonzero(cos >= COSINE)
-            near, around = -1, frozenset()
-            for s, q in zip(rows.tolist(), cols.tolist()):
-                if s != near:                                    # the words near the window, of any passage's reach
-                    a, z = max(0, starts[s] - PASSAGE), starts[s] + BLOCK * BLOCKS + PASSAGE
-                    near, around = s, frozenset(part[a:z].tolist())
-                item, _, passage, _ = self.queries[q]
-                n = len(passage)
-                if sum(map(around.__contains__, self.lists[q])) < CLOSE * n:
-                    continue                                     # no subsequence is longer than that
-                wide = max(0, n - BLOCK * (BLOCKS - 1)) + 4
-                region = part[max(0, starts[s] - wide):starts[s] + BLOCK * BLOCKS + wide]
-                if n < SHORT:
-                    same = float(occurs(passage, region))
-                else:
-                    same = common_subsequence(passage, region) / n
-                if same < CLOSE:
-                    continue
-                answer = self.answers[q]
-                found = len(answer.intersection(region.tolist())) / len(answer)
-                if same >= SAME or found >= ANSWER:
-                    out[item] = max(out.get(item, (0, 0, 0)), (same, found, float(cos[s, q])))
-        return [(k, c, s, f) for k, (s, f, c) in sorted(out.items())]
+            answer = self.answers[q]
+            found = len(answer.intersection(region.tolist())) / len(answer)
+            if same >= SAME or found >= ANSWER:
+                out[item] = max(out.get(item, (0, 0, 0)), (same, found, c))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -290,8 +355,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         def search(batches, model=model):
             finder = Searcher(*model.value)
             for b in batches:
-                rows = [(d, h, *x) for d, h, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2))
-                        for x in finder.hits(np.frombuffer(w.as_py(), np.uint32))]
+                found = finder.hits([np.frombuffer(w.as_py(), np.uint32) for w in b.column(2)])
+                rows = [(d, h, *x) for d, h, f in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), found)
+                        for x in f]
                 cols = list(zip(*rows)) if rows else [()] * 6
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 3 + [pa.float64()] * 3)],
