@@ -57,6 +57,9 @@ class Encoder:
         ranks = {bytes(byte[c] for c in t): i
                  for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t not in special}
         self.merger = Encoding("pieces", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.sizes = np.zeros(1 + max(ranks.values()), np.int64)          # bytes of each token
+        for token, i in ranks.items():
+            self.sizes[i] = len(token)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -79,11 +82,26 @@ class Encoder:
                 known[x] = older[x]
             else:
                 fresh.append(x)
-        for x in fresh:
-            known[x] = self.ids(" " + x)
+        known.update(zip(fresh, self.after_space(fresh)))
         get = known.__getitem__
         return [self.ids(p[0]) + b"".join(map(get, p[1:])) for p in parts]
 
+    def after_space(self, words: list[str]) -> list[bytes]:
+        """Ids of each word after a space. All are merged as one text, which is cut
+        before every such space, and told apart by the bytes of their tokens."""
+        text = "".join([" " + w for w in words])
+        if not words or self.special.search(text):
+            return [self.ids(" " + w) for w in words]
+        ids = np.array(self.merger.encode_ordinary(text), np.uint32)
+        last = np.cumsum(self.sizes[ids])
+        sizes = map(len, words) if text.isascii() else (len(w.encode()) for w in words)
+        ends = np.cumsum(np.fromiter(sizes, np.int64, len(words)) + 1)
+        to = np.searchsorted(last, ends) + 1
+        if not np.array_equal(last[to - 1], ends):
+            return [self.ids(" " + w) for w in words]
+        raw, to = ids.astype("<u4").tobytes(), (4 * to).tolist()
+        return [raw[a:b] for a, b in zip([0, *to], to)]
+
     def ids(self, part: str) -> bytes:
         if self.special.search(part):
             return array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
