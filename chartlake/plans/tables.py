@@ -2,17 +2,21 @@
 commit marker names it. Overwriting a path while a plan still reads it
 fails half-way and loses the data; a new version never does, and readers of
 the old version keep working. Nothing is deleted or renamed: the current
-version is the newest committed one (names sort by commit time)."""
+version is the one committed last. Versions are numbered at commit, by a
+marker that only one writer can create, so a writer that starts first and
+commits last is the newest; ``update`` builds again if another writer got in
+between, so neither loses the other's rows."""
 from __future__ import annotations
 
 import json
-import time
 import uuid
+from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-MARKER = "_COMMITTED_"
+MARKER = "_COMMITTED_"                   # its name: the version's number; its text: the folder
 SCHEMA_FILE = "_chartlake_schema.json"   # "_" prefix: ignored by the Parquet reader
 
 
@@ -44,9 +48,29 @@ class VersionedTable:
             return []
         return [st.getPath().getName() for st in fs.listStatus(p)]
 
+    def _latest(self) -> tuple[int, str | None]:
+        """(number, folder) of the version committed last; (0, None) if none is.
+        Two names tell a version: ``_COMMITTED_<number>`` claims the number, and
+        ``<number>`` leads the folder's name, written before it."""
+        names = self.names()
+        done = {n[len(MARKER):] for n in names if n.startswith(MARKER)}
+        if not done:
+            return 0, None
+        last = max(done)
+        fs, p, jvm = _fs(self.spark, f"{self.root}/{MARKER}{last}")
+        return int(last), f"{self.root}/{self._text(p, fs, jvm)}"
+
+    @staticmethod
+    def _text(p, fs, jvm) -> str:
+        stream = fs.open(p)
+        try:
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            return "".join(iter(reader.readLine, None))
+        finally:
+            stream.close()
+
     def current(self) -> str | None:
-        done = sorted(n[len(MARKER):] for n in self.names() if n.startswith(MARKER))
-        return f"{self.root}/{done[-1]}" if done else None
+        return self._latest()[1]
 
     def partition_values(self, column: str) -> list[str]:
         """Values of a partition column of the current version, from the
@@ -67,23 +91,37 @@ class VersionedTable:
         cur = self.current()
         if cur is None:
             raise FileNotFoundError(f"no committed version under {self.root}")
+        return self._read(cur)
+
+    def _read(self, path: str) -> DataFrame:
         # The recorded schema also reads an empty partitioned version (which
         # has no data file to infer a schema from).
-        fs, p, jvm = _fs(self.spark, f"{cur}/{SCHEMA_FILE}")
+        fs, p, jvm = _fs(self.spark, f"{path}/{SCHEMA_FILE}")
         if fs.exists(p):
-            stream = fs.open(p)
-            try:
-                reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-                text = "".join(iter(reader.readLine, None))
-            finally:
-                stream.close()
-            return self.spark.read.schema(T.StructType.fromJson(json.loads(text))).parquet(cur)
-        return self.spark.read.parquet(cur)
+            schema = T.StructType.fromJson(json.loads(self._text(p, fs, jvm)))
+            return self.spark.read.schema(schema).parquet(path)
+        return self.spark.read.parquet(path)
 
     def write(self, df: DataFrame, partition_by: list[str] | None = None) -> str:
         """Write ``df`` as a new version and commit it. Returns its path."""
-        name = f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-        path = f"{self.root}/{name}"
+        path = self._stage(df, partition_by)
+        while not self._commit(self._latest()[0] + 1, path):
+            pass                                  # another writer took the number: take the next
+        return path
+
+    def update(self, build: Callable[[DataFrame | None], DataFrame],
+               partition_by: list[str] | None = None) -> str:
+        """Write ``build(current rows, or None)`` as the next version. If another
+        writer commits in the meantime, build again on what it committed."""
+        while True:
+            base, cur = self._latest()
+            path = self._stage(build(self._read(cur) if cur else None), partition_by)
+            if self._commit(base + 1, path):
+                return path
+
+    def _stage(self, df: DataFrame, partition_by: list[str] | None) -> str:
+        """Write ``df`` to a new folder that no marker names yet."""
+        path = f"{self.root}/v-{uuid.uuid4().hex}"
         if partition_by:
             # few files per partition folder, hot partitions split (AQE).
             df = df.hint("rebalance", *partition_by)
@@ -91,16 +129,26 @@ class VersionedTable:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
-        fs, p, _ = _fs(self.spark, f"{path}/{SCHEMA_FILE}")
-        out = fs.create(p, True)
+        self._put(f"{path}/{SCHEMA_FILE}", df.schema.json())
+        return path
+
+    def _put(self, path: str, text: str) -> None:
+        """Create a file; an error if there is one."""
+        fs, p, _ = _fs(self.spark, path)
+        out = fs.create(p, False)
         try:
-            out.write(bytearray(df.schema.json().encode("utf-8")))
+            out.write(bytearray(text.encode("utf-8")))
         finally:
             out.close()
-        self._commit(name)
-        return path
 
-    def _commit(self, name: str) -> None:
-        # An empty marker file, created only after the data write succeeded.
-        fs, marker, _ = _fs(self.spark, f"{self.root}/{MARKER}{name}")
-        fs.create(marker, False).close()
+    def _commit(self, version: int, path: str) -> bool:
+        """Name ``path`` version ``version``, after its data is written. False if
+        another writer has that number: the marker is created exclusively."""
+        marker = f"{self.root}/{MARKER}{version:012d}"
+        try:
+            self._put(marker, path.rsplit("/", 1)[1])
+        except Py4JJavaError:
+            if has_marker(self.spark, marker):
+                return False
+            raise
+        return True
