@@ -49,9 +49,7 @@ class VersionedTable:
         return [st.getPath().getName() for st in fs.listStatus(p)]
 
     def _latest(self) -> tuple[int, str | None]:
-        """(number, folder) of the version committed last; (0, None) if none is.
-        Two names tell a version: ``_COMMITTED_<number>`` claims the number, and
-        ``<number>`` leads the folder's name, written before it."""
+        """(number, folder) of the version committed last; (0, None) if none is."""
         names = self.names()
         done = {n[len(MARKER):] for n in names if n.startswith(MARKER)}
         if not done:
