@@ -11,6 +11,7 @@ import re
 from collections import Counter
 from math import log2
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,6 +22,8 @@ SAMPLE_DOCS = 24         # labelled documents a language is learned from, at mos
 SAMPLE_CHARS = 4_000     # characters of each, at most (longer documents are not used)
 ALPHABET = 126           # characters told apart (the most frequent ones of the sample)
 UNKNOWN = "und"
+TOGETHER = 1024          # documents parsed in step
+FEW = 16                 # when fewer are left, each is parsed by itself
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _models: dict = {}
@@ -40,14 +43,25 @@ class Parser:
         common = Counter(c for v in texts.values() for t in v for c in t).most_common(ALPHABET)
         self.code = {c: i + 2 for i, (c, _) in enumerate(sorted(common))}     # 0: unknown, 1: between texts
         self.width = len(self.code) + 2
-        self.bits = {k: log2(sum(map(len, v)) + 1) for k, v in texts.items()}
-        self.tables = {k: self.automaton([c for t in v for c in (*self.codes(t), 1)]) for k, v in texts.items()}
-
-    def codes(self, text: str) -> list[int]:
-        get = self.code.get
-        return [get(c, 0) for c in text]
-
-    def automaton(self, codes: list[int]) -> list[int]:
+        self.code_of = np.zeros(0x110000, np.uint8)
+        for c, i in self.code.items():
+            self.code_of[ord(c)] = i
+        self.languages = list(texts)
+        self.bits = np.array([log2(sum(map(len, v)) + 1) for v in texts.values()])
+        tables, at = [], 0
+        self.root = np.zeros(len(texts), np.int32)             # where each language's table begins
+        for i, v in enumerate(texts.values()):
+            t = self.automaton([c for t in v for c in (*self.codes(t).tolist(), 1)])
+            self.root[i] = at
+            tables.append(np.where(t < 0, t, t + at).astype(np.int32))
+            at += len(t)
+        self.table = np.concatenate(tables) if tables else np.empty(0, np.int32)
+        self.first = self.table[self.root + np.arange(self.width)[:, None]] if tables else None
+
+    def codes(self, text: str) -> np.ndarray:
+        return self.code_of[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+
+    def automaton(self, codes: list[int]) -> np.ndarray:
         """Entry state * width + code is the next state * width, or -1."""
         link, length, step, last = [-1], [0], [{}], 0
         for c in codes:
@@ -73,41 +87,73 @@ class Parser:
                         p = link[p]
                     link[q] = link[new] = twin
             last = new
-        table = [-1] * (len(step) * self.width)
+        table = np.full(len(step) * self.width, -1, np.int32)
         for s, nexts in enumerate(step):
             for c, t in nexts.items():
                 if c > 1:
                     table[s * self.width + c] = t * self.width
         return table
 
+    def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
+        """(text, language): phrases of the greedy parse; an unknown character is one by
+        itself. The texts, longest first, are parsed in step."""
+        sizes = np.array([len(t) for t in texts])
+        flat, begin = np.concatenate(texts), np.cumsum(sizes) - sizes
+        n = np.zeros((len(texts), len(self.root)), np.int64)
+        state = np.tile(self.root, (len(texts), 1))
+        open_ = np.zeros(n.shape, bool)
+        left, i = len(texts), 0
+        while True:
+            while left and sizes[left - 1] <= i:
+                left -= 1
+            if left < FEW:
+                break
+            c = flat[begin[:left] + i]
+            to = self.table.take(state[:left] + c[:, None])
+            miss = to < 0
+            again = self.first[c]
+            none = miss & (again < 0)
+            n[:left] += (miss & open_[:left]).astype(np.int64) + none
+            state[:left] = np.where(none, self.root, np.where(miss, again, to))
+            open_[:left] = ~none
+            i += 1
+        n += open_
+        table = memoryview(self.table)
+        for d in range(left):
+            rest = texts[d][i:].tolist()
+            for k, root in enumerate(self.root.tolist()):
+                n[d, k] += self.rest(table, rest, root, int(state[d, k]), bool(open_[d, k]))
+        return n
+
     @staticmethod
-    def phrases(table: list[int], codes: list[int]) -> int:
-        """Phrases of the greedy parse; an unknown character is one by itself."""
-        n, s, open_ = 0, 0, False
+    def rest(table: memoryview, codes: list[int], root: int, s: int, open_: bool) -> int:
+        """Phrases that a text's rest adds, from state ``s``."""
+        n = -open_
         for c in codes:
             t = table[s + c]
             if t < 0:
                 n += open_
-                t = table[c]
+                t = table[root + c]
                 if t < 0:
                     n += 1
-                    s, open_ = 0, False
+                    s, open_ = root, False
                     continue
-                open_ = True
-            s = t
-            open_ = True
+            s, open_ = t, True
         return n + open_
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """(language, margin over the next one in 0..1)."""
-        words = normalise(text) if text else ""
-        if not words or not self.tables:
-            return UNKNOWN, 0.0
-        codes = self.codes(words)
-        cost = sorted((self.phrases(t, codes) * self.bits[k] / len(codes), k) for k, t in self.tables.items())
-        if len(cost) == 1:
-            return cost[0][1], 1.0
-        return cost[0][1], 1.0 - cost[0][0] / cost[1][0]
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """(language, margin over the next one in 0..1) of each text."""
+        out = [(UNKNOWN, 0.0)] * len(texts)
+        if not self.languages:
+            return out
+        coded = [(i, self.codes(w)) for i, t in enumerate(texts) if t and (w := normalise(t))]
+        coded.sort(key=lambda x: -len(x[1]))
+        for at in range(0, len(coded), TOGETHER):
+            group = coded[at:at + TOGETHER]
+            for (i, c), n in zip(group, self.phrases([c for _, c in group]).tolist()):
+                cost = sorted((x * b / len(c), k) for x, b, k in zip(n, self.bits.tolist(), self.languages))
+                out[i] = (cost[0][1], 1.0 if len(cost) == 1 else 1.0 - cost[0][0] / cost[1][0])
+        return out
 
 
 def _predict(samples: tuple):
@@ -117,7 +163,7 @@ def _predict(samples: tuple):
             _models[samples] = Parser({k: list(v) for k, v in samples})
         model = _models[samples]
         for b in batches:
-            out = [model.predict(t.as_py()) for t in b.column(2)]
+            out = model.predict(b.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array([x for x, _ in out], pa.string()),
                  pa.array([x for _, x in out], pa.float64())], names=["row", "held_out", "lang_pred", "score"])

@@ -371,7 +371,8 @@ def test_phrases_equal_brute_force_and_held_out_accuracy(spark, none):
         while j < len(text) and any(text[i:j + 1] in t for t in corpus_):
             j += 1
         i, n = max(j, i + 1), n + 1
-    assert parser.phrases(parser.tables["aa"], parser.codes(text)) == n
+    assert parser.phrases([parser.codes(text)]).tolist() == [[n]]                  # by itself
+    assert parser.phrases([parser.codes(text)] * 20).tolist() == [[n]] * 20        # in step
 
 
 # -- 10 ---------------------------------------------------------------------------
