@@ -197,7 +197,7 @@ def upsert_dimension(table: VersionedTable, stg: DataFrame, build, key: str) ->
     source is rebuilt from all history, which also picks up late files for
     old snapshots and further files of the newest one."""
     # ``build`` is latest-by-key, so the source keys are unique by construction.
-    table.write(build(stg) if not table.exists() else ops.upsert(table.read(), build(stg), key))
+    table.update(lambda cur: build(stg) if cur is None else ops.upsert(cur, build(stg), key))
     return table.read()
 
 
@@ -234,7 +234,7 @@ def run_models_on(spark: SparkSession, stg_t: DataFrame, stg_a: DataFrame,
         VersionedTable(spark, f"{base}/run/dim_albums"), stg_t, ops.dim_albums, "album_id")
     # Enrichment runs between the artist dimension and the fact.
     t_art = VersionedTable(spark, f"{base}/run/dim_artists")
-    t_art.write(ops.enrich_artists(stg_t, d_art, details))
+    t_art.update(lambda cur: ops.enrich_artists(stg_t, cur, details))
     d_art = t_art.read()
     fact_t = VersionedTable(spark, f"{base}/run/fct_snapshot_top_items")
     fact_t.write(ops.build_fact(stg_t, d_alb, d_art), ["track_snapshot_date"])

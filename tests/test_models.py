@@ -148,3 +148,22 @@ def test_snapshot_dates_from_partition_listing(spark):
                                            ws.snapshot_dates("tracks"),
                                            ws.snapshot_dates("artists")).collect()), key=repr)
     assert a == b
+
+
+def test_writers_that_overlap_lose_no_rows(spark, tmp_dir):
+    from chartlake.plans.tables import VersionedTable
+    t = VersionedTable(spark, f"{tmp_dir}/two")
+    slow = t._stage(spark.range(1), None)              # starts first, commits last
+    t.write(spark.range(2))
+    assert t._commit(1, slow) is False and t._commit(2, slow)
+    assert t.read().count() == 1
+    asked = []
+
+    def build(cur):
+        asked.append(cur.count())
+        if len(asked) == 1:                            # another writer commits meanwhile
+            VersionedTable(spark, t.root).update(lambda c: c.union(spark.range(10, 12)))
+        return cur.union(spark.range(20, 21))
+
+    t.update(build)
+    assert asked == [1, 3] and sorted(r.id for r in t.read().collect()) == [0, 10, 11, 20]
