@@ -19,13 +19,14 @@ from pyspark.sql import types as T
 
 FOLDS = 5                # documents whose crc32(doc_id) is divisible by it are held out
 SAMPLE_DOCS = 24         # labelled documents a language is learned from, at most
-SAMPLE_CHARS = 4_000     # characters of each, at most (longer documents are not used)
+SAMPLE_CHARS = 4_000     # characters of each, at most (of a longer one a piece, placed by a hash)
 ALPHABET = 126           # characters told apart (the most frequent ones of the sample)
 UNKNOWN = "und"
 TOGETHER = 1024          # documents parsed in step
 FEW = 16                 # when fewer are left, each is parsed by itself
 
 _LETTERS = re.compile(r"[^\W\d_]+")
+LETTER = r"[\p{L}\p{Nl}\p{No}]"        # what they hold, to Spark
 _models: dict = {}
 
 
@@ -175,13 +176,19 @@ def held_out() -> F.Column:
 
 
 def learn_samples(docs: DataFrame) -> tuple:
-    """The labelled sample: of each language SAMPLE_DOCS documents that are not
-    held out, by the order of a hash of their text. Bounded by the number of
-    languages times SAMPLE_DOCS * SAMPLE_CHARS characters."""
-    d = docs.select("doc_id", "text", "lang").filter(
-        ~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull()
-        & F.length("text").between(1, SAMPLE_CHARS))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "doc_id")
+    """The labelled sample: of each language SAMPLE_DOCS documents that hold a letter
+    and are not held out, by the order of a hash of their text; a longer document
+    gives a piece of SAMPLE_CHARS characters, placed by the hash (from its first
+    letter on if there is none in it). Bounded by the number of languages times
+    SAMPLE_DOCS * SAMPLE_CHARS characters."""
+    text, n = F.col("text"), F.lit(SAMPLE_CHARS)
+    piece = F.substring(text, (F.pmod(F.xxhash64(text), F.length(text) - n + 1) + 1).cast("int"), n)
+    from_letter = F.substring(text, F.length(F.split(text, LETTER, 2)[0]) + 1, n)
+    d = docs.select("doc_id", F.col("text").cast("string"), "lang").filter(
+        ~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & text.rlike(LETTER))
+    d = d.select("doc_id", "lang", F.xxhash64(text).alias("_hash"), F.when(F.length(text) <= n, text)
+                 .when(piece.rlike(LETTER), piece).otherwise(from_letter).alias("text"))
+    order = Window.partitionBy("lang").orderBy("_hash", "doc_id")
     rows = (d.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= SAMPLE_DOCS)
             .select("lang", "_n", "text").collect())
     by: dict[str, list[str]] = {}

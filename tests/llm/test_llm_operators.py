@@ -375,6 +375,23 @@ def test_phrases_equal_brute_force_and_held_out_accuracy(spark, none):
     assert parser.phrases([parser.codes(text)] * 20).tolist() == [[n]] * 20        # in step
 
 
+@pytest.mark.parametrize("long", [("aa",), ("aa", "bb")])
+def test_languages_of_long_documents_only_are_learned(spark, long):
+    rng = random.Random(18)
+    stems = {"aa": words(rng, 60), "bb": [w[::-1] + "x" for w in words(rng, 60)]}
+    rows = [(i, " ".join(rng.choice(stems[k]) for _ in range(1200 if k in long else 30)), k)
+            for i in range(30) for k in [("aa", "bb")[i % 2]]]
+    rows.append((100, "1 " * 9000 + rows[0][1][:60] + " 2" * 9000, "cc"))            # few letters, far in
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert min(len(t) for _, t, k in rows if k in long) > langid.SAMPLE_CHARS
+    samples = dict(langid.learn_samples(df))
+    assert set(samples) == {"aa", "bb", "cc"}
+    assert all(len(t) <= langid.SAMPLE_CHARS and langid.normalise(t) for v in samples.values() for t in v)
+    got = {r.doc_id: r.lang_pred for r in langid.identify(df.filter("lang <> 'cc'")).collect()}
+    assert got == {d: k for d, _, k in rows if k != "cc"}
+    assert langid.keep_identified(df).count() == len(rows)
+
+
 # -- 10 ---------------------------------------------------------------------------
 def test_leaks(spark, docs, none):
     rng = random.Random(12)
