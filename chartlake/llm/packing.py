@@ -184,19 +184,46 @@ def local_search(types: dict[tuple[int, ...], int], capacity: int = CAPACITY) ->
     """Empty one underfull bin after the other, the emptiest first. A step moves a
     piece of it to a fuller bin, exchanges it for a shorter one there, or gives
     two for one (or one for two), so that the fuller bin gains: the sum of squared
-    fills rises. Ends at the lower bound or when no bin can be emptied."""
+    fills rises. Steps are kept when the bin can't be emptied, and the next type
+    is tried. All the steps of a bin are repeated for as many bins as there are of
+    the same types. Ends at the lower bound or when no underfull type has a step left."""
     types = dict(types)
     least = -(-sum(sum(k) * n for k, n in types.items()) // capacity)
 
-    def take(k):
-        types[k] -= 1
+    # Of each type one row for each length it can give back (none, one piece or two):
+    # (number of the type, length, pieces), the first ``used`` rows. A type that
+    # comes again gets a new number, so a bin that failed is compared with later ones.
+    number: dict[tuple[int, ...], int] = {}
+    kinds: list[tuple[int, ...]] = []
+    rows, used = np.zeros((3, 1024), np.int64), 0
+    there, size = np.zeros(1024, bool), np.zeros(1024, np.int64)
+
+    def pairs(k):
+        return {x + y: (x, y) for i, x in enumerate(k) for y in k[i + 1:]}
+
+    def know(k):
+        nonlocal rows, used, there, size
+        number[k] = len(kinds)
+        kinds.append(k)
+        backs = [(0, 0), *((x, 1) for x in sorted(set(k))), *((x, 2) for x in sorted(pairs(k)))]
+        if used + len(backs) > rows.shape[1]:
+            rows = np.concatenate((rows[:, :used], np.zeros((3, used + len(backs)), np.int64)), axis=1)
+        rows[:, used:used + len(backs)] = np.array([(number[k], *b) for b in backs]).T
+        used += len(backs)
+        if len(kinds) > len(there):
+            there, size = np.concatenate((there, np.zeros_like(there))), np.concatenate((size, np.zeros_like(size)))
+        size[number[k]] = sum(k)
+
+    def put(k, n):
+        if k not in number:
+            know(k)
+        types[k] = types.get(k, 0) + n
+        there[number[k]] = types[k] > 0
         if not types[k]:
-            del types[k]
+            del types[k], number[k]
 
-    def give(k):
-        if k:
-            k = tuple(sorted(k, reverse=True))
-            types[k] = types.get(k, 0) + 1
+    def ordered(k):
+        return tuple(sorted(k, reverse=True))
 
     def less(k, *xs):
         k = list(k)
@@ -204,40 +231,73 @@ def local_search(types: dict[tuple[int, ...], int], capacity: int = CAPACITY) ->
             k.remove(x)
         return tuple(k)
 
-    def gain(donor):
-        """The best step for the donor: (gain, other, its new pieces, donor's)."""
-        best, fill = None, sum(donor)
-        pairs = {x + y: (x, y) for i, x in enumerate(donor) for y in donor[i + 1:]}
-        for other in types:
-            free = capacity - sum(other)
-            if not free or sum(other) < fill:
-                continue
-            for given, parts in [*((x, (x,)) for x in set(donor)), *pairs.items()]:
-                for back in {0, *other}:
-                    g = given - back
-                    if 0 < g <= free and (best is None or g > best[0]):
-                        best = (g, other, less(other, back) + parts if back else other + parts,
-                                less(donor, *parts) + ((back,) if back else ()))
-            twos = {x + y: (x, y) for i, x in enumerate(other) for y in other[i + 1:]}
-            for x in set(donor):
-                for back, ys in twos.items():
-                    if 0 < x - back <= free and (best is None or x - back > best[0]):
-                        best = (x - back, other, less(other, *ys) + (x,), less(donor, x) + ys)
+    def gain(donor, since=0):
+        """The best step for the donor with the types numbered from ``since`` on:
+        (gain, other, its new pieces, donor's)."""
+        if since == len(kinds):
+            return None
+        low = np.searchsorted(rows[0, :used], since)
+        best, fits = None, there & (size >= sum(donor)) & (size < capacity)
+        kind, back, pieces = rows[:, low:used][:, fits[rows[0, low:used]]]
+        free = capacity - size[kind]
+        one = pieces < 2
+        twos = pairs(donor)
+        for given, parts in [*((x, (x,)) for x in sorted(set(donor))), *sorted(twos.items())]:
+            g = given - back
+            g[(g > free) | ~(one | (len(parts) == 1))] = 0
+            i = int(g.argmax()) if len(g) else 0
+            if len(g) and g[i] > 0 and (best is None or g[i] > best[0]):
+                other = kinds[kind[i]]
+                took = ((), (int(back[i]),), pairs(other).get(int(back[i])))[pieces[i]]
+                best = (int(g[i]), other, less(other, *took) + parts, less(donor, *parts) + took)
         return best
 
-    while sum(types.values()) > least:
-        before = dict(types)
-        donor = min((k for k in types if sum(k) < capacity), key=sum, default=None)
-        if donor is None:
-            break
-        take(donor)
-        while donor and (step := gain(donor)):
+    for k in types:
+        know(k)
+        there[number[k]] = True
+    bins, failed = sum(types.values()), {}                       # failed: how many types one was compared with
+    queue: list = []
+    rose = True
+    while bins > least:
+        if not queue:
+            if not rose:                                         # a round over all types without a step
+                break
+            queue = sorted((k for k in types if sum(k) < capacity), key=lambda k: (-sum(k), k))
+            rose = False
+            alive = there[rows[0, :used]]
+            rows, used = rows[:, :used][:, alive], int(alive.sum())
+        donor = queue.pop()
+        if donor not in types:
+            continue
+        alone = types[donor] == 1                                # it is no other bin to itself
+        there[number[donor]] = not alone
+        step = gain(donor, failed.get((donor, alone), 0))
+        there[number[donor]] = True
+        if not step:
+            failed[donor, alone] = len(kinds)
+            continue
+        rose = True
+        put(donor, -1)
+        change = {donor: -1}                                     # of the numbers of types, by one bin's steps
+        while step:
             _, other, fuller, donor = step
-            take(other)
-            give(fuller)
-        if donor:                                            # it could not be emptied
-            types = before
-            break
+            for k, n in ((other, -1), (ordered(fuller), 1)):
+                put(k, n)
+                change[k] = change.get(k, 0) + n
+            step = gain(donor) if donor else None
+        if donor:
+            donor = ordered(donor)
+            put(donor, 1)
+            change[donor] = change.get(donor, 0) + 1
+        saved = not donor
+        bins -= saved
+        more = min(types.get(k, 0) // -n for k, n in change.items() if n < 0)
+        if saved:
+            more = min(more, bins - least)
+        for k, n in change.items():
+            if n and more:
+                put(k, n * more)
+        bins -= saved * more
     return types
 
 

@@ -311,6 +311,23 @@ def test_local_search_empties_bins_and_keeps_pieces():
     assert pieces(packed) == Counter(counts) and max(map(sum, packed)) <= 2048
 
 
+def test_local_search_goes_on_after_a_bin_that_cannot_be_emptied():
+    rng = random.Random(2)
+    before = after = 0
+    for low, high in ((400, 1000), (500, 1200)):
+        for _ in range(5):
+            counts = Counter(rng.randint(low, high) for _ in range(200))
+            packed = packing.best_fit(dict(counts))
+            end = packing.local_search(packed)
+            assert Counter(x for k, n in end.items() for x in k * n) == counts and max(map(sum, end)) <= 2048
+            before, after = before + sum(packed.values()), after + sum(end.values())
+    assert after < before
+    many = packing.best_fit({900: 40_000, 700: 40_000, 500: 20_000, 430: 20_000})      # types, not bins, count
+    end = packing.local_search(many)
+    assert sum(end.values()) <= sum(many.values())
+    assert sum(sum(k) * n for k, n in end.items()) == sum(sum(k) * n for k, n in many.items())
+
+
 @pytest.mark.parametrize("text", ["", "a  b", " a", "a ", "x <|endoftext|> y", "a\n b \n\n c  d", "it's  ok' s", "a\x1c b",
                                   "  ", "\n", "é ñ 12 a1 !!"])
 def test_encoder_equals_the_tokenizer(text):
