@@ -4,8 +4,11 @@ Passages become TF-IDF vectors over hashed words, with passage counts from all
 documents. A distributed randomised SVD of the benchmark's passages (each task
 adds its rows' share of A'(A*Q)) gives the latent space. Every 48-word window of
 every document, 16 words apart, is projected into it and compared by cosine with
-every benchmark passage. Candidates are checked word by word: the longest common
-subsequence with the passage, and the answer's words. That also finds paraphrases.
+every benchmark passage. That also finds paraphrases. The passages' shingles (runs
+of words) are looked up in every document beside it, which finds all that are
+copied word for word, however many passages there are. Candidates of both are
+checked word by word: the longest common subsequence with the passage, and the
+answer's words.
 """
 from __future__ import annotations
 
@@ -29,6 +32,8 @@ COSINE = 0.4
 SAME, CLOSE, ANSWER = 0.75, 0.55, 0.6    # of the passage's words; of the answer's
 TOGETHER = 4096          # words of texts compared at a time (one part of a long text may be more)
 SHORT = 8                # passages of fewer words must occur word for word
+SHINGLE = 8              # words of a shingle, at most
+FILTER = 22              # bits of a shingle's hash that are looked up first
 
 PART = 1 << 20           # characters hashed at a time, to the end of a word
 
@@ -225,6 +230,23 @@ def occurs(passage: np.ndarray, words: np.ndarray) -> bool:
                for i in np.flatnonzero(words[:max(0, len(words) - n + 1)] == passage[0]))
 
 
+def shingle_size(n: int) -> int:
+    """Words of the shingles of a passage of ``n`` words: all of a short one, and a
+    third of a longer one, from 4 to SHINGLE."""
+    return n if n < SHORT else min(SHINGLE, max(4, n // 3))
+
+
+def shingles(words: np.ndarray, sizes: set[int]):
+    """(size, hashes of the runs of so many words, by their first word) for each size."""
+    factors = mix(np.arange(1, SHINGLE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    wide = words.astype(np.uint64) + np.uint64(1)
+    h = np.zeros(len(words), np.uint64)
+    for i in range(min(max(sizes, default=0), len(words))):
+        h = h[:len(words) - i] + wide[i:] * factors[i]
+        if i + 1 in sizes:
+            yield i + 1, h
+
+
 class Searcher:
     def __init__(self, feats, basis, idf, queries):
         self.column = np.full(FEATURES, -1, np.int32)
@@ -247,6 +269,36 @@ class Searcher:
                 rare = u[np.argsort(-idf[u % FEATURES], kind="stable")[:max(1, len(u) // 4)]]
                 self.answers.append(set(rare.tolist()))
 
+        found: dict[int, list] = {}                              # shingle size -> (hashes, passage, place)
+        for i, (_, _, w, _) in enumerate(queries):
+            for size, h in shingles(w, {shingle_size(len(w))}):
+                found.setdefault(size, []).append((h, np.full(len(h), i), np.arange(len(h))))
+        self.shingles = {}
+        for size, rows in found.items():
+            h, query, place = map(np.concatenate, zip(*rows))
+            order = np.argsort(h, kind="stable")
+            known = np.zeros(1 << FILTER, bool)
+            known[h >> np.uint64(64 - FILTER)] = True
+            self.shingles[size] = known, h[order], query[order], place[order]
+
+    def copies(self, parts: list[np.ndarray]) -> list[tuple[int, int, int]]:
+        """(part, passage, where it would begin) of the passages' shingles in some texts."""
+        sizes = np.array([len(p) for p in parts])
+        ends = np.cumsum(sizes)
+        out = []
+        for size, h in shingles(np.concatenate(parts), set(self.shingles)):
+            known, keys, query, place = self.shingles[size]
+            at = np.flatnonzero(known[h >> np.uint64(64 - FILTER)])
+            if not len(at):
+                continue
+            low, high = np.searchsorted(keys, h[at]), np.searchsorted(keys, h[at], side="right")
+            part = np.searchsorted(ends, at, side="right")
+            n = np.where(at + size <= ends[part], high - low, 0)              # no run of two texts' words
+            row = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            begin = np.repeat(at - (ends - sizes)[part], n) - place[row]
+            out.append(np.stack((np.repeat(part, n), query[row], begin), axis=1))
+        return np.unique(np.concatenate(out), axis=0).tolist() if out else []
+
     def windows(self, parts: list[np.ndarray]):
         """(part, first word, latent vector of length one) of all windows of some texts. The
         texts are laid out in blocks with BLOCKS - 1 empty ones between them, so
@@ -310,19 +362,31 @@ class Searcher:
             if s != near:                                        # the words near the window, of any passage's reach
                 near, around = s, frozenset(
                     lists[owner[s]][max(0, start - PASSAGE):start + BLOCK * BLOCKS + PASSAGE])
-            item, _, passage, _ = self.queries[q]
-            n = len(passage)
+            n = len(self.lists[q])
             if sum(map(around.__contains__, self.lists[q])) < CLOSE * n:
                 continue                                         # no subsequence is longer than that
             wide = max(0, n - BLOCK * (BLOCKS - 1)) + 4
-            region = part[max(0, start - wide):start + BLOCK * BLOCKS + wide]
-            same = float(occurs(passage, region)) if n < SHORT else common_subsequence(passage, region) / n
-            if same < CLOSE:
+            self.check(out, q, part[max(0, start - wide):start + BLOCK * BLOCKS + wide], c)
+        for p, q, begin in self.copies([p for _, p in held]):
+            out, part = held[p]
+            n = len(self.lists[q])
+            region = part[max(0, begin - 4):begin + n + 4]
+            if sum(map(frozenset(region.tolist()).__contains__, self.lists[q])) < CLOSE * n:
                 continue
-            answer = self.answers[q]
-            found = len(answer.intersection(region.tolist())) / len(answer)
-            if same >= SAME or found >= ANSWER:
-                out[item] = max(out.get(item, (0, 0, 0)), (same, found, c))
+            near = (owner == p) & (starts < begin + n) & (starts + BLOCK * BLOCKS > begin)
+            self.check(out, q, region, float(cos[near, q].max(initial=0.0)))
+
+    def check(self, out: dict, q: int, region: np.ndarray, c: float) -> None:
+        """Enter the passage's item in ``out`` if the region holds it."""
+        item, _, passage, _ = self.queries[q]
+        n = len(passage)
+        same = float(occurs(passage, region)) if n < SHORT else common_subsequence(passage, region) / n
+        if same < CLOSE:
+            return
+        answer = self.answers[q]
+        found = len(answer.intersection(region.tolist())) / len(answer)
+        if same >= SAME or found >= ANSWER:
+            out[item] = max(out.get(item, (0, 0, 0)), (same, found, c))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -433,6 +433,22 @@ def test_leaks(spark, docs, none):
     assert decontam.find_leaks(none, bench).count() == decontam.find_leaks(df, bench.limit(0)).count() == 0
 
 
+def test_copied_items_of_a_large_benchmark_are_found(spark):
+    rng = np.random.default_rng(14)
+    def prose(n):                                                  # few words are very common
+        return " ".join(f"w{x}" for x in rng.zipf(1.3, n) % 5000)
+    items = [(i, prose(4 + i % 7)) for i in range(5200)] + [(6000 + i, prose(15)) for i in range(20)]
+    planted = [i for i in range(0, 5200, 40)] + list(range(5200, 5220))
+    rows = [(i, prose(90) + " " + items[k][1] + " " + prose(90)) for i, k in enumerate(planted)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.find_leaks(df, bench).collect()}
+    assert {(i, items[k][0]) for i, k in enumerate(planted)} <= got
+    text = {i: f" {t} " for i, t in rows}
+    short = {k: t for k, t in items if len(t.split()) < decontam.SHORT}
+    assert {x for x in got if x[1] in short} == {(d, k) for d, t in text.items() for k, s in short.items() if f" {s} " in t}
+
+
 def test_subsequence_and_basis():
     rng = np.random.default_rng(1)
     for _ in range(30):
