@@ -3,12 +3,12 @@
 A suffix automaton of each language's labelled text finds, at every point of a
 document, the longest phrase that occurs in that text. The number of phrases a
 document needs, times the bits to name a phrase's place (log2 of the labelled
-length), over the document's length, is the cross-entropy; the least wins.
+length), over the document's length, is the cross-entropy; the least wins. A character that a language's text
+does not hold is a phrase by itself and costs the bits to name a code point as well.
 """
 from __future__ import annotations
 
 import re
-from collections import Counter
 from math import log2
 
 import numpy as np
@@ -20,7 +20,9 @@ from pyspark.sql import types as T
 FOLDS = 5                # documents whose crc32(doc_id) is divisible by it are held out
 SAMPLE_DOCS = 24         # labelled documents a language is learned from, at most
 SAMPLE_CHARS = 4_000     # characters of each, at most (of a longer one a piece, placed by a hash)
-ALPHABET = 126           # characters told apart (the most frequent ones of the sample)
+POINT = log2(0x110000)   # bits to name a character that the language's text does not hold
+FILL = 3                 # entries of a transition table for each transition, at least
+ROUNDS = 64              # tries to place states before the table grows
 UNKNOWN = "und"
 TOGETHER = 1024          # documents parsed in step
 FEW = 16                 # when fewer are left, each is parsed by itself
@@ -41,29 +43,32 @@ class Parser:
     def __init__(self, samples: dict[str, list[str]]):
         texts = {k: [t for t in dict.fromkeys(map(normalise, v)) if t] for k, v in sorted(samples.items())}
         texts = {k: v for k, v in texts.items() if v}
-        common = Counter(c for v in texts.values() for t in v for c in t).most_common(ALPHABET)
-        self.code = {c: i + 2 for i, (c, _) in enumerate(sorted(common))}     # 0: unknown, 1: between texts
-        self.width = len(self.code) + 2
-        self.code_of = np.zeros(0x110000, np.uint8)
-        for c, i in self.code.items():
-            self.code_of[ord(c)] = i
+        letters = sorted({c for v in texts.values() for t in v for c in t})
+        self.width = len(letters) + 2                          # code 0: unknown, 1: between texts
+        self.code_of = np.zeros(0x110000, np.int32)
+        self.code_of[[ord(c) for c in letters]] = np.arange(2, self.width)
         self.languages = list(texts)
         self.bits = np.array([log2(sum(map(len, v)) + 1) for v in texts.values()])
-        tables, at = [], 0
-        self.root = np.zeros(len(texts), np.int32)             # where each language's table begins
-        for i, v in enumerate(texts.values()):
-            t = self.automaton([c for t in v for c in (*self.codes(t).tolist(), 1)])
-            self.root[i] = at
-            tables.append(np.where(t < 0, t, t + at).astype(np.int32))
-            at += len(t)
-        self.table = np.concatenate(tables) if tables else np.empty(0, np.int32)
-        self.first = self.table[self.root + np.arange(self.width)[:, None]] if tables else None
+        owners, nexts, roots, at = [], [], [], 0
+        for v in texts.values():
+            owner, to, root = self.automaton([c for t in v for c in (*self.codes(t).tolist(), 1)])
+            roots.append(root + at)                            # where each language's table begins
+            owners.append(np.where(owner < 0, owner, owner + at).astype(np.int32))
+            nexts.append((to + at).astype(np.int32))
+            at += len(owner)
+        self.root = np.array(roots, np.int32)
+        self.owner = np.concatenate(owners) if owners else np.empty(0, np.int32)
+        self.next = np.concatenate(nexts) if nexts else np.empty(0, np.int32)
+        if roots:
+            own = self.root + np.arange(self.width, dtype=np.int32)[:, None]
+            self.first = np.where(self.owner[own] == self.root, self.next[own], -1)
 
     def codes(self, text: str) -> np.ndarray:
         return self.code_of[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
 
-    def automaton(self, codes: list[int]) -> np.ndarray:
-        """Entry state * width + code is the next state * width, or -1."""
+    def automaton(self, codes: list[int]) -> tuple[np.ndarray, np.ndarray, int]:
+        """(owner, next, root): a state is a number s, and its transition by a code c is
+        entry s + c of ``next`` if that of ``owner`` is s; otherwise it has none."""
         link, length, step, last = [-1], [0], [{}], 0
         for c in codes:
             new = len(step)
@@ -88,12 +93,45 @@ class Parser:
                         p = link[p]
                     link[q] = link[new] = twin
             last = new
-        table = np.full(len(step) * self.width, -1, np.int32)
+        return self.placed([{c: t for c, t in nexts.items() if c > 1} for nexts in step])
+
+    def placed(self, step: list[dict[int, int]]) -> tuple[np.ndarray, np.ndarray, int]:
+        """States laid over one another so that no two use an entry, those with most
+        transitions first, at places drawn until they fit."""
+        rng = np.random.default_rng(5)
+        room = FILL * (len(step) + sum(map(len, step)))
+        taken, named = np.zeros(room + self.width, bool), np.zeros(room, bool)
+        base = np.full(len(step), -1, np.int64)
+        by_size: dict[int, list[int]] = {}
         for s, nexts in enumerate(step):
-            for c, t in nexts.items():
-                if c > 1:
-                    table[s * self.width + c] = t * self.width
-        return table
+            by_size.setdefault(len(nexts), []).append(s)
+        for size in sorted(by_size, reverse=True):
+            left = np.array(by_size[size])
+            codes = np.array([list(step[s]) for s in left], np.int64).reshape(len(left), size)
+            tries = 0
+            while len(left):
+                tries += 1
+                if tries % ROUNDS == 0:
+                    taken, named = np.append(taken, np.zeros(room, bool)), np.append(named, np.zeros(room, bool))
+                    room *= 2
+                at = rng.integers(0, room, len(left))
+                slots = at[:, None] + codes
+                fit = np.flatnonzero(~named[at] & ~taken[slots].any(1))
+                claim, name = np.empty(len(taken), np.int32), np.empty(room, np.int32)
+                name[at[fit]] = fit
+                claim[slots[fit]] = fit[:, None]
+                fit = fit[(name[at[fit]] == fit) & (claim[slots[fit]] == fit[:, None]).all(1)]
+                named[at[fit]] = True
+                taken[slots[fit]] = True
+                base[left[fit]] = at[fit]
+                rest = np.delete(np.arange(len(left)), fit)
+                left, codes = left[rest], codes[rest]
+        owner, to = np.full(len(taken), -1, np.int64), np.zeros(len(taken), np.int64)
+        for_state = np.repeat(base, list(map(len, step)))
+        slots = for_state + np.fromiter((c for n in step for c in n), np.int64, len(for_state))
+        owner[slots] = for_state
+        to[slots] = base[np.fromiter((t for n in step for t in n.values()), np.int64, len(for_state))]
+        return owner, to, int(base[0])
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """(text, language): phrases of the greedy parse; an unknown character is one by
@@ -110,8 +148,9 @@ class Parser:
             if left < FEW:
                 break
             c = flat[begin[:left] + i]
-            to = self.table.take(state[:left] + c[:, None])
-            miss = to < 0
+            entry = state[:left] + c[:, None]
+            to = self.next.take(entry)
+            miss = self.owner.take(entry) != state[:left]
             again = self.first[c]
             none = miss & (again < 0)
             n[:left] += (miss & open_[:left]).astype(np.int64) + none
@@ -119,29 +158,33 @@ class Parser:
             open_[:left] = ~none
             i += 1
         n += open_
-        table = memoryview(self.table)
+        owner, to = memoryview(self.owner), memoryview(self.next)
         for d in range(left):
             rest = texts[d][i:].tolist()
             for k, root in enumerate(self.root.tolist()):
-                n[d, k] += self.rest(table, rest, root, int(state[d, k]), bool(open_[d, k]))
+                n[d, k] += self.rest(owner, to, rest, root, int(state[d, k]), bool(open_[d, k]))
         return n
 
     @staticmethod
-    def rest(table: memoryview, codes: list[int], root: int, s: int, open_: bool) -> int:
+    def rest(owner: memoryview, to: memoryview, codes: list[int], root: int, s: int, open_: bool) -> int:
         """Phrases that a text's rest adds, from state ``s``."""
         n = -open_
         for c in codes:
-            t = table[s + c]
-            if t < 0:
-                n += open_
-                t = table[root + c]
-                if t < 0:
-                    n += 1
-                    s, open_ = root, False
-                    continue
-            s, open_ = t, True
+            if owner[s + c] == s:
+                s, open_ = to[s + c], True
+                continue
+            n += open_
+            if owner[root + c] == root:
+                s, open_ = to[root + c], True
+            else:
+                n += 1
+                s, open_ = root, False
         return n + open_
 
+    def missing(self, codes: np.ndarray) -> np.ndarray:
+        """(language): characters of a text that the language's own text does not hold."""
+        return (self.first[codes] < 0).sum(0)
+
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """(language, margin over the next one in 0..1) of each text."""
         out = [(UNKNOWN, 0.0)] * len(texts)
@@ -152,7 +195,8 @@ class Parser:
         for at in range(0, len(coded), TOGETHER):
             group = coded[at:at + TOGETHER]
             for (i, c), n in zip(group, self.phrases([c for _, c in group]).tolist()):
-                cost = sorted((x * b / len(c), k) for x, b, k in zip(n, self.bits.tolist(), self.languages))
+                cost = sorted(((x * b + m * POINT) / len(c), k) for x, m, b, k in zip(
+                    n, self.missing(c).tolist(), self.bits.tolist(), self.languages))
                 out[i] = (cost[0][1], 1.0 if len(cost) == 1 else 1.0 - cost[0][0] / cost[1][0])
         return out
 

@@ -409,6 +409,21 @@ def test_languages_of_long_documents_only_are_learned(spark, long):
     assert langid.keep_identified(df).count() == len(rows)
 
 
+def test_every_sampled_character_is_known_to_its_language():
+    rng = random.Random(28)
+    scripts = {"han": range(0x4E00, 0x5600), "hangul": range(0xAC00, 0xB200), "kana": range(0x3041, 0x3090)}
+    def prose(k, n):
+        return "".join(chr(rng.choice(scripts[k])) for _ in range(n))
+    samples = {k: [prose(k, 3000) for _ in range(6)] for k in scripts}
+    samples["latin"] = ["few words only"]                          # the least bits
+    parser = langid.Parser(samples)
+    for k, v in samples.items():
+        i = parser.languages.index(k)
+        assert all(parser.missing(parser.codes(langid.normalise(t)))[i] == 0 for t in v)
+    texts = [(k, prose(k, n)) for k in scripts for n in (40, 400) for _ in range(12)] + [("latin", "words few")]
+    assert [x for x, _ in parser.predict([t for _, t in texts])] == [k for k, _ in texts]
+
+
 # -- 10 ---------------------------------------------------------------------------
 def test_leaks(spark, docs, none):
     rng = random.Random(12)
