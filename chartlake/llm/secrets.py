@@ -1,7 +1,8 @@
 """Secret scan: fixed patterns plus sliding-window Shannon entropy.
 
 Entropy spans come from candidate strings (runs of key characters). A window
-slides over each; the symbol counts and the sum of c*log2(c) are updated by the
+slides over each, without the names, values and fillings that mark samples, and over
+the runs of hex digits between its separators; the symbol counts and the sum of c*log2(c) are updated by the
 character that enters and the one that leaves, so a string of n characters costs
 n steps. Windows over the limit of the string's character class are joined to a
 span. An allow-list keeps words, identifiers, URLs and well-known samples out.
@@ -33,9 +34,10 @@ ALLOWED = tuple(re.compile(p) for p in (
     r"[^0-9]*\Z",                                            # no digit: a word or path
     r"[0-9_=/+-]*\Z",                                        # no letter: a number
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z",  # UUID
-    r"(?i).*(example|sample|placeholder|changeme|xxxx)",
     r"[A-Za-z]+([/_-][A-Za-z]*[0-9]{0,4})+\Z",               # path or snake_case name
 ))
+_SAMPLE = re.compile(r"(example|sample|placeholder|changeme)|x{4,}", re.IGNORECASE)
+_HEX_RUN = re.compile(r"(?<![0-9A-Za-z])[0-9A-Fa-f]{%d,}(?![0-9A-Za-z])" % WINDOW)
 _CLOG = [0.0, 0.0] + [c * log2(c) for c in range(2, WINDOW + 1)]     # at most WINDOW of one character
 
 
@@ -61,6 +63,37 @@ def entropy_spans(s: str, limit: float, window: int = WINDOW) -> list[tuple[int,
     return spans
 
 
+def samples(s: str) -> list[tuple[int, int]]:
+    """(start, end) of the names and values that hold a sample's word, and of filling."""
+    out: list[tuple[int, int]] = []
+    for m in _SAMPLE.finditer(s):
+        if not out or m.end() > out[-1][1]:
+            a, b = m.span()
+            if m.group(1):
+                a, b = s.rfind("=", 0, a) + 1, s.find("=", b) % (len(s) + 1)
+            out.append((a if not out else max(a, out[-1][1]), b))
+    return out
+
+
+def candidate_spans(s: str) -> list[tuple[int, int, int]]:
+    """(start, end, kind number) of the entropy spans of a candidate. A span over the
+    base64 limit that has no window outside the hex runs' spans is not named again."""
+    out, at = [], 0
+    for a, b in [*samples(s), (len(s), len(s))]:
+        part = s[at:a]
+        if len(part) >= WINDOW and not any(p.match(part) for p in ALLOWED):
+            runs = [(m.start() + x, m.start() + y) for m in _HEX_RUN.finditer(part)
+                    if not any(p.match(m.group()) for p in ALLOWED)
+                    for x, y in entropy_spans(m.group(), LIMITS["entropy_hex"])]
+            out += [(at + x, at + y, 3) for x, y in runs]
+            if not _HEXADECIMAL.match(part):
+                out += [(at + x, at + y, 4) for x, y in entropy_spans(part, LIMITS["entropy_base64"])
+                        if not (inside := [r for r in runs if r[0] < y and x < r[1]])
+                        or y - x - sum(min(y, d) - max(x, c) for c, d in inside) >= WINDOW]
+        at = b
+    return out
+
+
 def scan(text: str | None) -> list[tuple[int, int, str]]:
     """(start, end, kind) of one text, by start and then kind as in KINDS."""
     if not text:
@@ -72,11 +105,9 @@ def scan(text: str | None) -> list[tuple[int, int, str]]:
     starts = [x for x, _, _ in base]
     reach = list(accumulate((y for _, y, _ in base), max))
     for m in _CANDIDATE.finditer(text):
-        s = m.group()
-        if any(p.match(s) for p in ALLOWED) or text[max(0, m.start() - 3):m.start()] == "://":
+        if text[max(0, m.start() - 3):m.start()] == "://":
             continue
-        k = 3 if _HEXADECIMAL.match(s) else 4
-        for a, b in entropy_spans(s, LIMITS[KINDS[k]]):
+        for a, b, k in candidate_spans(m.group()):
             a, b = a + m.start(), b + m.start()
             i = bisect_left(starts, b)                       # base spans that start before b
             if not i or reach[i - 1] <= a:

@@ -143,6 +143,21 @@ def test_entropy_windows_equal_direct_entropy():
     assert secrets.scan("https://example.org/averylongwordwithoutanydigitsinside see 123e4567-e89b-12d3-a456-426614174000") == []
 
 
+def test_class_and_allow_list_hold_for_the_piece():
+    rng = random.Random(6)
+    for digits in ("0123456789ABCDEF", "0123456789abcdef"):
+        for name in ("", "key=", "sig=", "a/b_c-", "my_sample_key="):
+            for _ in range(100):
+                key = "1a" + "".join(rng.choice(digits) for _ in range(26))
+                key = key.upper() if digits[-1] == "F" else key
+                a = len(name)
+                hexes = [x for x in secrets.scan(name + key) if x[2] == "entropy_hex"]
+                assert hexes == [(x + a, y + a, k) for x, y, k in secrets.scan(key)]
+    key = "q9Zx2LkT7vBn4RmW8sYcP1dF"
+    assert [x for x in secrets.scan(f"my_sample_key={key}") if x[1] == 14 + len(key)]
+    assert secrets.scan(key + "xxxx" + key[::-1]) and not secrets.scan("key=wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY")
+
+
 # -- 3 ----------------------------------------------------------------------------
 def test_url_rules_and_model(spark):
     urls = ["http://A.NET/x", "https://www.example.net/en/5?q", "http://example.com/de/1", "http://x.org/fr/2#a", "net/",
