@@ -1,13 +1,15 @@
 """The registered queries: each applies one operator to its whole table and
-derives the columns of its contract from the operator's rows. No oracle SQL: each
-needs an operation SQL lacks (XXH64 with a seed, code-point spans with a model's,
-a tokenizer, a trained model); tests/llm compares them with brute force."""
+derives the columns of its contract from the operator's rows. Oracle SQL (``oracle``)
+where SQL can express the rows; the others need an operation SQL lacks (XXH64 with a
+seed, code-point spans with a model's, a tokenizer, a trained model) and are compared
+with brute force in tests/llm."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import load_table
-from . import ann, decontam, langid, packing, pii, secrets, shards, simhash, substrings, urlfilter
+from . import ann, decontam, langid, merkle, packing, pii, secrets, shards, simhash, substrings, urlfilter
+from .oracle import ORACLE_SQL  # noqa: F401
 
 
 def op1_simhash_dedup(spark: SparkSession, root: str) -> DataFrame:
@@ -53,7 +55,11 @@ def op10_decontamination(spark: SparkSession, root: str) -> DataFrame:
     return found.drop("text_hash")
 
 
+def op11_merkle_manifest(spark: SparkSession, root: str) -> DataFrame:
+    return merkle.manifest(load_table(spark, root, "documents"), merkle.tampered()).drop("version")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash_dedup, op2_secret_scan, op3_url_filter, op4_personal_data, op5_repeated_substrings,
-    op6_sharding, op7_packing, op8_nearest_neighbours, op9_language_id, op10_decontamination)}
-ORACLE_SQL: dict[str, str] = {}
+    op6_sharding, op7_packing, op8_nearest_neighbours, op9_language_id, op10_decontamination,
+    op11_merkle_manifest)}
