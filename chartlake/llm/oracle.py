@@ -49,4 +49,29 @@ SELECT doc_id, leaf, subroot, n{end}.node AS root, sha256(proof) AS proof_sha256
 FROM f{end} JOIN p USING (rid) JOIN s ON s.key = p.key, n{end}"""
 
 
-ORACLE_SQL: dict[str, str] = {"op11_merkle_manifest": _merkle()}
+# Phrases of up to five words are counted in full; the operator's bounds only save work.
+COLLOCATIONS = """
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                 translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS words FROM piece),
+g AS (SELECT lang, size, unnest(list_transform(range(1, greatest(len(words) - size + 2, 1)), lambda i: array_to_string(words[i:i + size - 1], ' '))) AS phrase
+      FROM w, range(1, 6) t(size)),
+c AS (SELECT lang, size, phrase, count(*) AS f FROM g GROUP BY ALL HAVING f >= 100 OR size = 1),
+n AS (SELECT lang, sum(f)::HUGEINT AS n FROM c WHERE size = 1 GROUP BY lang),
+k AS (SELECT *, string_split(phrase, ' ') AS words FROM c WHERE size > 1),
+parts AS (SELECT lang, phrase, f AS a, j, array_to_string(words[1:j], ' ') AS first, array_to_string(words[j + 1:size], ' ') AS rest
+          FROM k, range(1, 5) t(j) WHERE j < size),
+cut AS (SELECT p.lang, p.phrase, a, n, j, l.f AS l, r.f AS r, (1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f) AS score
+        FROM parts p JOIN n USING (lang) JOIN c l ON l.lang = p.lang AND l.phrase = first JOIN c r ON r.lang = p.lang AND r.phrase = rest),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inside AS (SELECT DISTINCT lang, shorter AS phrase, f FROM (
+             SELECT lang, f, unnest(list_transform(range(1, size - m + 2), lambda i: array_to_string(words[i:i + m - 1], ' '))) AS shorter
+             FROM k, range(2, 5) t(m) WHERE m < size)),
+kept AS (SELECT lang, phrase, a, l, r, n, score FROM best b
+         WHERE NOT EXISTS (FROM inside i WHERE i.lang = b.lang AND i.phrase = b.phrase AND i.f * 100 >= b.a * 100))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM kept QUALIFY rank <= 2000"""
+
+
+ORACLE_SQL: dict[str, str] = {"op11_merkle_manifest": _merkle(), "op13_collocations": COLLOCATIONS}
