@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import load_table
-from . import ann, collocations, decontam, langid, merkle, packing, pii, secrets, shards, simhash, substrings, urlfilter
+from . import ann, collocations, decontam, langid, lm, merkle, packing, pii, secrets, shards, simhash, substrings, urlfilter
 from .oracle import ORACLE_SQL  # noqa: F401
 
 
@@ -59,6 +59,10 @@ def op11_merkle_manifest(spark: SparkSession, root: str) -> DataFrame:
     return merkle.manifest(load_table(spark, root, "documents"), merkle.tampered()).drop("version")
 
 
+def op12_lm_scoring(spark: SparkSession, root: str) -> DataFrame:
+    return lm.score_documents(load_table(spark, root, "documents"))
+
+
 def op13_collocations(spark: SparkSession, root: str) -> DataFrame:
     return collocations.collocations(load_table(spark, root, "documents"))
 
@@ -66,4 +70,4 @@ def op13_collocations(spark: SparkSession, root: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_simhash_dedup, op2_secret_scan, op3_url_filter, op4_personal_data, op5_repeated_substrings,
     op6_sharding, op7_packing, op8_nearest_neighbours, op9_language_id, op10_decontamination,
-    op11_merkle_manifest, op13_collocations)}
+    op11_merkle_manifest, op12_lm_scoring, op13_collocations)}
