@@ -31,7 +31,7 @@ WORDS = 5                    # a phrase's words, at most
 LEAST = 100                  # occurrences of a candidate
 TOP = 2000                   # phrases of a language
 FIRST_WAVE = 64              # the first wave expands words of up to LEAST times this occurrences
-CHUNK = 8 << 20              # bytes of text that are counted together in a task
+CHUNK = 4 << 20              # bytes of text that are counted together in a task
 MOST_BITS = 1 << 28          # of a Bloom filter (32 MB)
 PROBES = 4
 COLUMNS = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
