@@ -13,6 +13,7 @@ from math import log2
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +26,7 @@ FILL = 3                 # entries of a transition table for each transition, at
 ROUNDS = 64              # tries to place states before the table grows
 UNKNOWN = "und"
 TOGETHER = 1024          # documents parsed in step
+CHARS = 4 << 20          # characters of them, about
 FEW = 16                 # when fewer are left, each is parsed by itself
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -190,31 +192,50 @@ class Parser:
         out = [(UNKNOWN, 0.0)] * len(texts)
         if not self.languages:
             return out
-        coded = [(i, self.codes(w)) for i, t in enumerate(texts) if t and (w := normalise(t))]
-        coded.sort(key=lambda x: -len(x[1]))
-        for at in range(0, len(coded), TOGETHER):
-            group = coded[at:at + TOGETHER]
-            for (i, c), n in zip(group, self.phrases([c for _, c in group]).tolist()):
+        words = [(i, w) for i, t in enumerate(texts) if t and (w := normalise(t))]
+        words.sort(key=lambda x: -len(x[1]))
+        at = 0
+        while at < len(words):
+            to, held = at, 0
+            while to < len(words) and to - at < TOGETHER and held < CHARS:
+                held += len(words[to][1])
+                to += 1
+            coded = [self.codes(w) for _, w in words[at:to]]
+            for (i, _), c, n in zip(words[at:to], coded, self.phrases(coded).tolist()):
                 cost = sorted(((x * b + m * POINT) / len(c), k) for x, m, b, k in zip(
                     n, self.missing(c).tolist(), self.bits.tolist(), self.languages))
                 out[i] = (cost[0][1], 1.0 if len(cost) == 1 else 1.0 - cost[0][0] / cost[1][0])
+            at = to
         return out
 
 
-def _predict(samples: tuple):
+def _predict(samples: tuple, keep: bool):
     def run(batches):
         if samples not in _models:
             _models.clear()
             _models[samples] = Parser({k: list(v) for k, v in samples})
         model = _models[samples]
         for b in batches:
-            out = model.predict(b.column(2).to_pylist())
+            out = []
+            for text in _slices(b.column(2)):
+                out += model.predict(text.to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array([x for x, _ in out], pa.string()),
-                 pa.array([x for _, x in out], pa.float64())], names=["row", "held_out", "lang_pred", "score"])
+                 pa.array([x for _, x in out], pa.float64()), *b.columns[3 - keep:]],
+                names=["row", "held_out", "lang_pred", "score", "text"][:4 + keep])
     return run
 
 
+def _slices(texts: pa.Array):
+    """``texts`` in stretches of about CHARS bytes: only those stand in memory as Python strings."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + CHARS)))
+        yield texts.slice(at, to - at)
+        at = to
+
+
 def held_out() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS == 0, F.lit(False))
 
@@ -241,10 +262,12 @@ def learn_samples(docs: DataFrame) -> tuple:
     return tuple((k, tuple(v)) for k, v in sorted(by.items()))
 
 
-def _apply(rows: DataFrame, samples: tuple) -> DataFrame:
+def _apply(rows: DataFrame, samples: tuple, keep: bool = False) -> DataFrame:
+    """Rows (row, held_out, text) with their predictions, and the text if it is to be kept."""
     schema = T.StructType([rows.schema["row"], T.StructField("held_out", T.BooleanType()),
-                           T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(_predict(samples), schema)
+                           T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+                           *[T.StructField("text", T.StringType())] * keep])
+    return rows.mapInArrow(_predict(samples, keep), schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -260,8 +283,13 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents whose language can't be told (``und``).
-    Columns as they came."""
-    rows = docs.select(F.struct("*").alias("row"), F.lit(False).alias("held_out"), F.col("text").cast("string"))
-    found = _apply(rows, learn_samples(docs))
-    return found.filter(F.col("lang_pred") != UNKNOWN).select("row.*")
+    """``docs`` without the documents whose language can't be told (``und``: the text is
+    null or holds no letter, or nothing could be learned); ``lang`` of those kept is the
+    predicted language, whatever it was. Other columns as they came, texts too (as a string);
+    repeated rows stay; an empty table gives none. The text goes to the workers once."""
+    rest = [c for c in docs.columns if c not in ("text", "lang")]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), F.lit(False).alias("held_out"),
+                       F.col("text").cast("string"))
+    found = _apply(rows, learn_samples(docs), keep=True).filter(F.col("lang_pred") != UNKNOWN)
+    own = {"text": F.col("text"), "lang": F.col("lang_pred").alias("lang")}
+    return found.select(*[own.get(c, F.col(f"row.`{c}`")) for c in docs.columns])

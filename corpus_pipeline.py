@@ -12,7 +12,7 @@ from chartlake.sources.tables import load_table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told."""
+    """Documents whose language can be told; ``lang`` is the language found."""
     return langid.keep_identified(docs)
 
 

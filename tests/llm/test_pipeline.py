@@ -18,6 +18,8 @@ def test_stages_and_run(spark):
         new = {r.doc_id: r for r in docs.collect()}
         if name == "language_id":
             assert set(new) == {d for d, r in old.items() if langid.normalise(r.text or "")}
+            found = {r.doc_id: r.lang_pred for r in langid.identify(before).collect()}
+            assert all(r.lang == found[d] and r.text == old[d].text for d, r in new.items())
         elif name == "near_duplicates":
             rows = [(d, r.text) for d, r in old.items()]
             assert set(new) == set(plain_components(rows)[1])
@@ -29,3 +31,21 @@ def test_stages_and_run(spark):
     pieces = packing.pack(docs).count()
     assert pieces >= docs.count() == pii.redact(docs).count()
     assert corpus_pipeline.run(spark, SF).count() == pieces
+
+
+def test_stages_take_any_table(spark, tmp_path):
+    """Nulls in any column, clashing extra columns, repeated rows, an empty table."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, row string, fp long, `a.b` int, held_out string"
+    text = "This row holds a letter or two and goes on for some more words than that, mail me at a@b.org"
+    rows = [(1, text, "en", "s", 5, "r", 1, 2, "h"), (1, text, "en", "s", 5, "r", 1, 2, "h"), (2, None, None, None, None, None, None, None, None),
+            (3, "", "en", None, None, None, None, None, None), (4, "12 .. ! 34", "en", "s", 1, "r", 1, 2, "h"),
+            (None, "no id but words", None, None, None, None, None, None, None), (5, "other words here", "en", "s", 1, "r", 1, 2, "h")]
+    for data, kept in ((rows, {1, 5, None}), ([], set())):
+        docs = spark.createDataFrame(data, schema)
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = materialise(stage(spark, docs, SF), "any")
+            assert docs.columns == [f.split()[0].strip("`") for f in schema.split(", ")]
+        assert {r.doc_id for r in docs.collect()} == kept
+        assert "b.org" not in " ".join(r.text for r in docs.collect())
+        pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+        assert {r.doc_id for r in pieces} == kept
