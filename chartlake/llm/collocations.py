@@ -254,7 +254,7 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST) -> DataFra
             waiting = waiting.join(floors, "lang", "left")
             now = F.when(F.col("floor").isNull(), now).otherwise(F.col("bound") >= F.col("floor"))
         waiting = materialise(waiting.withColumn("now", now), "waiting")
-        limit *= FIRST_WAVE
+        limit *= max(2, FIRST_WAVE)
         wave, waiting = waiting.filter("now"), waiting.filter("NOT now").drop("now")
         if wave.isEmpty():
             if (waiting if floors is None else waiting.filter("floor IS NULL")).isEmpty():

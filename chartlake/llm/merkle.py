@@ -3,7 +3,7 @@
 Rows are leaves; per language, ordered by doc_id, every FANOUT consecutive nodes have a
 parent, up to one subroot; the subroots, ordered by language, likewise lead to the root.
 
-The leaves are cut into aligned blocks of BLOCK leaves, so a block is a whole subtree of
+The leaves are cut into aligned blocks of FANOUT ** HEIGHT leaves, so a block is a subtree of
 HEIGHT levels and one bounded row. A changed leaf makes a version that shares all nodes
 it doesn't touch: inside its block only the leaf's ancestors are copied; above it the
 version goes on along the block's upper path, which the distributed upper levels (runs of
@@ -23,7 +23,6 @@ from .common import gapless_index, materialise
 
 FANOUT = 8
 HEIGHT = 3                         # levels inside a block
-BLOCK = FANOUT ** HEIGHT
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -46,11 +45,11 @@ def _parent(nodes: list[str]) -> str:
     return sha256("".join(nodes).encode()).hexdigest()
 
 
-def block_tree(leaves: list[str], whole: bool) -> list[list[str]]:
+def block_tree(leaves: list[str], whole: bool, height: int = HEIGHT) -> list[list[str]]:
     """Levels of a block, its leaves first. A block that is a ``whole`` language ends at
-    the first level of one node, any other has HEIGHT levels above its leaves."""
+    the first level of one node, any other has ``height`` levels above its leaves."""
     levels = [leaves]
-    while len(levels[-1]) > 1 if whole else len(levels) <= HEIGHT:
+    while len(levels[-1]) > 1 if whole else len(levels) <= height:
         below = levels[-1]
         levels.append([_parent(below[i:i + FANOUT]) for i in range(0, len(below), FANOUT)])
     return levels
@@ -75,30 +74,38 @@ def copy_path(leaf: str, path: list[tuple[str, str]]) -> list[str]:
     return copied
 
 
-def _roots(batches):
-    for b in batches:
-        rows, n = b.column("rows").to_pylist(), b.column("n").to_pylist()
-        nodes = [block_tree([r["leaf"] for r in x], k <= BLOCK)[-1][0] for x, k in zip(rows, n)]
-        yield pa.RecordBatch.from_arrays(
-            [*b.columns, pa.array(nodes, pa.string())], names=[*b.schema.names, "node"])
-
-
-def _versions(batches):
-    for b in batches:
-        for block in b.to_pylist():
-            rows = block["rows"]
-            levels = block_tree([r["leaf"] for r in rows], block["n"] <= BLOCK)
-            upper = [(s["left"], s["right"]) for s in block["path"]]
-            out = []
-            for i, r in enumerate(rows):
-                path = _siblings(levels, i) + upper
-                proof = sha256("".join([a + b for a, b in path]).encode()).hexdigest()
-                copied = copy_path(r["changed"] or r["leaf"], path)
-                out.append((r["doc_id"], r["leaf"], block["subroot"], block["root"], proof, copied[-1],
-                            copied[-1] == block["root"], copied if r["changed"] not in (None, r["leaf"]) else []))
-            kinds = [pa.int64(), *[pa.string()] * 5, pa.bool_(), pa.list_(pa.string())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
-                                             names=[f.split()[0] for f in _RESULT.split(", ")])
+def _roots(height: int):
+    def run(batches):
+        for b in batches:
+            rows, n = b.column("rows").to_pylist(), b.column("n").to_pylist()
+            nodes = [block_tree([r["leaf"] for r in x], k <= FANOUT ** height, height)[-1][0] for x, k in zip(rows, n)]
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(nodes, pa.string())], names=[*b.schema.names, "node"])
+    return run
+
+
+def _versions(height: int):
+    def run(batches):
+        for b in batches:
+            for block in b.to_pylist():
+                yield _of_block(block, height)
+    return run
+
+
+def _of_block(block: dict, height: int) -> pa.RecordBatch:
+    rows = block["rows"]
+    levels = block_tree([r["leaf"] for r in rows], block["n"] <= FANOUT ** height, height)
+    upper = [(s["left"], s["right"]) for s in block["path"]]
+    out = []
+    for i, r in enumerate(rows):
+        path = _siblings(levels, i) + upper
+        proof = sha256("".join([a + b for a, b in path]).encode()).hexdigest()
+        copied = copy_path(r["changed"] or r["leaf"], path)
+        out.append((r["doc_id"], r["leaf"], block["subroot"], block["root"], proof, copied[-1],
+                    copied[-1] == block["root"], copied if r["changed"] not in (None, r["leaf"]) else []))
+    kinds = [pa.int64(), *[pa.string()] * 5, pa.bool_(), pa.list_(pa.string())]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
+                                      names=[f.split()[0] for f in _RESULT.split(", ")])
 
 
 def _raise(nodes: DataFrame, name: str) -> tuple[list[DataFrame], DataFrame]:
@@ -132,12 +139,12 @@ def _paths(levels: list[DataFrame], tops: DataFrame, name: str) -> DataFrame:
     return paths
 
 
-def manifest(docs: DataFrame, changed: Column | None = None) -> DataFrame:
+def manifest(docs: DataFrame, changed: Column | None = None, height: int = HEIGHT) -> DataFrame:
     """One row per row of ``docs``: doc_id, leaf, subroot, root, proof_sha256 (digest of the
     siblings on the leaf's way up, of nothing if it has none), folded_root (of the changed
     leaf, else the own one, up the original siblings), verified (equals root) and version
     (the changed leaf and the copied ancestors up to the version's root; empty if the leaf
-    stays the same).
+    stays the same). ``height``: levels of a block, which only moves work.
 
     ``changed`` gives a row's text after tampering, or null where it was left alone (a
     null text stays null). Nulls in FIELDS are digested as ``-``; a null language is
@@ -153,11 +160,11 @@ def manifest(docs: DataFrame, changed: Column | None = None) -> DataFrame:
     order = ["doc_id", "leaf", "tie"]
     placed = gapless_index(rows.repartitionByRange("key", *order), "key", order, "pos")
     counts = rows.groupBy("key").agg(F.count("*").alias("n"))
-    blocks = (placed.groupBy("key", F.expr(f"pos div {BLOCK}").alias("idx"))
+    blocks = (placed.groupBy("key", F.expr(f"pos div {FANOUT ** height}").alias("idx"))
               .agg(F.array_sort(F.collect_list(F.struct("pos", "doc_id", "leaf", "changed"))).alias("rows"))
               .join(counts, "key"))
     with_node = T.StructType([*blocks.schema.fields, T.StructField("node", T.StringType())])
-    blocks = materialise(blocks.mapInArrow(_roots, with_node), "blocks")
+    blocks = materialise(blocks.mapInArrow(_roots(height), with_node), "blocks")
 
     levels, tops = _raise(blocks.select("key", "idx", "node"), "upper")
     of_blocks = _paths(levels, tops, "paths")
@@ -170,7 +177,7 @@ def manifest(docs: DataFrame, changed: Column | None = None) -> DataFrame:
              .select("key", "subroot", "root", "last"))
     up = (of_blocks.join(langs, "key")
           .select("key", "idx", "subroot", "root", F.concat("path", "last").alias("path")))
-    return blocks.drop("node").join(up, ["key", "idx"]).mapInArrow(_versions, _RESULT)
+    return blocks.drop("node").join(up, ["key", "idx"]).mapInArrow(_versions(height), _RESULT)
 
 
 def tampered(every: int = 3) -> Column:
