@@ -5,7 +5,8 @@ from .enrich import (enrich_artists, enrichment_candidates, latest_snapshot,
 from .fact import build_fact
 from .latest import latest_by_key
 from .marts import (genre_distribution, item_changes, list_changes, popularity_trends, present,
-                    share_of_total, streaks, track_persistence, track_vintages)
+                    share_of_buckets, share_of_total, streaks, track_persistence, track_vintages)
+from .payload import PAYLOAD_FIELDS, iso_date, merged_with_counts, zip_payload
 from .staging import stage_artists, stage_tracks
 from .topk import snapshot_top_k
 from .upsert import upsert, upsert_latest

@@ -16,8 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as ops
+from ..schemas import RAW_ARTIST, RAW_TRACK
 from ..session import shared_dir
 from ..sources.landing import read_raw_artists, read_raw_tracks, write_landing
+from ..sources.quarantine import quarantine
 from . import binding
 from .tables import VersionedTable, has_marker, put_marker
 
@@ -60,6 +62,7 @@ class Workspace:
                        ("stg_tracks", "stg_artists", "dim_albums", "dim_artists",
                         "fct_snapshot_top_items")}
         self.landing: str | None = None
+        self._damaged: str | None = None
         self._lock = threading.RLock()
         self._frames: dict[str, DataFrame] = {}
         self._layer_locks: dict[str, threading.Lock] = {}
@@ -101,6 +104,23 @@ class Workspace:
                 return f"{self.base}/{name}"
         return None
 
+    def damaged_landing(self) -> str:
+        """A landing zone of the artist feed with bad lines among the good ones (once):
+        suppliers divisible by 5 have their line cut in half, those with remainder 1
+        have text where a number belongs."""
+        with self._lock:
+            if self._damaged is None:
+                out = f"{self.base}/damaged-{uuid.uuid4().hex[:12]}"
+                lines = to_lines(binding.raw_artists(self.spark, self.root))
+                key = F.get_json_object("value", "$.id").substr(F.lit(2), F.lit(30)).cast("bigint")
+                value = (F.when(key % 5 == 0, F.col("value").substr(F.lit(1), F.floor(F.length("value") / 2)))
+                          .when(key % 5 == 1, F.regexp_replace("value", r'"popularity":\d+', '"popularity":"high"'))
+                          .otherwise(F.col("value")))
+                write_landing(lines.withColumn("value", value), f"{out}/artists",
+                              partition_cols=["year", "month", "day"])
+                self._damaged = out
+            return self._damaged
+
     def raw_tracks(self) -> DataFrame:
         return read_raw_tracks(self.spark, f"{self.land()}/tracks")
 
@@ -211,7 +231,10 @@ def run_models(spark: SparkSession, root: str, out: str | None = None) -> dict[s
 def stage_landing(spark: SparkSession, landing_root: str, out: str) -> tuple[DataFrame, DataFrame]:
     """Your own feeds: landing folder (``tracks/`` and ``artists/`` with
     ``year=/month=/day=`` partitions) -> staged tables written under ``out``
-    (new versions, partitioned by snapshot date) -> (stg_tracks, stg_artists)."""
+    (new versions, partitioned by snapshot date) -> (stg_tracks, stg_artists). Lines
+    that don't fit the feed's schema are written to ``out/quarantine`` instead."""
+    for kind, schema in (("tracks", RAW_TRACK), ("artists", RAW_ARTIST)):
+        quarantine(spark, f"{landing_root}/{kind}", schema, f"{out}/quarantine/{kind}")
     t = VersionedTable(spark, f"{out}/stg_tracks")
     a = VersionedTable(spark, f"{out}/stg_artists")
     t.write(ops.stage_tracks(read_raw_tracks(spark, f"{landing_root}/tracks")),
@@ -253,7 +276,8 @@ def run_models_on(spark: SparkSession, stg_t: DataFrame, stg_a: DataFrame,
         t.write(df)
         result[name] = t.read()
     # The persistence mart is a view in the reference: left lazy.
-    result["mart_track_persistence"] = ops.track_persistence(fact, dates)
+    result["mart_track_persistence"] = ops.present(
+        "mart_track_persistence", ops.track_persistence(fact, dates))
     return result
 
 

@@ -297,5 +297,21 @@ UNION ALL
 SELECT id, name, popularity, {_txt('genres')}, uri, image_url, (SELECT d FROM latest)
 FROM found"""
     q["zip_arrays"] = _with(DETAILS) + """
-SELECT id, name, popularity, uri, image_url FROM details"""
+SELECT id, name, popularity,
+       CASE WHEN k % 7 = 3 THEN NULL WHEN k % 5 = 2 THEN '' ELSE array_to_string(genres, '|') END AS genres,
+       uri, image_url,
+       CASE WHEN k % 9 = 4 OR k % 8 = 5 THEN NULL
+            ELSE make_date(1997, CAST(k % 12 + 1 AS INTEGER), CAST(k % 28 + 1 AS INTEGER)) END AS snapshot_date
+FROM (SELECT *, CAST(substr(id, 2) AS BIGINT) AS k FROM details)"""
+    q["merge_counts"] = _with(STG_ARTISTS) + """
+SELECT count(*) FILTER (older AND newest) AS matched, count(*) FILTER (newest AND NOT older) AS inserted,
+       count(*) FILTER (newest) AS affected
+FROM (SELECT artist_id, bool_or(artist_snapshot_date = top) AS newest, bool_or(artist_snapshot_date < top) AS older
+      FROM stg_top_artists, (SELECT max(artist_snapshot_date) AS top FROM stg_top_artists)
+      WHERE artist_id IS NOT NULL GROUP BY artist_id)"""
+    q["quarantine_lines"] = _with(STG_ARTISTS) + """
+SELECT snapshot_year AS year, snapshot_month AS month, snapshot_day AS day, count(*) FILTER (NOT damaged) AS good_lines,
+       CAST(sum(artist_popularity) FILTER (NOT damaged) AS BIGINT) AS good_popularity, count(*) FILTER (damaged) AS bad_lines
+FROM (SELECT *, CAST(substr(artist_id, 2) AS BIGINT) % 5 < 2 AS damaged FROM stg_top_artists)
+GROUP BY ALL"""
     return q

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from .. import operators as ops
 from ..functions import first_field, parse_partial_date
-from ..sources.landing import landing_items
+from ..schemas import RAW_ARTIST
+from ..sources.landing import landing_items, read_raw_artists
+from ..sources.quarantine import bad_lines
 from ..sources.tables import load_table
 from .binding import snapshot_of
 from .models import workspace
@@ -198,14 +200,23 @@ def lookup_details(spark, root):
 
 def zip_arrays(spark, root):
     """Details rows packed into columnar payloads of at most 50 ids (id
-    ranges of the unique numeric key), then zipped back into rows."""
+    ranges of the unique numeric key), then zipped back into rows. All seven
+    arrays: genres travel as JSON text (of every seventh supplier cut off, of every
+    fifth an empty array), the snapshot as ISO text (of every ninth an impossible day, of
+    every eighth in another notation)."""
+    key = F.substring("id", 2, 30).cast("bigint")
+    genres = (F.when(key % 7 == 3, F.lit('["cut off'))
+               .when(key % 5 == 2, F.lit("[]")).otherwise(F.to_json("genres")))
+    day = (F.when(key % 9 == 4, F.lit("1997-02-30")).when(key % 8 == 5, F.lit("1 May 1997"))
+            .otherwise(F.format_string("1997-%02d-%02d", key % 12 + 1, key % 28 + 1)))
     d = workspace(spark, root).details().select(
-        "id", "name", "popularity", "uri",
-        first_field("images", "url").alias("image_url"),
-        F.floor(F.substring("id", 2, 30).cast("bigint") / 50).alias("batch"))
-    fields = ["id", "name", "popularity", "uri", "image_url"]
-    payload = ops.to_parallel_arrays(d, "batch", fields, order="id")
-    return ops.zip_arrays(payload, fields, pos=None)
+        "id", "name", "popularity", genres.alias("genres"), "uri",
+        first_field("images", "url").alias("image_url"), day.alias("snapshot_date"),
+        F.floor(key / 50).alias("batch"))
+    payload = ops.to_parallel_arrays(d, "batch", ops.PAYLOAD_FIELDS, order="id")
+    z = ops.zip_payload(payload)
+    return z.select("id", "name", "popularity", F.array_join("genres", "|").alias("genres"), "uri",
+                    "image_url", "snapshot_date")
 
 
 def enrich_artists(spark, root):
@@ -214,6 +225,35 @@ def enrich_artists(spark, root):
     return _with_txt(dim, "artist_genres")
 
 
+def merge_counts(spark, root):
+    """What the newest snapshot's merge into the older artist dimension changes: counted
+    while its rows are written, without a job of its own."""
+    import uuid
+
+    from pyspark.sql import Observation
+    ws = workspace(spark, root)
+    old, new = _split_newest(ws.stg_artists(), "artist_snapshot_date")
+    merge = Observation()
+    merged = ops.merged_with_counts(ops.dim_artists(old), ops.dim_artists(new), "artist_id", merge)
+    merged.write.parquet(f"{ws.base}/merge-{uuid.uuid4().hex[:12]}")
+    return spark.createDataFrame([merge.get], "matched long, inserted long, affected long")
+
+
+def quarantine_lines(spark, root):
+    """A landing zone with bad lines: those of every fifth supplier end half-way, those
+    of another fifth have text for a number. Per snapshot: lines, those that the scan gives and
+    their popularity, and those that the quarantine holds."""
+    ws = workspace(spark, root)
+    feed = f"{ws.damaged_landing()}/artists"
+    good = read_raw_artists(spark, feed).groupBy("year", "month", "day").agg(
+        F.count("*").alias("good_lines"), F.sum("popularity").alias("good_popularity"))
+    bad = bad_lines(spark, feed, RAW_ARTIST).groupBy("year", "month", "day").agg(F.count("*").alias("bad_lines"))
+    keys = ["year", "month", "day"]
+    both = good.join(bad, keys, "full_outer")
+    return both.select(*keys, F.coalesce("good_lines", F.lit(0)).alias("good_lines"), "good_popularity",
+                       F.coalesce("bad_lines", F.lit(0)).alias("bad_lines"))
+
+
 # -- streaming (incremental model maintenance) -------------------------------------
 def stream_dim_artists(spark, root):
     """The artist dimension maintained by an availableNow file stream over
@@ -260,5 +300,7 @@ QUERIES: dict[str, Query] = {
     "lookup_details": lookup_details,
     "zip_arrays": zip_arrays,
     "enrich_artists": enrich_artists,
+    "merge_counts": merge_counts,
+    "quarantine_lines": quarantine_lines,
     "stream_dim_artists": stream_dim_artists,
 }

@@ -7,7 +7,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import RAW_ARTIST, RAW_TRACK, with_partitions
+from ..schemas import RAW_ARTIST, RAW_TRACK
+from .quarantine import good_rows
 
 PARTITIONS = ["year", "month", "day"]
 
@@ -16,13 +17,14 @@ def _read(spark: SparkSession, path: str, schema, infer: bool = False,
           mode: str = "PERMISSIVE") -> DataFrame:
     # Declared schema (partition keys typed int: "month=04" reads as 4);
     # basePath keeps partition discovery when a sub-path or glob is given.
+    # Lines that don't fit it are left out (``quarantine`` keeps them), or
+    # fail the job with mode FAILFAST.
     # ``infer=True`` is the opt-in auto-detect of the source tables: it costs
     # a pass over the data and types an all-empty ``images: []`` as
     # array<string>, so the declared schema is the default.
-    r = spark.read.option("basePath", path.split("/year=")[0]).option("mode", mode)
-    if not infer:
-        r = r.schema(with_partitions(schema))
-    return r.json(path)
+    if infer:
+        return spark.read.option("basePath", path.split("/year=")[0]).option("mode", mode).json(path)
+    return good_rows(spark, path, schema, mode)
 
 
 def read_raw_tracks(spark: SparkSession, path: str, infer: bool = False,

@@ -1,6 +1,7 @@
 """Every registered query against its DuckDB oracle (sf0.001 here; the
 driver runs the same comparison at sf0.01)."""
 import os
+import re
 import sys
 
 import duckdb
@@ -26,8 +27,8 @@ def duck():
 
 
 def _names():
-    from __spark_entry__ import queries
-    return list(queries())
+    from __spark_entry__ import oracle_sql
+    return list(oracle_sql())
 
 
 @pytest.mark.parametrize("name", _names())
@@ -46,7 +47,10 @@ def test_query_matches_oracle(spark, duck, name):
 
 def test_every_query_has_oracle():
     from __spark_entry__ import oracle_sql, queries
-    assert set(queries()) == set(oracle_sql())
+    assert set(oracle_sql()) <= set(queries())
+    # The training-data queries (opN_*, pipeline) are compared with brute force in tests/llm.
+    own = {n for n in queries() if n != "pipeline" and not re.match(r"op\d+_", n)}
+    assert own <= set(oracle_sql())
 
 
 def test_entry_runs_all_models(spark):
