@@ -291,7 +291,11 @@ def _expand(texts: DataFrame, wave: DataFrame, by_size: dict, frequent, unseen,
             tests = [[*grown, (1, size - 1, bloom(_union(by_size[size - 1])))]]
             if unseen is not None:
                 tests.append([*grown, (1, 1, unseen)])
-        level = _count(texts, _phrases({size: tests}), f"phrases{size}").filter(F.col("f") >= least)
+        # What a filter let through wrongly belongs to a later wave: only true extensions stay.
+        counted = _count(texts, _phrases({size: tests}), f"phrases{size}").filter(F.col("f") >= least)
+        prefixes = level.select("lang", F.col("phrase").alias("prefix"))
+        level = materialise(counted.withColumn("prefix", F.substring_index("phrase", " ", size - 1))
+                            .join(prefixes, ["lang", "prefix"], "left_semi").drop("prefix"), f"level{size}")
         if level.isEmpty():
             break
         found.append(level)
