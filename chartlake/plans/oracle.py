@@ -228,6 +228,7 @@ WHERE rn = 1"""
     q["dim_artists"] = _with(STG_ARTISTS, DIM_ARTISTS) + f"""
 SELECT * REPLACE ({_txt('artist_genres')} AS artist_genres) FROM dim_artists"""
     q["stream_dim_artists"] = q["dim_artists"]
+    q["stream_dim_albums"] = q["dim_albums"]
     q["upsert_albums"] = q["dim_albums"]
     q["upsert_artists"] = q["dim_artists"]
     q["fct_snapshot_top_items"] = _with(*BASE) + f"""

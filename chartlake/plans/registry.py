@@ -255,24 +255,28 @@ def quarantine_lines(spark, root):
 
 
 # -- streaming (incremental model maintenance) -------------------------------------
-def stream_dim_artists(spark, root):
-    """The artist dimension maintained by an availableNow file stream over
-    the landing zone: all files not seen yet in one micro-batch, hence one merge
-    with the order-aware upsert and one new version per run; must equal the batch-built dimension."""
+def _streamed(spark, root, kind: str, feed: str):
     import uuid
 
-    from ..streaming import start_dimension_stream
-    from .tables import VersionedTable
+    from ..streaming import read_dimension, start_dimension_stream
     ws = workspace(spark, root)
     run = f"{ws.base}/stream-{uuid.uuid4().hex[:12]}"
-    q = start_dimension_stream(spark, f"{ws.land()}/artists", "artists", f"{run}/dim",
-                               f"{run}/checkpoint")
+    q = start_dimension_stream(spark, f"{ws.land()}/{feed}", kind, f"{run}/dim", f"{run}/checkpoint")
     q.awaitTermination()                          # availableNow stops by itself
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    t = VersionedTable(spark, f"{run}/dim")
-    dim = t.read() if t.exists() else ops.dim_artists(ws.stg_artists().limit(0))  # no files yet
-    return _with_txt(dim.select(*ops.dims.DIM_ARTIST_COLUMNS), "artist_genres")
+    return read_dimension(spark, f"{run}/dim", kind)
+
+
+def stream_dim_artists(spark, root):
+    """The artist dimension maintained by an availableNow file stream over the landing
+    zone, with keyed state; must equal the batch-built dimension."""
+    return _with_txt(_streamed(spark, root, "artists", "artists"), "artist_genres")
+
+
+def stream_dim_albums(spark, root):
+    """The album dimension likewise, from the track feed."""
+    return _streamed(spark, root, "albums", "tracks")
 
 
 QUERIES: dict[str, Query] = {
@@ -303,4 +307,5 @@ QUERIES: dict[str, Query] = {
     "merge_counts": merge_counts,
     "quarantine_lines": quarantine_lines,
     "stream_dim_artists": stream_dim_artists,
+    "stream_dim_albums": stream_dim_albums,
 }

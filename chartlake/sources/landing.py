@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import RAW_ARTIST, RAW_TRACK
-from .quarantine import good_rows
+from .quarantine import good_rows, landing_lines
 
 PARTITIONS = ["year", "month", "day"]
 
@@ -24,7 +24,7 @@ def _read(spark: SparkSession, path: str, schema, infer: bool = False,
     # array<string>, so the declared schema is the default.
     if infer:
         return spark.read.option("basePath", path.split("/year=")[0]).option("mode", mode).json(path)
-    return good_rows(spark, path, schema, mode)
+    return good_rows(landing_lines(spark, path), schema, mode)
 
 
 def read_raw_tracks(spark: SparkSession, path: str, infer: bool = False,

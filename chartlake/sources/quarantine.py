@@ -14,22 +14,25 @@ CORRUPT = "_corrupt_record"
 _KEYS = [f.name for f in PARTITION_FIELDS]
 
 
-def landing_lines(spark: SparkSession, path: str) -> DataFrame:
+def landing_lines(spark: SparkSession, path: str, stream: bool = False,
+                  max_files_per_trigger: int | None = None) -> DataFrame:
     """Non-blank lines (``line``, ``file``, year, month, day) under ``path``, which may be
-    the feed's folder, a folder or a glob below it."""
+    the feed's folder, a folder or a glob below it; with ``stream``, as a file stream."""
     schema = T.StructType([T.StructField("value", T.StringType()), *PARTITION_FIELDS])
-    lines = spark.read.schema(schema).option("basePath", path.split("/year=")[0]).text(path)
+    reader = (spark.readStream if stream else spark.read).schema(schema)
+    if stream and max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    lines = reader.option("basePath", path.split("/year=")[0]).text(path)
     return (lines.select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), *_KEYS)
             .filter(F.trim("line") != ""))
 
 
-def parsed_lines(spark: SparkSession, path: str, schema: T.StructType, mode: str = "PERMISSIVE") -> DataFrame:
+def parsed_lines(lines: DataFrame, schema: T.StructType, mode: str = "PERMISSIVE") -> DataFrame:
     """``landing_lines`` with ``item``, the line under ``schema``, and ``bad``: not valid JSON,
     no object, a field of another type, or a line that doesn't end where an object does (the
     parser stops behind the first object; a second object on the line is not seen). The whole schema is parsed whatever is selected
     afterwards (a file reader would parse the selected fields only, and a line would be good
     or bad by the query that asks). With mode FAILFAST a bad line fails the job."""
-    lines = landing_lines(spark, path)
     if mode.upper() == "FAILFAST":
         return lines.withColumn("item", F.from_json("line", schema, {"mode": "FAILFAST"})).withColumn("bad", F.lit(False))
     if mode.upper() != "PERMISSIVE":
@@ -40,15 +43,15 @@ def parsed_lines(spark: SparkSession, path: str, schema: T.StructType, mode: str
             .withColumn("bad", F.col("item").isNull() | F.col(f"item.{CORRUPT}").isNotNull() | ~F.rtrim("line").endswith("}")))
 
 
-def good_rows(spark: SparkSession, path: str, schema: T.StructType, mode: str = "PERMISSIVE") -> DataFrame:
+def good_rows(lines: DataFrame, schema: T.StructType, mode: str = "PERMISSIVE") -> DataFrame:
     """The fields of the lines that fit ``schema``, and year, month, day."""
-    rows = parsed_lines(spark, path, schema, mode).filter(~F.col("bad"))
+    rows = parsed_lines(lines, schema, mode).filter(~F.col("bad"))
     return rows.select(*[F.col(f"item.{f.name}").alias(f.name) for f in schema.fields], *_KEYS)
 
 
 def bad_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The lines that don't fit ``schema``: line, file, year, month, day."""
-    return parsed_lines(spark, path, schema).filter("bad").select("line", "file", *_KEYS)
+    return parsed_lines(landing_lines(spark, path), schema).filter("bad").select("line", "file", *_KEYS)
 
 
 def quarantine(spark: SparkSession, path: str, schema: T.StructType, to: str) -> DataFrame:

@@ -1,4 +1,4 @@
-from .dimensions import start_dimension_stream
+from .dimensions import read_dimension, start_dimension_stream
 from .staging import start_staging_stream
 
-__all__ = ["start_dimension_stream", "start_staging_stream"]
+__all__ = ["read_dimension", "start_dimension_stream", "start_staging_stream"]
