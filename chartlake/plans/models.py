@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from .. import operators as ops
 from ..schemas import RAW_ARTIST, RAW_TRACK
 from ..session import shared_dir
+from ..sources.bucketed import write_bucketed
 from ..sources.landing import read_raw_artists, read_raw_tracks, write_landing
 from ..sources.quarantine import quarantine
 from . import binding
@@ -63,6 +64,7 @@ class Workspace:
                         "fct_snapshot_top_items")}
         self.landing: str | None = None
         self._damaged: str | None = None
+        self._bucketed: tuple[DataFrame, DataFrame] | None = None
         self._lock = threading.RLock()
         self._frames: dict[str, DataFrame] = {}
         self._layer_locks: dict[str, threading.Lock] = {}
@@ -171,6 +173,18 @@ class Workspace:
         return self._materialised("dim_albums", lambda: ops.dim_albums(self.stg_tracks()),
                                   None, ops.dims.DIM_ALBUM_COLUMNS)
 
+    def bucketed_star(self) -> tuple[DataFrame, DataFrame]:
+        """The staged tracks and the album dimension as bucketed tables (once per
+        session), as many buckets as shuffle partitions."""
+        with self._lock:
+            if self._bucketed is None:
+                run, n = uuid.uuid4().hex[:12], int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+                staged = self.stg_tracks().withColumn("album_key", ops.album_join_key())
+                self._bucketed = tuple(
+                    write_bucketed(df, f"chartlake_{name}_{run}", f"{self.base}/bucketed-{run}/{name}", key, n)
+                    for name, df, key in (("tracks", staged, "album_key"), ("albums", self.dim_albums(), "album_id")))
+            return self._bucketed
+
     def details(self) -> DataFrame:
         return binding.artist_details(self.spark, self.root)
 

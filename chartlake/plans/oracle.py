@@ -230,9 +230,11 @@ SELECT * REPLACE ({_txt('artist_genres')} AS artist_genres) FROM dim_artists"""
     q["stream_dim_artists"] = q["dim_artists"]
     q["stream_dim_albums"] = q["dim_albums"]
     q["upsert_albums"] = q["dim_albums"]
+    q["upsert_parts"] = q["dim_albums"]
     q["upsert_artists"] = q["dim_artists"]
     q["fct_snapshot_top_items"] = _with(*BASE) + f"""
 SELECT * REPLACE ({_txt('artist_genres')} AS artist_genres) FROM fct"""
+    q["fct_bucketed"] = q["fct_snapshot_top_items"]
     q["mart_avg_popularity_trends"] = _with(*BASE) + """
 SELECT track_snapshot_date, avg(track_popularity) AS avg_track_popularity,
        avg(artist_popularity) AS avg_artist_popularity
@@ -278,6 +280,14 @@ islands AS (SELECT track_id, track_name, island, count(*) AS len, max(d) AS last
             FROM numbered GROUP BY track_id, track_name, island)
 SELECT track_id, track_name, len AS consecutive_snapshots_in_top_10
 FROM islands WHERE last_d = (SELECT max(d) FROM seen)"""
+    for name, order in (
+            ("track_persistence", "consecutive_snapshots_in_top_10 DESC NULLS LAST, track_name ASC NULLS FIRST, "
+                                  "track_id ASC NULLS FIRST"),
+            ("track_vintages", "track_snapshot_date DESC NULLS LAST, "
+                               "CASE WHEN release_decade = 'Older or Unknown' THEN 0 "
+                               "ELSE CAST(left(release_decade, 4) AS INTEGER) END DESC"),
+            ("genre_distribution", "track_snapshot_date DESC NULLS LAST, track_count DESC, genre ASC NULLS FIRST")):
+        q[f"ordered_{name}"] = f"SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM ({q['mart_' + name]})"
     q["latest_snapshot"] = _with(STG_TRACKS) + """
 SELECT max(track_snapshot_date) AS latest_snapshot_date FROM stg_top_tracks"""
     q["snapshot_entities"] = _with(STG_TRACKS) + """

@@ -5,6 +5,7 @@ the workspace's landed and materialised layers derived from them). Array
 columns are exposed as ``|``-joined sorted text for the oracle compare."""
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,11 @@ def _with_txt(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*[_txt(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
+def _run_folder(spark, root, name: str) -> str:
+    """A new folder for what one run of a query writes."""
+    return f"{workspace(spark, root).base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 # -- sources ---------------------------------------------------------------------
 def scan_tracks(spark, root):
     r = workspace(spark, root).raw_tracks()
@@ -132,6 +138,25 @@ def upsert_artists(spark, root):
                      "artist_genres")
 
 
+def upsert_parts(spark, root):
+    """The album dimension in parts by key: created from the older snapshots, then the newest
+    one merged into the parts that its albums fall into."""
+    old, new = _split_newest(workspace(spark, root).stg_tracks(), "track_snapshot_date")
+    older = ops.dim_albums(old)
+    table = ops.PartTable(spark, _run_folder(spark, root, "parts"), older.schema, "album_id", parts=64)
+    table.create(older)
+    table.upsert(ops.dim_albums(new))
+    return table.read()
+
+
+def fct_bucketed(spark, root):
+    """The star join over bucketed staged tracks and albums: no shuffle of the staged
+    rows for the albums."""
+    ws = workspace(spark, root)
+    tracks, albums = ws.bucketed_star()
+    return _with_txt(ops.build_fact(tracks, albums, ws.dim_artists(), album_key="album_key"), "artist_genres")
+
+
 def fct_snapshot_top_items(spark, root):
     """The star join over the staged tracks and the dimension tables (the
     dimensions are tables in the reference too; their build is measured by
@@ -168,6 +193,27 @@ def mart_track_persistence(spark, root):
     return ops.track_persistence(ws.fact(), dates)
 
 
+def _in_order(spark, root, name, mart, *ties):
+    return ops.with_position(mart, [*ops.presentation_order(name), *ties], _run_folder(spark, root, name))
+
+
+def ordered_track_persistence(spark, root):
+    """The persistence view in its display order; ties by track id."""
+    return _in_order(spark, root, "mart_track_persistence", mart_track_persistence(spark, root),
+                     F.col("track_id").asc())
+
+
+def ordered_track_vintages(spark, root):
+    """The decade shares in their display order (date, then the decades' own order)."""
+    return _in_order(spark, root, "mart_track_vintages", mart_track_vintages(spark, root))
+
+
+def ordered_genre_distribution(spark, root):
+    """The genre shares in their display order; ties by genre."""
+    return _in_order(spark, root, "mart_genre_distribution", mart_genre_distribution(spark, root),
+                     F.col("genre").asc())
+
+
 # -- enrichment (reads the dimension table, as the reference's MERGE does) --------
 def _newest(ws):
     """Newest staged track snapshot, from the partition listing (a scalar
@@ -228,14 +274,12 @@ def enrich_artists(spark, root):
 def merge_counts(spark, root):
     """What the newest snapshot's merge into the older artist dimension changes: counted
     while its rows are written, without a job of its own."""
-    import uuid
-
     from pyspark.sql import Observation
     ws = workspace(spark, root)
     old, new = _split_newest(ws.stg_artists(), "artist_snapshot_date")
     merge = Observation()
     merged = ops.merged_with_counts(ops.dim_artists(old), ops.dim_artists(new), "artist_id", merge)
-    merged.write.parquet(f"{ws.base}/merge-{uuid.uuid4().hex[:12]}")
+    merged.write.parquet(_run_folder(spark, root, "merge"))
     return spark.createDataFrame([merge.get], "matched long, inserted long, affected long")
 
 
@@ -256,11 +300,9 @@ def quarantine_lines(spark, root):
 
 # -- streaming (incremental model maintenance) -------------------------------------
 def _streamed(spark, root, kind: str, feed: str):
-    import uuid
-
     from ..streaming import read_dimension, start_dimension_stream
     ws = workspace(spark, root)
-    run = f"{ws.base}/stream-{uuid.uuid4().hex[:12]}"
+    run = _run_folder(spark, root, "stream")
     q = start_dimension_stream(spark, f"{ws.land()}/{feed}", kind, f"{run}/dim", f"{run}/checkpoint")
     q.awaitTermination()                          # availableNow stops by itself
     if q.exception() is not None:
@@ -292,12 +334,17 @@ QUERIES: dict[str, Query] = {
     "dim_artists": dim_artists,
     "upsert_albums": upsert_albums,
     "upsert_artists": upsert_artists,
+    "upsert_parts": upsert_parts,
     "fct_snapshot_top_items": fct_snapshot_top_items,
+    "fct_bucketed": fct_bucketed,
     "mart_avg_popularity_trends": mart_avg_popularity_trends,
     "mart_genre_distribution": mart_genre_distribution,
     "mart_track_vintages": mart_track_vintages,
     "mart_list_changes": mart_list_changes,
     "mart_track_persistence": mart_track_persistence,
+    "ordered_track_persistence": ordered_track_persistence,
+    "ordered_track_vintages": ordered_track_vintages,
+    "ordered_genre_distribution": ordered_genre_distribution,
     "latest_snapshot": latest_snapshot,
     "snapshot_entities": snapshot_entities,
     "enrichment_candidates": enrichment_candidates,
