@@ -1,18 +1,18 @@
 """Secret scan: fixed patterns plus sliding-window Shannon entropy.
 
-Entropy spans come from candidate strings (runs of key characters). A window
+Entropy spans come from candidate strings (runs of key characters): of a URL each path
+segment, name, value and what stands before its ``@`` is a candidate by itself and the host
+none; what the patterns found is cut out, and the rest is judged. A window
 slides over each, without the names, values and fillings that mark samples, and over
 the runs of hex digits between its separators; the symbol counts and the sum of c*log2(c) are updated by the
 character that enters and the one that leaves, so a string of n characters costs
 n steps. Windows over the limit of the string's character class are joined to a
-span. An allow-list keeps words, identifiers, URLs and well-known samples out.
+span. An allow-list keeps words, identifiers and well-known samples out.
 """
 from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
-from itertools import accumulate
 from math import log2
 
 import pyarrow as pa
@@ -31,11 +31,15 @@ _HEX = re.compile(r"[0-9a-f]{32,}")
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % WINDOW)
 _HEXADECIMAL = re.compile(r"[0-9A-Fa-f]+\Z")
 ALLOWED = tuple(re.compile(p) for p in (
-    r"[^0-9]*\Z",                                            # no digit: a word or path
     r"[0-9_=/+-]*\Z",                                        # no letter: a number
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z",  # UUID
     r"[A-Za-z]+([/_-][A-Za-z]*[0-9]{0,4})+\Z",               # path or snake_case name
 ))
+_URL = re.compile(r"://[^\x00-\x20\x7F\"'<>`()\[\]{}|\\^,;]+")      # a URL from behind its scheme on
+_SEGMENT = re.compile(r"[^/?#&:@.]+")
+_LETTERS = re.compile(r"[^0-9]*\Z")
+_NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")        # a part of a camelCase or snake_case name
+NAME_PART = 3.5      # letters a part, on average, from which a run of letters is names and not a key
 _SAMPLE = re.compile(r"(example|sample|placeholder|changeme)|x{4,}", re.IGNORECASE)
 _HEX_RUN = re.compile(r"(?<![0-9A-Za-z])[0-9A-Fa-f]{%d,}(?![0-9A-Za-z])" % WINDOW)
 _CLOG = [0.0, 0.0] + [c * log2(c) for c in range(2, WINDOW + 1)]     # at most WINDOW of one character
@@ -75,15 +79,75 @@ def samples(s: str) -> list[tuple[int, int]]:
     return out
 
 
+def allowed(s: str) -> bool:
+    """Whether a piece is a well-known harmless form. A piece without a digit is harmless if
+    it is of one case, or if its parts, as camelCase divides it, are as long as words
+    (random letters of both cases change case at every second one)."""
+    if _LETTERS.match(s):
+        if s == s.lower() or s == s.upper():
+            return True
+        parts = _NAME.findall(s)
+        return sum(map(len, parts)) >= NAME_PART * len(parts)
+    return any(p.match(s) for p in ALLOWED)
+
+
+def url_pieces(url: str) -> list[tuple[int, int]]:
+    """The parts of a URL that are judged, each by itself: what stands before an ``@``, the
+    path's segments, and names and values behind it; not the host."""
+    start = 3
+    end = min([i for c in "/?#" if (i := url.find(c, start)) >= 0], default=len(url))
+    at = url.rfind("@", start, end)
+    judged = [(start, at)] if at >= 0 else []
+    judged.append((end, len(url)))
+    return [(m.start(), m.end()) for a, b in judged for m in _SEGMENT.finditer(url, a, b)]
+
+
+def merged(spans) -> list[tuple[int, int]]:
+    """Spans that overlap or touch, joined; by start."""
+    out: list[tuple[int, int]] = []
+    for a, b, _ in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def pieces(text: str, base) -> list[tuple[int, int]]:
+    """The stretches of ``text`` that candidates are looked for in: URLs' judged parts and the
+    text between URLs, without the stretches ``base`` (by start, apart)."""
+    found, at = [], 0
+    for m in _URL.finditer(text):
+        found.append((at, m.start()))
+        found += [(m.start() + a, m.start() + b) for a, b in url_pieces(m.group())]
+        at = m.end()
+    found.append((at, len(text)))
+    out, i = [], 0
+    for a, b in found:
+        while i < len(base) and base[i][1] <= a:
+            i += 1
+        while i < len(base) and base[i][0] < b:
+            x, y = base[i]
+            if x > a:
+                out.append((a, x))
+            a = max(a, y)
+            if y > b:                                        # goes on into the next piece
+                break
+            i += 1
+        if a < b:
+            out.append((a, b))
+    return out
+
+
 def candidate_spans(s: str) -> list[tuple[int, int, int]]:
     """(start, end, kind number) of the entropy spans of a candidate. A span over the
     base64 limit that has no window outside the hex runs' spans is not named again."""
     out, at = [], 0
     for a, b in [*samples(s), (len(s), len(s))]:
         part = s[at:a]
-        if len(part) >= WINDOW and not any(p.match(part) for p in ALLOWED):
+        if len(part) >= WINDOW and not allowed(part):
             runs = [(m.start() + x, m.start() + y) for m in _HEX_RUN.finditer(part)
-                    if not any(p.match(m.group()) for p in ALLOWED)
+                    if not allowed(m.group())
                     for x, y in entropy_spans(m.group(), LIMITS["entropy_hex"])]
             out += [(at + x, at + y, 3) for x, y in runs]
             if not _HEXADECIMAL.match(part):
@@ -101,17 +165,9 @@ def scan(text: str | None) -> list[tuple[int, int, str]]:
     found = [(m.start(), m.end(), 0) for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 8]
     found += [(m.start(), m.end(), 1) for m in _ACCESS.finditer(text)]
     found += [(m.start(), m.end(), 2) for m in _HEX.finditer(text)]
-    base = sorted(found)
-    starts = [x for x, _, _ in base]
-    reach = list(accumulate((y for _, y, _ in base), max))
-    for m in _CANDIDATE.finditer(text):
-        if text[max(0, m.start() - 3):m.start()] == "://":
-            continue
-        for a, b, k in candidate_spans(m.group()):
-            a, b = a + m.start(), b + m.start()
-            i = bisect_left(starts, b)                       # base spans that start before b
-            if not i or reach[i - 1] <= a:
-                found.append((a, b, k))
+    for a, b in pieces(text, merged(found)):
+        for m in _CANDIDATE.finditer(text, a, b):
+            found += [(m.start() + x, m.start() + y, k) for x, y, k in candidate_spans(m.group())]
     return [(a, b, KINDS[k]) for a, b, k in sorted(found, key=lambda x: (x[0], x[2]))]
 
 

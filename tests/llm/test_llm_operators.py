@@ -158,6 +158,37 @@ def test_class_and_allow_list_hold_for_the_piece():
     assert secrets.scan(key + "xxxx" + key[::-1]) and not secrets.scan("key=wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY")
 
 
+def test_urls_are_judged_by_their_parts():
+    key = "Ab3dKx91QzLmP0rTuVw8YcEf"
+
+    def found(t):
+        return [t[a:b] for a, b, _ in secrets.scan(t)]
+    assert found(f"https://cdn.host.org/assets/v2/{key}.js") == [key]
+    assert found(f"https://{key}@host.org/a") == [key] and found(f"x://u:{key}@host.org") == [key]
+    assert found(f"https://host.org/a?id=5&k={key}#{key[::-1]}") == ["k=" + key, key[::-1]]
+    assert found(f"(https://host.org){key}") == [key] and found(f"https://host.org,{key}") == [key]
+    for t in (f"https://{key}.host.org/a/b", "https://host.org/some/long/path/with/many/Segments/index2.html", "://", "a://?#@://"):
+        assert found(t) == []
+    long = "z" * 300_000 + "://" + "b/" * 100_000 + key                # linear in the text
+    assert found(long) == [key]
+
+
+def test_letters_without_digits_and_what_is_beside_a_base_span():
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    keys = ["".join(rng.choice(letters) for _ in range(32)) for _ in range(500)]
+    assert sum(bool(secrets.scan(k)) for k in keys) > 450
+    for t in ("getTheVeryLongMethodNameOfThisClassAndMore", "SomeVeryLong_identifierWith_underscores",
+              "averylongwordwithoutanydigitsinsideit/and/apath/too", "THE_NAME_OF_A_CONSTANT_WITHOUT_DIGITS", letters[:26] * 50):
+        assert secrets.scan(t) == []
+    h, rest = "0123456789abcdef" * 2, "Gx91QzLmP0rTuVwYsKd3Wn7Z"
+    for t, spans in ((h + rest, [(0, 32, "hex"), (32, 56, "entropy_base64")]),
+                     (rest + h, [(0, 24, "entropy_base64"), (24, 56, "hex")]),
+                     (rest + h + rest, [(0, 24, "entropy_base64"), (24, 56, "hex"), (56, 80, "entropy_base64")]),
+                     ("://host/" + h + rest, [(8, 40, "hex"), (40, 64, "entropy_base64")])):
+        assert secrets.scan(t) == spans
+
+
 # -- 3 ----------------------------------------------------------------------------
 def test_url_rules_and_model(spark):
     urls = ["http://A.NET/x", "https://www.example.net/en/5?q", "http://example.com/de/1", "http://x.org/fr/2#a", "net/",
