@@ -22,7 +22,7 @@ from ..sources.bucketed import write_bucketed
 from ..sources.landing import read_raw_artists, read_raw_tracks, write_landing
 from ..sources.quarantine import quarantine
 from . import binding
-from .tables import VersionedTable, has_marker, put_marker
+from .tables import DONE, RunFolders, names_under
 
 STG_TRACK_COLUMNS = [
     "track_id", "track_name", "primary_artist_id", "album_id", "track_popularity",
@@ -59,7 +59,7 @@ class Workspace:
         tag = hashlib.sha1(self.root.encode()).hexdigest()[:10]
         app = spark.sparkContext.applicationId
         self.base = f"{shared_dir(spark)}/chartlake/{app}/ws-{tag}"
-        self.tables = {n: VersionedTable(spark, f"{self.base}/{n}") for n in
+        self.tables = {n: RunFolders(spark, f"{self.base}/{n}") for n in
                        ("stg_tracks", "stg_artists", "dim_albums", "dim_artists",
                         "fct_snapshot_top_items")}
         self.landing: str | None = None
@@ -72,8 +72,8 @@ class Workspace:
     # -- OP-03 + OP-01/02 ----------------------------------------------------
     def land(self) -> str:
         """Backfill the landing zone from the binding (once). Each attempt
-        writes a fresh folder and commits it with a marker, so a failed
-        attempt never leaves half a backfill under the committed folder."""
+        writes a fresh folder, which counts when Spark has finished both feeds,
+        so a failed attempt never leaves half a backfill."""
         with self._lock:
             if self.landing is None:
                 self.landing = self._committed_landing()
@@ -92,18 +92,17 @@ class Workspace:
                                            binding.raw_artists(self.spark, self.root))]
                     for f in futures:
                         f.result()
-                put_marker(self.spark, f"{attempt}/_LANDED")
                 self.landing = attempt
         return self.landing
 
     def _committed_landing(self) -> str | None:
-        """A landing attempt committed earlier in this application (e.g. by
+        """A landing attempt finished earlier in this application (e.g. by
         another session on the same context)."""
-        base = VersionedTable(self.spark, self.base)
-        for name in sorted(base.names()):
-            if name.startswith("landing-") and has_marker(self.spark,
-                                                          f"{self.base}/{name}/_LANDED"):
-                return f"{self.base}/{name}"
+        for name in names_under(self.spark, self.base):
+            attempt = f"{self.base}/{name}"
+            if name.startswith("landing-") and all(DONE in names_under(self.spark, f"{attempt}/{kind}")
+                                                   for kind in ("tracks", "artists")):
+                return attempt
         return None
 
     def damaged_landing(self) -> str:
@@ -139,10 +138,9 @@ class Workspace:
             lock = self._layer_locks.setdefault(name, threading.Lock())
         with lock:
             if name not in self._frames:
-                t = self.tables[name]
-                if not t.exists():
-                    t.write(build(), [partition] if partition else None)
-                self._frames[name] = t.read().select(*columns)
+                t, df = self.tables[name], build()
+                written = t.read(df.schema) if t.exists() else t.write(df, [partition] if partition else None)
+                self._frames[name] = written.select(*columns)
             return self._frames[name]
 
     def stg_tracks(self) -> DataFrame:
@@ -224,15 +222,14 @@ def workspace(spark: SparkSession, root: str) -> Workspace:
 
 
 # -- OP-24: a full run ----------------------------------------------------------
-def upsert_dimension(table: VersionedTable, stg: DataFrame, build, key: str) -> DataFrame:
-    """Incremental model with a unique key. First run: write the dimension.
-    Later runs: MERGE the latest row per key into the committed version (a
-    new version; keys gone from staging survive). As in the reference, the
-    source is rebuilt from all history, which also picks up late files for
-    old snapshots and further files of the newest one."""
+def merged_dimension(table: RunFolders, stg: DataFrame, build, key: str) -> DataFrame:
+    """Incremental model with a unique key, not yet written. First run: the dimension.
+    Later runs: MERGE the latest row per key into what the last run wrote (keys gone from
+    staging survive). As in the reference, the source is rebuilt from all history, which
+    also picks up late files for old snapshots and further files of the newest one."""
     # ``build`` is latest-by-key, so the source keys are unique by construction.
-    table.update(lambda cur: build(stg) if cur is None else ops.upsert(cur, build(stg), key))
-    return table.read()
+    rows = build(stg)
+    return ops.upsert(table.read(rows.schema), rows, key) if table.exists() else rows
 
 
 def run_models(spark: SparkSession, root: str, out: str | None = None) -> dict[str, DataFrame]:
@@ -245,17 +242,15 @@ def run_models(spark: SparkSession, root: str, out: str | None = None) -> dict[s
 def stage_landing(spark: SparkSession, landing_root: str, out: str) -> tuple[DataFrame, DataFrame]:
     """Your own feeds: landing folder (``tracks/`` and ``artists/`` with
     ``year=/month=/day=`` partitions) -> staged tables written under ``out``
-    (new versions, partitioned by snapshot date) -> (stg_tracks, stg_artists). Lines
+    (new folders, partitioned by snapshot date) -> (stg_tracks, stg_artists). Lines
     that don't fit the feed's schema are written to ``out/quarantine`` instead."""
     for kind, schema in (("tracks", RAW_TRACK), ("artists", RAW_ARTIST)):
         quarantine(spark, f"{landing_root}/{kind}", schema, f"{out}/quarantine/{kind}")
-    t = VersionedTable(spark, f"{out}/stg_tracks")
-    a = VersionedTable(spark, f"{out}/stg_artists")
-    t.write(ops.stage_tracks(read_raw_tracks(spark, f"{landing_root}/tracks")),
-            ["track_snapshot_date"])
-    a.write(ops.stage_artists(read_raw_artists(spark, f"{landing_root}/artists")),
-            ["artist_snapshot_date"])
-    return (t.read().select(*STG_TRACK_COLUMNS), a.read().select(*STG_ARTIST_COLUMNS))
+    t = RunFolders(spark, f"{out}/stg_tracks").write(
+        ops.stage_tracks(read_raw_tracks(spark, f"{landing_root}/tracks")), ["track_snapshot_date"])
+    a = RunFolders(spark, f"{out}/stg_artists").write(
+        ops.stage_artists(read_raw_artists(spark, f"{landing_root}/artists")), ["artist_snapshot_date"])
+    return t.select(*STG_TRACK_COLUMNS), a.select(*STG_ARTIST_COLUMNS)
 
 
 def run_models_on(spark: SparkSession, stg_t: DataFrame, stg_a: DataFrame,
@@ -265,17 +260,14 @@ def run_models_on(spark: SparkSession, stg_t: DataFrame, stg_a: DataFrame,
     every relation, each read back from its written table (marts unsorted;
     see ``present``); the persistence mart stays a lazy view."""
     base = out
-    d_art = upsert_dimension(
-        VersionedTable(spark, f"{base}/run/dim_artists"), stg_a, ops.dim_artists, "artist_id")
-    d_alb = upsert_dimension(
-        VersionedTable(spark, f"{base}/run/dim_albums"), stg_t, ops.dim_albums, "album_id")
-    # Enrichment runs between the artist dimension and the fact.
-    t_art = VersionedTable(spark, f"{base}/run/dim_artists")
-    t_art.update(lambda cur: ops.enrich_artists(stg_t, cur, details))
-    d_art = t_art.read()
-    fact_t = VersionedTable(spark, f"{base}/run/fct_snapshot_top_items")
-    fact_t.write(ops.build_fact(stg_t, d_alb, d_art), ["track_snapshot_date"])
-    fact = fact_t.read().select(*FACT_COLUMNS)
+    artists = RunFolders(spark, f"{base}/run/dim_artists")
+    albums = RunFolders(spark, f"{base}/run/dim_albums")
+    # Enrichment runs between the artist dimension and the fact: both changes in one write.
+    d_art = artists.write(ops.enrich_artists(
+        stg_t, merged_dimension(artists, stg_a, ops.dim_artists, "artist_id"), details))
+    d_alb = albums.write(merged_dimension(albums, stg_t, ops.dim_albums, "album_id"))
+    fact = RunFolders(spark, f"{base}/run/fct_snapshot_top_items").write(
+        ops.build_fact(stg_t, d_alb, d_art), ["track_snapshot_date"]).select(*FACT_COLUMNS)
     dates = stg_t.filter(F.col("track_id").isNotNull()).select("track_snapshot_date")
     marts = {
         "mart_avg_popularity_trends": ops.popularity_trends(fact),
@@ -286,9 +278,7 @@ def run_models_on(spark: SparkSession, stg_t: DataFrame, stg_a: DataFrame,
     result = {"stg_top_tracks": stg_t, "stg_top_artists": stg_a, "dim_artists": d_art,
               "dim_albums": d_alb, "fct_snapshot_top_items": fact}
     for name, df in marts.items():
-        t = VersionedTable(spark, f"{base}/run/{name}")
-        t.write(df)
-        result[name] = t.read()
+        result[name] = RunFolders(spark, f"{base}/run/{name}").write(df)
     # The persistence mart is a view in the reference: left lazy.
     result["mart_track_persistence"] = ops.present(
         "mart_track_persistence", ops.track_persistence(fact, dates))

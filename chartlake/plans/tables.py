@@ -1,152 +1,61 @@
-"""Versioned Parquet tables: every write goes to a new folder, then a small
-commit marker names it. Overwriting a path while a plan still reads it
-fails half-way and loses the data; a new version never does, and readers of
-the old version keep working. Nothing is deleted or renamed: the current
-version is the one committed last. Versions are numbered at commit, by a
-marker that only one writer can create, so a writer that starts first and
-commits last is the newest; ``update`` builds again if another writer got in
-between, so neither loses the other's rows."""
+"""Written layers: every write goes to a new folder, and readers are handed its path.
+Overwriting a path while a plan still reads it fails half-way and loses the data; a new
+folder never does. A folder counts once Spark's own ``_SUCCESS`` file is in it (keep
+``mapreduce.fileoutputcommitter.marksuccessfuljobs`` on); the one whose write began
+last is read. Nothing is deleted or renamed. One model run at a time writes under a root."""
 from __future__ import annotations
 
-import json
+import time
 import uuid
-from collections.abc import Callable
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-MARKER = "_COMMITTED_"                   # its name: the version's number; its text: the folder
-SCHEMA_FILE = "_chartlake_schema.json"   # "_" prefix: ignored by the Parquet reader
+DONE = "_SUCCESS"
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+def names_under(spark: SparkSession, path: str) -> list[str]:
+    """Sorted names of the files and folders directly under ``path``; none if it isn't there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
-def has_marker(spark: SparkSession, path: str) -> bool:
-    fs, p, _ = _fs(spark, path)
-    return bool(fs.exists(p))
+class RunFolders:
+    """The run folders of one layer, ``root/run-<start>-<id>``."""
 
-
-def put_marker(spark: SparkSession, path: str) -> None:
-    """An empty file that records a completed step (created after it)."""
-    fs, p, _ = _fs(spark, path)
-    fs.create(p, True).close()
-
-
-class VersionedTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def names(self) -> list[str]:
-        """Entry names directly under the table root."""
-        fs, p, _ = _fs(self.spark, self.root)
-        if not fs.exists(p):
-            return []
-        return [st.getPath().getName() for st in fs.listStatus(p)]
-
-    def _latest(self) -> tuple[int, str | None]:
-        """(number, folder) of the version committed last; (0, None) if none is."""
-        names = self.names()
-        done = {n[len(MARKER):] for n in names if n.startswith(MARKER)}
-        if not done:
-            return 0, None
-        last = max(done)
-        fs, p, jvm = _fs(self.spark, f"{self.root}/{MARKER}{last}")
-        return int(last), f"{self.root}/{self._text(p, fs, jvm)}"
-
-    @staticmethod
-    def _text(p, fs, jvm) -> str:
-        stream = fs.open(p)
-        try:
-            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            return "".join(iter(reader.readLine, None))
-        finally:
-            stream.close()
-
     def current(self) -> str | None:
-        return self._latest()[1]
-
-    def partition_values(self, column: str) -> list[str]:
-        """Values of a partition column of the current version, from the
-        folder listing (one entry per partition; no data is read). Spark
-        writes no folder for an empty partition, so every value has rows."""
-        cur = self.current()
-        if cur is None:
-            return []
-        fs, p, _ = _fs(self.spark, cur)
-        prefix = f"{column}="
-        return sorted(st.getPath().getName()[len(prefix):] for st in fs.listStatus(p)
-                      if st.isDirectory() and st.getPath().getName().startswith(prefix))
+        """Path of the newest finished folder."""
+        for name in reversed(names_under(self.spark, self.root)):
+            if name.startswith("run-") and DONE in names_under(self.spark, f"{self.root}/{name}"):
+                return f"{self.root}/{name}"
+        return None
 
     def exists(self) -> bool:
         return self.current() is not None
 
-    def read(self) -> DataFrame:
-        cur = self.current()
-        if cur is None:
-            raise FileNotFoundError(f"no committed version under {self.root}")
-        return self._read(cur)
-
-    def _read(self, path: str) -> DataFrame:
-        # The recorded schema also reads an empty partitioned version (which
-        # has no data file to infer a schema from).
-        fs, p, jvm = _fs(self.spark, f"{path}/{SCHEMA_FILE}")
-        if fs.exists(p):
-            schema = T.StructType.fromJson(json.loads(self._text(p, fs, jvm)))
-            return self.spark.read.schema(schema).parquet(path)
-        return self.spark.read.parquet(path)
-
-    def write(self, df: DataFrame, partition_by: list[str] | None = None) -> str:
-        """Write ``df`` as a new version and commit it. Returns its path."""
-        path = self._stage(df, partition_by)
-        while not self._commit(self._latest()[0] + 1, path):
-            pass                                  # another writer took the number: take the next
-        return path
-
-    def update(self, build: Callable[[DataFrame | None], DataFrame],
-               partition_by: list[str] | None = None) -> str:
-        """Write ``build(current rows, or None)`` as the next version. If another
-        writer commits in the meantime, build again on what it committed."""
-        while True:
-            base, cur = self._latest()
-            path = self._stage(build(self._read(cur) if cur else None), partition_by)
-            if self._commit(base + 1, path):
-                return path
+    def read(self, schema: T.StructType | None = None) -> DataFrame:
+        """The newest finished rows. With ``schema`` a folder that holds no file (a
+        partitioned layer without rows) can be read too."""
+        path = self.current()
+        if path is None:
+            raise FileNotFoundError(f"nothing written under {self.root}")
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(path)
+
+    def write(self, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+        """Write ``df`` to a new folder; returns the rows read back from there."""
+        path = f"{self.root}/run-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        # Few files per partition folder, hot partitions split (AQE).
+        out = df.hint("rebalance", *partition_by) if partition_by else df
+        out.write.mode("errorifexists").partitionBy(*partition_by or []).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
-    def _stage(self, df: DataFrame, partition_by: list[str] | None) -> str:
-        """Write ``df`` to a new folder that no marker names yet."""
-        path = f"{self.root}/v-{uuid.uuid4().hex}"
-        if partition_by:
-            # few files per partition folder, hot partitions split (AQE).
-            df = df.hint("rebalance", *partition_by)
-        w = df.write.mode("errorifexists")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        self._put(f"{path}/{SCHEMA_FILE}", df.schema.json())
-        return path
-
-    def _put(self, path: str, text: str) -> None:
-        """Create a file; an error if there is one."""
-        fs, p, _ = _fs(self.spark, path)
-        out = fs.create(p, False)
-        try:
-            out.write(bytearray(text.encode("utf-8")))
-        finally:
-            out.close()
-
-    def _commit(self, version: int, path: str) -> bool:
-        """Name ``path`` version ``version``, after its data is written. False if
-        another writer has that number: the marker is created exclusively."""
-        marker = f"{self.root}/{MARKER}{version:012d}"
-        try:
-            self._put(marker, path.rsplit("/", 1)[1])
-        except Py4JJavaError:
-            if has_marker(self.spark, marker):
-                return False
-            raise
-        return True
+    def partition_values(self, column: str) -> list[str]:
+        """Values of a partition column of the newest folder, from the listing (one
+        entry per partition; no data is read). Spark writes no folder for an empty partition."""
+        path, prefix = self.current(), f"{column}="
+        return [n[len(prefix):] for n in names_under(self.spark, path) if n.startswith(prefix)] if path else []

@@ -28,27 +28,27 @@ def test_models_rerun_is_stable(spark):
 
 def test_a_second_file_of_the_newest_day_is_merged(spark, tmp_dir):
     from chartlake import operators as ops
-    from chartlake.plans.models import upsert_dimension
-    from chartlake.plans.tables import VersionedTable
+    from chartlake.plans.models import merged_dimension
+    from chartlake.plans.tables import RunFolders
     from builders import artist, raw_artists_df
 
     def stg(rows_):
         return ops.stage_artists(raw_artists_df(spark, rows_))
 
-    t = VersionedTable(spark, f"{tmp_dir}/dim")
-    upsert_dimension(t, stg([artist("A1", "v1", "2024-01-01")]), ops.dim_artists, "artist_id")
+    t = RunFolders(spark, f"{tmp_dir}/dim")
+    t.write(merged_dimension(t, stg([artist("A1", "v1", "2024-01-01")]), ops.dim_artists, "artist_id"))
     later = stg([artist("A1", "v1", "2024-01-01"), artist("A5", "n", "2024-01-01"), artist("A6", "n", "2023-01-01")])
-    out = upsert_dimension(t, later, ops.dim_artists, "artist_id")
+    out = t.write(merged_dimension(t, later, ops.dim_artists, "artist_id"))
     assert {r.artist_id for r in out.collect()} == {"A1", "A5", "A6"}
 
 
 def test_partition_without_a_date_is_no_snapshot(spark, tmp_dir):
     from chartlake.plans.models import HIVE_NULL, Workspace
-    from chartlake.plans.tables import VersionedTable
+    from chartlake.plans.tables import RunFolders
     ws = Workspace(spark, SF)
     df = ws.stg_tracks().limit(5)
     bad = df.withColumn("track_snapshot_date", F.lit(None).cast("date"))
-    t = VersionedTable(spark, f"{tmp_dir}/stg")
+    t = RunFolders(spark, f"{tmp_dir}/stg")
     t.write(df.unionByName(bad), ["track_snapshot_date"])
     assert HIVE_NULL in t.partition_values("track_snapshot_date")
     ws.tables["stg_tracks"] = t
@@ -125,8 +125,8 @@ def test_models_on_empty_feeds(spark, tmp_dir):
 def test_failed_write_never_becomes_current(spark, tmp_dir):
     import pytest as _pytest
     from pyspark.sql import functions as F
-    from chartlake.plans.tables import VersionedTable
-    t = VersionedTable(spark, f"{tmp_dir}/tbl")
+    from chartlake.plans.tables import RunFolders
+    t = RunFolders(spark, f"{tmp_dir}/tbl")
     t.write(spark.range(5))
     good = t.current()
     bad = spark.range(5).select(F.when(F.col("id") == 3, F.raise_error(F.lit("boom")))
@@ -150,20 +150,26 @@ def test_snapshot_dates_from_partition_listing(spark):
     assert a == b
 
 
-def test_writers_that_overlap_lose_no_rows(spark, tmp_dir):
-    from chartlake.plans.tables import VersionedTable
-    t = VersionedTable(spark, f"{tmp_dir}/two")
-    slow = t._stage(spark.range(1), None)              # starts first, commits last
-    t.write(spark.range(2))
-    assert t._commit(1, slow) is False and t._commit(2, slow)
-    assert t.read().count() == 1
-    asked = []
+def test_a_model_run_writes_the_artist_dimension_once(spark, tmp_dir):
+    """The merge and the enrichment reach the dimension in one write, and a plan on an
+    earlier run's folder goes on reading that."""
+    import os
 
-    def build(cur):
-        asked.append(cur.count())
-        if len(asked) == 1:                            # another writer commits meanwhile
-            VersionedTable(spark, t.root).update(lambda c: c.union(spark.range(10, 12)))
-        return cur.union(spark.range(20, 21))
+    from chartlake import operators as ops
+    from chartlake.plans import run_models_on
+    from chartlake.plans.models import STG_ARTIST_COLUMNS, STG_TRACK_COLUMNS
+    from chartlake.schemas import ARTIST_DETAILS
+    from builders import artist, raw_artists_df, raw_tracks_df, track
+    details = spark.createDataFrame([("A2", "y", "artist:A2", 5, ["jazz"], [])], ARTIST_DETAILS)
 
-    t.update(build)
-    assert asked == [1, 3] and sorted(r.id for r in t.read().collect()) == [0, 10, 11, 20]
+    def run(*artists):
+        stg_t = ops.stage_tracks(raw_tracks_df(spark, [track("T2", "b", "2024-01-02", artists=(("A2", "y"),))]))
+        stg_a = ops.stage_artists(raw_artists_df(spark, list(artists)))
+        return run_models_on(spark, stg_t.select(*STG_TRACK_COLUMNS), stg_a.select(*STG_ARTIST_COLUMNS),
+                             details, f"{tmp_dir}/out")["dim_artists"]
+
+    first = run(artist("A1", "x", "2024-01-01"))
+    second = run(artist("A3", "z", "2024-01-02"))
+    assert len(os.listdir(f"{tmp_dir}/out/run/dim_artists")) == 2          # a folder a run
+    assert sorted(r.artist_id for r in first.collect()) == ["A1", "A2"]
+    assert sorted(r.artist_id for r in second.collect()) == ["A1", "A2", "A3"]
