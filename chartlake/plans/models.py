@@ -64,6 +64,7 @@ class Workspace:
                         "fct_snapshot_top_items")}
         self.landing: str | None = None
         self._damaged: str | None = None
+        self._drifted: str | None = None
         self._bucketed: tuple[DataFrame, DataFrame] | None = None
         self._lock = threading.RLock()
         self._frames: dict[str, DataFrame] = {}
@@ -122,6 +123,33 @@ class Workspace:
                 self._damaged = out
             return self._damaged
 
+    def drifted_landing(self) -> str:
+        """A landing zone of the artist feed whose lines differ in their fields (once), by the
+        supplier's number: a text and a number in some, a number with a fraction in others, an
+        object, a value that is a number or a text, and empty ``images``."""
+        with self._lock:
+            if self._drifted is None:
+                out = f"{self.base}/drifted-{uuid.uuid4().hex[:12]}"
+                lines = to_lines(binding.raw_artists(self.spark, self.root))
+                key = F.get_json_object("value", "$.id").substr(F.lit(2), F.lit(30)).cast("bigint")
+
+                def when(divisor, rest, *text):
+                    return F.when(key % divisor == rest, F.concat(*text)).otherwise("")
+
+                n = key.cast("string")
+                extra = F.concat(
+                    when(4, 0, F.lit(',"label":"label '), n, F.lit('"')), when(3, 0, F.lit(',"rank":'), n),
+                    when(6, 1, F.lit(',"weight":'), n, F.lit(".5")), when(6, 2, F.lit(',"weight":'), n),
+                    when(5, 1, F.lit(',"tour":{"stop":'), n, F.lit("}")),
+                    when(8, 3, F.lit(',"mixed":'), n), when(8, 5, F.lit(',"mixed":"none"')))
+                value = F.when(key % 7 == 0, F.regexp_replace("value", r'"images":\[[^\]]*\]', '"images":[]')) \
+                         .otherwise(F.col("value"))
+                value = F.concat(F.regexp_replace(value, r"\}$", ""), extra, F.lit("}"))
+                write_landing(lines.withColumn("value", value), f"{out}/artists",
+                              partition_cols=["year", "month", "day"])
+                self._drifted = out
+            return self._drifted
+
     def raw_tracks(self) -> DataFrame:
         return read_raw_tracks(self.spark, f"{self.land()}/tracks")
 

@@ -325,4 +325,19 @@ SELECT snapshot_year AS year, snapshot_month AS month, snapshot_day AS day, coun
        CAST(sum(artist_popularity) FILTER (NOT damaged) AS BIGINT) AS good_popularity, count(*) FILTER (damaged) AS bad_lines
 FROM (SELECT *, CAST(substr(artist_id, 2) AS BIGINT) % 5 < 2 AS damaged FROM stg_top_artists)
 GROUP BY ALL"""
+    drifted = _with(STG_ARTISTS) + """, drifted AS (
+  SELECT artist_id AS id, artist_popularity AS popularity,
+         CASE WHEN k % 7 <> 0 THEN artist_image_url END AS image_url,
+         CASE WHEN k % 4 = 0 THEN 'label ' || k END AS label, CASE WHEN k % 3 = 0 THEN k END AS rank,
+         CAST(CASE k % 6 WHEN 1 THEN k + 0.5 WHEN 2 THEN k END AS DOUBLE) AS weight,
+         CASE k % 8 WHEN 3 THEN CAST(k AS VARCHAR) WHEN 5 THEN '"none"' END AS mixed,
+         CASE WHEN k % 5 = 1 THEN '{"stop":' || k || '}' END AS tour,
+         snapshot_year AS year, snapshot_month AS month, snapshot_day AS day
+  FROM (SELECT *, CAST(substr(artist_id, 2) AS BIGINT) AS k FROM stg_top_artists))"""
+    q["scan_detected"] = drifted + "\nSELECT * FROM drifted"
+    types = {"label": "STRING", "rank": "BIGINT", "weight": "DECIMAL(21,1)", "mixed": "VARIANT",
+             "tour": "OBJECT<stop: BIGINT>"}
+    q["detected_fields"] = drifted + "\nUNION ALL\n".join(
+        f"SELECT '{f}' AS field, '{t}' AS type, count({f}) AS lines FROM drifted HAVING count({f}) > 0"
+        for f, t in types.items()).join(["\n", ""])
     return q

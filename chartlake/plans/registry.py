@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .. import operators as ops
 from ..functions import first_field, parse_partial_date
 from ..schemas import RAW_ARTIST
+from ..sources.detect import detected_fields as found_fields, rescued_rows, with_detected
 from ..sources.landing import landing_items, read_raw_artists
 from ..sources.quarantine import bad_lines
 from ..sources.tables import load_table
@@ -298,6 +299,29 @@ def quarantine_lines(spark, root):
                        F.coalesce("bad_lines", F.lit(0)).alias("bad_lines"))
 
 
+def _drifted(spark, root):
+    return rescued_rows(spark, f"{workspace(spark, root).drifted_landing()}/artists", RAW_ARTIST)
+
+
+def detected_fields(spark, root):
+    """Fields that the declared schema doesn't name: their detected type and lines."""
+    return found_fields(_drifted(spark, root))
+
+
+def scan_detected(spark, root):
+    """The artist scan with a column for each of them; objects and mixtures as JSON text."""
+    d = with_detected(_drifted(spark, root))
+
+    def field(name, kind):                        # a small table may have no line with it
+        if name not in d.columns:
+            return F.lit(None).cast(kind).alias(name)
+        return (F.to_json(name) if d.schema[name].dataType.typeName() == "variant" else F.col(name).cast(kind)).alias(name)
+
+    return d.select("id", "popularity", first_field("images", "url").alias("image_url"), field("label", "string"),
+                    field("rank", "bigint"), field("weight", "double"), field("mixed", "string"), field("tour", "string"),
+                    "year", "month", "day")
+
+
 # -- streaming (incremental model maintenance) -------------------------------------
 def _streamed(spark, root, kind: str, feed: str):
     from ..streaming import read_dimension, start_dimension_stream
@@ -353,6 +377,8 @@ QUERIES: dict[str, Query] = {
     "enrich_artists": enrich_artists,
     "merge_counts": merge_counts,
     "quarantine_lines": quarantine_lines,
+    "detected_fields": detected_fields,
+    "scan_detected": scan_detected,
     "stream_dim_artists": stream_dim_artists,
     "stream_dim_albums": stream_dim_albums,
 }
