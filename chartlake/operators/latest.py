@@ -24,9 +24,11 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Column | str,
     deterministic and reproducible by any SQL engine.
 
     Plans. ``aggregate`` (the default when ``order`` and ``tiebreak`` are
-    plain column names): ``max_by(row, (order, tiebreak...))`` per key. It
-    is a partial aggregate, so each task sends at most one row per key
-    through the shuffle, and a hot key costs one row per task. ``window``
+    plain column names): ``max((order, tiebreak..., rest...))`` per key, the
+    remaining columns breaking the ties that ``tiebreak`` leaves; if one of those
+    can't be ordered, ``max_by(row, (order, tiebreak...))``. It is a partial
+    aggregate, so each task sends at most one row per key through the
+    shuffle, and a hot key costs one row per task. ``window``
     (used when explicit sort expressions are given): ``row_number() = 1``,
     where Catalyst's partial ``WindowGroupLimit`` prunes the same way before
     the shuffle. Both give identical rows."""
@@ -43,7 +45,16 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Column | str,
     if method == "aggregate" or (method == "auto" and named):
         if not named:
             raise ValueError("the aggregate plan needs column names for order and tiebreak")
-        rank = F.struct(*[F.col(c) for c in [order, *tiebreak]])
+        names = [c for c in dict.fromkeys([order, *tiebreak]) if c not in keys]     # keys are equal in a group
+        rest = [(c, t) for c, t in df.dtypes if c not in names and c not in keys]
+        if all(_orderable(t) for _, t in rest):
+            # The rank is the whole row: one struct is kept and shuffled, not two.
+            names += [c for c, _ in rest]
+            if not names:
+                return base.dropDuplicates(keys)
+            out = base.groupBy(*keys).agg(F.max(F.struct(*names)).alias(_V))
+            return out.select(*keys, f"{_V}.*").select(*df.columns)
+        rank = F.struct(*[F.col(c) for c in names])
         row = F.struct(*[F.col(c) for c in df.columns if c not in keys])
         out = base.groupBy(*keys).agg(F.max_by(row, rank).alias(_V))
         return out.select(*keys, f"{_V}.*").select(*df.columns)

@@ -88,7 +88,12 @@ def test_latest_by_key_plans_prune_before_shuffle(spark):
         .executedPlan().toString()
     assert "WindowGroupLimit" in plan
     plan = ops.latest_by_key(df, ["k"], "d")._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max_by" in plan
+    assert "partial_max(struct(" in plan and "max_by" not in plan
+    kept = ops.latest_by_key(df, ["k"], "d", ["k", "d"])                 # names given twice
+    assert rows(kept) == rows(ops.latest_by_key(df, ["k"], "d"))
+    m = ops.latest_by_key(df.withColumn("m", F.create_map(F.lit("a"), "d")), ["k"], "d")
+    assert "partial_max_by" in m._jdf.queryExecution().executedPlan().toString()
+    assert rows(m.select("k", "d")) == rows(kept)
 
 
 def test_fact_left_joins(raw_t, raw_a):
