@@ -4,7 +4,9 @@ Passages become TF-IDF vectors over hashed words, with passage counts from all
 documents. A distributed randomised SVD of the benchmark's passages (each task
 adds its rows' share of A'(A*Q)) gives the latent space. Every 48-word window of
 every document, 16 words apart, is projected into it and compared by cosine with
-every benchmark passage. That also finds paraphrases. The passages' shingles (runs
+every benchmark passage. That also finds paraphrases. A hit holds CLOSE of its passage's
+words in order, so windows of segments that hold fewer of every passage's words, order
+aside, are left out before the projection; no hit is lost. The passages' shingles (runs
 of words) are looked up in every document beside it, which finds all that are
 copied word for word, however many passages there are. Candidates of both are
 checked word by word: the longest common subsequence with the passage, and the
@@ -26,11 +28,12 @@ FEATURES = 1 << 16       # hashed words
 RANK = 256               # of the latent space, at most
 BLOCK, BLOCKS = 16, 3    # a window is BLOCKS blocks of BLOCK words
 PASSAGE = 96             # words of a benchmark passage, at most
-QUERIES = 4096           # benchmark passages compared at a time, at most
+QUERIES = 16_384         # benchmark passages compared at a time, at most
 COMMON = 0.5             # words in more than this share of passages carry no weight
 COSINE = 0.4
 SAME, CLOSE, ANSWER = 0.75, 0.55, 0.6    # of the passage's words; of the answer's
-TOGETHER = 4096          # words of texts compared at a time (one part of a long text may be more)
+TOGETHER = 16_384        # words of texts compared at a time (one part of a long text may be more)
+SEGMENT = 128            # words whose windows are judged by the passages' words together
 SHORT = 8                # passages of fewer words must occur word for word
 SHINGLE = 8              # words of a shingle, at most
 FILTER = 22              # bits of a shingle's hash that are looked up first
@@ -247,6 +250,16 @@ def shingles(words: np.ndarray, sizes: set[int]):
             yield i + 1, h
 
 
+def reach(n: int) -> int:
+    """Words on either side of a window in which a passage of ``n`` words is looked for."""
+    return max(0, n - BLOCK * (BLOCKS - 1)) + 4
+
+
+def spread(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """first[i], first[i] + 1, ... (n[i] numbers), for all i in turn."""
+    return np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
 class Searcher:
     def __init__(self, feats, basis, idf, queries):
         self.column = np.full(FEATURES, -1, np.int32)
@@ -255,6 +268,16 @@ class Searcher:
         self.rows = basis * np.where(idf[feats] > 0, idf[feats], 1.0).astype(np.float32)[:, None]
         self.queries = queries                                   # (item_id, part, words, answer)
         self.lists = [w.tolist() for _, _, w, _ in queries]
+        sizes = np.array([len(w) for _, _, w, _ in queries])
+        self.least = CLOSE * sizes                               # words that a hit holds
+        self.reach = reach(int(sizes.max()))
+        self.vocabulary, code = np.unique(np.concatenate([w for _, _, w, _ in queries]), return_inverse=True)
+        # Of each word, from ``first``: the passages that hold it, and how often.
+        at, self.times = np.unique(code * len(queries) + np.repeat(np.arange(len(queries)), sizes), return_counts=True)
+        code, self.holder = np.divmod(at, len(queries))
+        self.first = np.searchsorted(code, np.arange(len(self.vocabulary) + 1))
+        self.known = np.zeros(FEATURES, bool)
+        self.known[self.vocabulary % FEATURES] = True
         lat = np.zeros((len(queries), basis.shape[1]), np.float32)
         for i, (_, _, w, _) in enumerate(queries):
             f, v = weigh(w, idf)
@@ -294,15 +317,41 @@ class Searcher:
             low, high = np.searchsorted(keys, h[at]), np.searchsorted(keys, h[at], side="right")
             part = np.searchsorted(ends, at, side="right")
             n = np.where(at + size <= ends[part], high - low, 0)              # no run of two texts' words
-            row = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            row = spread(low, n)
             begin = np.repeat(at - (ends - sizes)[part], n) - place[row]
             out.append(np.stack((np.repeat(part, n), query[row], begin), axis=1))
         return np.unique(np.concatenate(out), axis=0).tolist() if out else []
 
+    def segments(self, parts: list[np.ndarray]):
+        """(part, first word, passages it may hold) of the segments of some texts that may
+        hold any: with what is in reach they hold as many of the passage's words as a hit does."""
+        words = np.concatenate(parts)
+        at = np.flatnonzero(self.known[words % FEATURES])
+        near = np.minimum(np.searchsorted(self.vocabulary, words[at]), len(self.vocabulary) - 1)
+        same = self.vocabulary[near] == words[at]
+        at, code = at[same], near[same]                          # the passages' words, by place
+        sizes = np.array([len(p) for p in parts])
+        before, n = np.cumsum(sizes) - sizes, -(-sizes // SEGMENT)
+        part = np.repeat(np.arange(len(parts)), n)
+        begin = spread(np.zeros(len(parts), np.int64), n) * SEGMENT
+        low = np.searchsorted(at, before[part] + np.maximum(begin - self.reach, 0))
+        high = np.searchsorted(at, before[part] + np.minimum(begin + SEGMENT + BLOCK * BLOCKS + self.reach, sizes[part]))
+        held = np.unique(np.repeat(np.arange(len(part)), high - low) * len(self.vocabulary)
+                         + code[spread(low, high - low)])
+        segment, code = np.divmod(held, len(self.vocabulary))
+        n = self.first[code + 1] - self.first[code]
+        row = spread(self.first[code], n)
+        found = np.bincount(np.repeat(segment, n) * len(self.queries) + self.holder[row], self.times[row],
+                            len(part) * len(self.queries)).reshape(len(part), -1) >= self.least
+        some = np.flatnonzero(found.any(axis=1))
+        return part[some], begin[some], found[some]
+
     def windows(self, parts: list[np.ndarray]):
         """(part, first word, latent vector of length one) of all windows of some texts. The
         texts are laid out in blocks with BLOCKS - 1 empty ones between them, so
         that no window holds words of two."""
+        if not parts:
+            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, self.rows.shape[1]), np.float32)
         sizes = np.array([len(p) for p in parts])
         blocks = -(-sizes // BLOCK) + BLOCKS - 1
         begin = np.concatenate(([0], np.cumsum(blocks)[:-1]))
@@ -342,39 +391,36 @@ class Searcher:
         return [[(k, c, s, f) for k, (s, f, c) in sorted(o.items(), key=lambda x: (x[0] is None, x[0]))] for o in out]
 
     def compare(self, held: list[tuple[dict, np.ndarray]]) -> None:
-        owner, starts, lat = self.windows([p for _, p in held])
+        parts = [p for _, p in held]
+        part, begin, able = self.segments(parts)
+        segment, starts, lat = self.windows([parts[p][b:b + SEGMENT + BLOCK * (BLOCKS - 1)]
+                                             for p, b in zip(part.tolist(), begin.tolist())])
+        own = starts < SEGMENT                                   # the others begin in the next segment
+        segment, starts, lat = segment[own], starts[own], lat[own]
+        owner, starts = part[segment], starts + begin[segment]
         cos = lat @ self.latent.T
-        rows, cols = np.nonzero(cos >= COSINE)
-        n = len(self.queries)
-        pairs, which = np.unique(owner[rows] * n + cols, return_inverse=True)
-        able, mine, lists = np.zeros(len(pairs), bool), -1, {}
-        for i, (p, q) in enumerate(zip(*(x.tolist() for x in np.divmod(pairs, n)))):
-            if p != mine:                                        # a bound for all of a text, then one for each window
-                mine, lists[p] = p, held[p][1].tolist()
-                here = frozenset(lists[p])
-            able[i] = sum(map(here.__contains__, self.lists[q])) >= CLOSE * len(self.lists[q])
-        keep = able[which]
-        rows, cols = rows[keep], cols[keep]
+        rows, cols = np.nonzero((cos >= COSINE) & able[segment])
         near, around = -1, frozenset()
         for s, q, c in zip(rows.tolist(), cols.tolist(), cos[rows, cols].tolist()):
-            out, part = held[owner[s]]
+            out, words = held[owner[s]]
             start = int(starts[s])
             if s != near:                                        # the words near the window, of any passage's reach
-                near, around = s, frozenset(
-                    lists[owner[s]][max(0, start - PASSAGE):start + BLOCK * BLOCKS + PASSAGE])
+                near, around = s, frozenset(words[max(0, start - PASSAGE):start + BLOCK * BLOCKS + PASSAGE].tolist())
             n = len(self.lists[q])
             if sum(map(around.__contains__, self.lists[q])) < CLOSE * n:
                 continue                                         # no subsequence is longer than that
-            wide = max(0, n - BLOCK * (BLOCKS - 1)) + 4
-            self.check(out, q, part[max(0, start - wide):start + BLOCK * BLOCKS + wide], c)
-        for p, q, begin in self.copies([p for _, p in held]):
-            out, part = held[p]
+            wide = reach(n)
+            self.check(out, q, words[max(0, start - wide):start + BLOCK * BLOCKS + wide], c)
+        for p, q, begin in self.copies(parts):
+            out, words = held[p]
             n = len(self.lists[q])
-            region = part[max(0, begin - 4):begin + n + 4]
+            region = words[max(0, begin - 4):begin + n + 4]
             if sum(map(frozenset(region.tolist()).__contains__, self.lists[q])) < CLOSE * n:
                 continue
-            near = (owner == p) & (starts < begin + n) & (starts + BLOCK * BLOCKS > begin)
-            self.check(out, q, region, float(cos[near, q].max(initial=0.0)))
+            low = max(0, begin - BLOCK * (BLOCKS - 1)) // BLOCK * BLOCK               # of the windows that overlap it
+            _, starts, lat = self.windows([words[low:begin + n + BLOCK * BLOCKS]])
+            near = lat[low + starts < begin + n] @ self.latent[q]
+            self.check(out, q, region, float(near.max(initial=0.0)))
 
     def check(self, out: dict, q: int, region: np.ndarray, c: float) -> None:
         """Enter the passage's item in ``out`` if the region holds it."""
