@@ -5,8 +5,10 @@ vectors into binary codes. Rows are dealt to blocks; in each block the codes are
 cut into substrings and every substring is an index. A code within Hamming radius
 r of a query has a substring within r // SUBSTRINGS of the query's (pigeonhole), so
 probing the substring values that near retrieves all of them; they are reranked by
-the distance of the original vectors. The radius is calibrated on the sample. A
-query with fewer than k codes within it in a block is compared with all of it.
+the distance of the original vectors. The radius is the least that holds RECALL of
+the neighbours of calibration rows among the sample; neighbours among more rows are
+nearer, so that more of them are within it. A query with fewer than k codes within
+it in a block is compared with all of it.
 """
 from __future__ import annotations
 
@@ -19,6 +21,7 @@ from .common import materialise
 
 SAMPLE = 8_192          # rows the rotation and the radius are learned from, at most
 CALIBRATION = 256       # queries among them
+RECALL = 0.97           # share of their neighbours that the radius holds, at least
 BITS = 64               # at most; fewer dimensions give fewer bits
 SUBSTRINGS = 4
 BLOCK = 16_384          # rows of a block, about
@@ -27,8 +30,8 @@ QUERY_BLOCK = 4_096     # queries compared with a block at a time, about
 
 def learn(x: np.ndarray, k: int, rounds: int = 30) -> tuple[np.ndarray, np.ndarray, int]:
     """(mean, projection, radius) from sample rows: PCA directions rotated so that
-    signs lose least, and the largest Hamming distance at which a true neighbour
-    of a calibration row was seen."""
+    signs lose least, and the Hamming distance within which RECALL of the true
+    neighbours of the calibration rows are."""
     mean = x.mean(0)
     _, _, vt = np.linalg.svd(x - mean, full_matrices=False)
     p = vt[:BITS].T
@@ -39,13 +42,13 @@ def learn(x: np.ndarray, k: int, rounds: int = 30) -> tuple[np.ndarray, np.ndarr
         r = (u @ wt).T
     p = p @ r
     bits = (x - mean) @ p > 0
-    radius = 0
+    far = []
     for i in range(0, len(x), max(1, len(x) // CALIBRATION)):
         d = ((x - x[i]) ** 2).sum(1)
         d[i] = np.inf
         near = np.argsort(d)[:k]
-        radius = max(radius, int((bits[near] != bits[i]).sum(1).max(initial=0)))
-    return mean, p, radius
+        far.append((bits[near] != bits[i]).sum(1))
+    return mean, p, int(np.quantile(np.concatenate(far), RECALL, method="higher"))
 
 
 class BlockIndex:
@@ -54,11 +57,7 @@ class BlockIndex:
     def __init__(self, bits: np.ndarray):
         self.cuts = np.array_split(np.arange(bits.shape[1]), min(SUBSTRINGS, bits.shape[1]))
         self.codes = [self.value(bits, c) for c in self.cuts]
-        self.tables = []
-        for v in self.codes:
-            order = np.argsort(v, kind="stable")
-            values, first = np.unique(v[order], return_index=True)
-            self.tables.append((order, values, np.append(first, len(order))))
+        self.tables = [np.unique(v, return_inverse=True) for v in self.codes]
 
     @staticmethod
     def value(bits: np.ndarray, cut: np.ndarray) -> np.ndarray:
@@ -68,10 +67,8 @@ class BlockIndex:
         """Rows whose code is within ``radius`` of one query's."""
         q = [int(self.value(bits[None, :], c)[0]) for c in self.cuts]
         found = np.zeros(len(self.codes[0]), bool)
-        for (order, values, first), v in zip(self.tables, q):
-            near = np.flatnonzero(np.bitwise_count(values ^ np.uint64(v)) <= radius // len(self.cuts))
-            for i in near.tolist():
-                found[order[first[i]:first[i + 1]]] = True
+        for (values, bucket), v in zip(self.tables, q):
+            found |= (np.bitwise_count(values ^ np.uint64(v)) <= radius // len(self.cuts))[bucket]
         rows = np.flatnonzero(found)
         far = sum(np.bitwise_count(c[rows] ^ np.uint64(v)).astype(np.int64) for c, v in zip(self.codes, q))
         return rows[far <= radius]
@@ -85,6 +82,7 @@ def _search(model, k: int):
         if len(rows) and len(queries):
             x, ids = np.array(rows["embedding"].tolist(), np.float64), rows["vec_id"].to_numpy()
             index = BlockIndex((x - mean) @ p > 0)
+            squares = (x ** 2).sum(1)
             qs = np.array(queries["embedding"].tolist(), np.float64)
             codes = (qs - mean) @ p > 0
             for q, code, qid in zip(qs, codes, queries["vec_id"].tolist()):
@@ -92,6 +90,9 @@ def _search(model, k: int):
                 near = near[ids[near] != qid]
                 if len(near) < k:
                     near = np.flatnonzero(ids != qid)
+                if len(near) > k:                                # a product first, the measure itself for the nearest
+                    d, size = squares[near] - 2 * (x[near] @ q), squares[near].max() + q @ q
+                    near = near[d <= np.partition(d, k - 1)[k - 1] + 1e-9 * size]
                 d = np.sqrt(((x[near] - q) ** 2).sum(1))
                 if len(near) > k:
                     cut = np.partition(d, k - 1)[k - 1]
