@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import PARTITION_FIELDS
-from .quarantine import landing_lines, parsed_lines
+from .quarantine import landing_lines, made_once, parsed_lines
 
 RESCUED = "rescued"
 
@@ -21,9 +21,9 @@ def rescued_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     names = [f.name for f in schema.fields]
     rows = parsed_lines(landing_lines(spark, path), schema).filter(~F.col("bad"))
     fields = F.from_json("line", T.MapType(T.StringType(), T.VariantType()))
-    other = F.map_filter(fields, lambda k, _: ~k.isin(names))
+    rows = made_once(rows, "other", F.map_filter(fields, lambda k, _: ~k.isin(names)))
     return rows.select(*[F.col(f"item.{n}").alias(n) for n in names], *[f.name for f in PARTITION_FIELDS],
-                       F.when(F.size(other) > 0, other).alias(RESCUED))
+                       F.when(F.size("other") > 0, F.col("other")).alias(RESCUED))
 
 
 def detected_fields(rows: DataFrame) -> DataFrame:

@@ -1,12 +1,15 @@
-"""What landing and scanning cost: bytes landed and rows moved before they are widened."""
+"""What landing and scanning cost: bytes landed, rows moved before they are widened, parses a line."""
 import datetime as dt
 import gzip
+import json
 import os
 
 import pytest
 
 from chartlake.plans import binding
 from chartlake.plans.models import to_lines, workspace
+from chartlake.schemas import RAW_ARTIST, RAW_TRACK
+from chartlake.sources.detect import detected_fields, rescued_rows, with_detected
 from chartlake.sources.landing import read_raw_artists, read_raw_tracks
 
 
@@ -55,3 +58,21 @@ def test_rows_travel_before_the_items_are_built(spark, tables):
     assert "track:" in tracks[:tracks.index("REBALANCE_PARTITIONS_BY_COL")]
     artists = plan(binding.raw_artists(spark, tables))
     assert "Join" not in artists[artists.rindex("REBALANCE_PARTITIONS_BY_COL"):artists.index("lineitem.parquet")]
+
+
+@pytest.mark.parametrize("schema", [RAW_TRACK, RAW_ARTIST])
+def test_a_line_is_parsed_once(spark, tmp_dir, schema):
+    os.makedirs(f"{tmp_dir}/year=2024/month=01/day=02")
+    lines = [json.dumps({"id": "1", "popularity": 3, "more": 7}), json.dumps({"id": "2", "popularity": "x"}),
+             '{"id": "3"', "null", "  ", json.dumps({"id": "4"})]
+    with open(f"{tmp_dir}/year=2024/month=01/day=02/a.json", "w") as f:
+        f.write("\n".join(lines))
+    read = read_raw_tracks if schema is RAW_TRACK else read_raw_artists
+    rows = read(spark, tmp_dir)
+    assert plan(rows).split("DataFilters")[0].count("from_json") == 1
+    assert sorted((r.id, r.popularity) for r in rows.collect()) == [("1", 3), ("4", None)]
+    drifted = rescued_rows(spark, tmp_dir, schema)
+    fields = detected_fields(drifted)
+    assert plan(fields).split("DataFilters")[0].count("from_json") == 2          # the schema's fields, and all as VARIANT
+    assert [tuple(r) for r in fields.collect()] == [("more", "BIGINT", 1)]
+    assert sorted((r.id, r.more) for r in with_detected(drifted).collect()) == [("1", 7), ("4", None)]
