@@ -8,6 +8,7 @@ import pytest
 
 from chartlake.plans import binding
 from chartlake.plans.models import to_lines, workspace
+from chartlake.plans.tables import RunFolders
 from chartlake.schemas import RAW_ARTIST, RAW_TRACK
 from chartlake.sources.detect import detected_fields, rescued_rows, with_detected
 from chartlake.sources.landing import read_raw_artists, read_raw_tracks
@@ -76,3 +77,25 @@ def test_a_line_is_parsed_once(spark, tmp_dir, schema):
     assert plan(fields).split("DataFilters")[0].count("from_json") == 2          # the schema's fields, and all as VARIANT
     assert [tuple(r) for r in fields.collect()] == [("more", "BIGINT", 1)]
     assert sorted((r.id, r.more) for r in with_detected(drifted).collect()) == [("1", 7), ("4", None)]
+
+
+def test_rows_that_lie_together_are_not_moved_again(spark, tmp_dir):
+    rows = spark.range(40).selectExpr("id", "date'2024-01-01' d").repartition(4)
+    moved = {}
+    for clustered in (False, True):
+        root = f"{tmp_dir}/{clustered}"
+        assert RunFolders(spark, root).write(rows, ["d"], clustered).count() == 40
+        moved[clustered] = sum(f.endswith(".parquet") for _, _, names in os.walk(root) for f in names)
+    assert moved == {False: 1, True: 4}
+
+
+def test_staged_snapshots_are_whole(spark, tables):
+    ws = workspace(spark, tables)
+    assert sorted((str(r.track_snapshot_date), r.track_id or "") for r in ws.stg_tracks().collect()) == [
+        ("1996-01-01", "T1"), ("1996-01-01", "T1"), ("1996-01-01", "T2"), ("1996-02-01", "T2"),
+        ("1996-02-01", "T9"), ("None", "")]
+    for kind, staged in (("tracks", "stg_tracks"), ("artists", "stg_artists")):
+        ws.snapshot_dates(kind)
+        files = {root: sum(f.startswith("part-") for _, _, names in os.walk(root) for f in names)
+                 for root in (f"{ws.land()}/{kind}", f"{ws.base}/{staged}")}
+        assert len(set(files.values())) == 1                     # one staged file for a landed one
