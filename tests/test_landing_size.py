@@ -3,6 +3,8 @@ import datetime as dt
 import gzip
 import json
 import os
+import time
+from types import SimpleNamespace
 
 import pytest
 
@@ -10,6 +12,7 @@ from chartlake.plans import binding
 from chartlake.plans.models import to_lines, workspace
 from chartlake.plans.tables import RunFolders
 from chartlake.schemas import RAW_ARTIST, RAW_TRACK
+from chartlake.session import drop_shuffle_files
 from chartlake.sources.detect import detected_fields, rescued_rows, with_detected
 from chartlake.sources.landing import read_raw_artists, read_raw_tracks
 
@@ -99,3 +102,40 @@ def test_staged_snapshots_are_whole(spark, tables):
         files = {root: sum(f.startswith("part-") for _, _, names in os.walk(root) for f in names)
                  for root in (f"{ws.land()}/{kind}", f"{ws.base}/{staged}")}
         assert len(set(files.values())) == 1                     # one staged file for a landed one
+
+
+def shuffle_files(spark) -> set[str]:
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for root in folders for _, _, names in os.walk(root.getPath()) for f in names
+            if f.startswith("shuffle_") and f.endswith(".data")}
+
+
+def test_written_layers_leave_no_shuffle_files(spark, tables):
+    ws = workspace(spark, tables)
+    before = shuffle_files(spark)
+    assert ws.fact().count() == 6                                # lands, stages, builds the dimensions and the fact
+    deadline = time.time() + 10                                  # removed behind the query's end
+    while shuffle_files(spark) - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    stored = [f for layer in ws.tables for _, _, names in os.walk(f"{ws.base}/{layer}") for f in names if f.startswith("part-")]
+    assert stored and all(f.endswith(".zstd.parquet") for f in stored)
+
+
+def test_the_launchers_word_on_shuffle_files_counts():
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    for launched in (True, False):
+        said = {}
+        conf = SimpleNamespace(contains=lambda k: launched)
+        drop_shuffle_files(SimpleNamespace(sparkContext=SimpleNamespace(getConf=lambda: conf),
+                                           conf=SimpleNamespace(set=said.__setitem__)))
+        assert said == ({} if launched else {key: "true"})
+
+
+def test_only_what_an_item_needs_travels_to_its_snapshot(spark, tables):
+    tracks = plan(to_lines(binding.raw_tracks(spark, tables)))
+    moved = tracks[:tracks.index("REBALANCE_PARTITIONS_BY_COL")]
+    for read in ("l_quantity", "l_extendedprice", "l_shipdate", "o_totalprice", "o_orderpriority"):
+        assert read not in moved
+    below = tracks[tracks.index("REBALANCE_PARTITIONS_BY_COL"):]
+    assert "o_orderkey" in [line for line in below.split("\n") if "Join" in line][-1]      # the first join made
