@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import held
+
 FOLDS = 5                # documents whose crc32(doc_id) is divisible by it are held out
 SAMPLE_DOCS = 24         # labelled documents a language is learned from, at most
 SAMPLE_CHARS = 4_000     # characters of each, at most (of a longer one a piece, placed by a hash)
@@ -31,7 +33,6 @@ FEW = 16                 # when fewer are left, each is parsed by itself
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 LETTER = r"[\p{L}\p{Nl}\p{No}]"        # what they hold, to Spark
-_models: dict = {}
 
 
 def normalise(text: str) -> str:
@@ -211,28 +212,25 @@ class Parser:
 
 def _predict(samples: tuple, keep: bool):
     def run(batches):
-        if samples not in _models:
-            _models.clear()
-            _models[samples] = Parser({k: list(v) for k, v in samples})
-        model = _models[samples]
-        for b in batches:
-            out = []
-            for text in _slices(b.column(2)):
-                out += model.predict(text.to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([x for x, _ in out], pa.string()),
-                 pa.array([x for _, x in out], pa.float64()), *b.columns[3 - keep:]],
-                names=["row", "held_out", "lang_pred", "score", "text"][:4 + keep])
+        model = held(("langid", samples), lambda: Parser({k: list(v) for k, v in samples}))
+        for whole in batches:
+            for b in _slices(whole):
+                out = model.predict(b.column(2).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), b.column(1), pa.array([x for x, _ in out], pa.string()),
+                     pa.array([x for _, x in out], pa.float64()), *b.columns[3 - keep:]],
+                    names=["row", "held_out", "lang_pred", "score", "text"][:4 + keep])
     return run
 
 
-def _slices(texts: pa.Array):
-    """``texts`` in stretches of about CHARS bytes: only those stand in memory as Python strings."""
-    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+def _slices(batch: pa.RecordBatch):
+    """``batch`` in stretches of about CHARS bytes of text: only those stand in memory as Python
+    strings, and no more goes back to Spark at once."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False))
     at = 0
-    while at < len(texts):
+    while at < len(sizes):
         to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + CHARS)))
-        yield texts.slice(at, to - at)
+        yield batch.slice(at, to - at)
         at = to
 
 

@@ -18,16 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gapless_index, materialise
+from .common import gapless_index, held, materialise
 
 CAPACITY = 2048
 END = 0                       # id after each document
-CACHE = 500_000               # words of a generation; a worker keeps the ids of two
+CACHE = 200_000               # words of a generation; a worker keeps the ids of two
 SLICE = 300_000               # characters tokenised at a time
 
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 _RUN = re.compile(r"\s\s")
-_state: dict = {}
 
 
 def byte_letters() -> dict[str, int]:
@@ -111,9 +110,7 @@ class Encoder:
 def _encoder(path: str) -> Encoder:
     import os
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    if path not in _state:
-        _state[path] = Encoder(path)
-    return _state[path]
+    return held(("packing", path), lambda: Encoder(path))
 
 
 def cut(ids: bytes, capacity: int = CAPACITY) -> list[tuple[int, int, int, int]]:

@@ -1,4 +1,9 @@
 """The pipeline at small scale: every stage's rows against its own definition."""
+import gc
+import weakref
+
+import pyarrow as pa
+
 import corpus_pipeline
 from chartlake.llm import langid, packing, pii
 from chartlake.llm.common import materialise
@@ -49,3 +54,36 @@ def test_stages_take_any_table(spark, tmp_path):
         assert "b.org" not in " ".join(r.text for r in docs.collect())
         pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
         assert {r.doc_id for r in pieces} == kept
+
+
+def test_a_worker_keeps_one_operators_things():
+    from chartlake.llm.common import held
+    made = []
+
+    def make():
+        made.append(1)
+        return object()
+
+    first = held(("langid", 1), make)
+    assert held(("langid", 1), make) is first and len(made) == 1
+    model = type("Model", (), {})
+    gone = weakref.ref(held(("langid", 2), model))
+    assert gone() is not None
+    held(("packing", "file"), make)
+    gc.collect()
+    assert gone() is None                        # dropped when the next operator came
+
+
+def test_language_batches_come_back_in_stretches(monkeypatch):
+    from chartlake.llm import langid
+    monkeypatch.setattr(langid, "CHARS", 100)
+    texts = ["the cat sat on the mat"] * 9 + [None, "", "x" * 300, "le chat est sur la table"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([False] * len(texts)), pa.array(texts)],
+                                       names=["row", "held_out", "text"])
+    samples = (("en", ("the cat and the dog sat on the mat",)), ("fr", ("le chien et le chat sur la table",)))
+    out = list(langid._predict(samples, True)(iter([batch])))
+    assert len(out) > 2 and max(b.column(3).nbytes for b in out) < batch.column(2).nbytes
+    rows = pa.Table.from_batches(out)
+    assert rows["row"].to_pylist() == list(range(len(texts))) and rows["text"].to_pylist() == texts
+    whole = langid.Parser({k: list(v) for k, v in samples}).predict(texts)
+    assert list(zip(rows["lang_pred"].to_pylist(), rows["score"].to_pylist())) == whole
