@@ -2,7 +2,7 @@
 from .dims import dim_albums, dim_artists
 from .enrich import (enrich_artists, enrichment_candidates, latest_snapshot,
                      lookup_details, shape_details, snapshot_entities, to_parallel_arrays, zip_arrays)
-from .fact import album_join_key, build_fact
+from .fact import FACT_TRACK_COLUMNS, album_join_key, build_fact
 from .latest import latest_by_key
 from .marts import (genre_distribution, item_changes, list_changes, popularity_trends, present,
                     presentation_order,

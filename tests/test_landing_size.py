@@ -8,7 +8,8 @@ from types import SimpleNamespace
 
 import pytest
 
-from chartlake.plans import binding
+from chartlake.operators import FACT_TRACK_COLUMNS
+from chartlake.plans import batches, binding, models
 from chartlake.plans.models import to_lines, workspace
 from chartlake.plans.tables import RunFolders
 from chartlake.schemas import RAW_ARTIST, RAW_TRACK
@@ -139,3 +140,72 @@ def test_only_what_an_item_needs_travels_to_its_snapshot(spark, tables):
         assert read not in moved
     below = tracks[tracks.index("REBALANCE_PARTITIONS_BY_COL"):]
     assert "o_orderkey" in [line for line in below.split("\n") if "Join" in line][-1]      # the first join made
+
+
+def test_every_row_falls_into_one_stretch(spark, monkeypatch):
+    rows = spark.sql("""select if(i % 10 = 0, null, date_add(date'2024-01-01', int(if(i < 60, 3, i % 7)))) d, i
+                        from (select explode(sequence(0, 99)) i)""")
+    assert batches.snapshot_batches(rows, "d") == [None]
+    monkeypatch.setattr(batches, "BATCH_ROWS", 10)
+    monkeypatch.setattr(batches, "MAX_BATCHES", 5)
+    cuts = batches.snapshot_batches(rows, "d")
+    parts = [[r.i for r in rows.filter(c).collect()] for c in cuts]
+    assert 1 < len(cuts) <= 5 and all(parts)
+    assert sorted(i for part in parts for i in part) == list(range(100))
+    assert batches.snapshot_batches(rows.filter("d is null"), "d") == [None]
+
+
+def test_layers_in_stretches_are_whole_and_count_at_the_end(spark, tables, monkeypatch):
+    whole = workspace(spark, tables)
+    tracks, fact = (sorted(map(repr, df.collect())) for df in (whole.stg_tracks(), whole.fact()))
+    monkeypatch.setattr(batches, "BATCH_ROWS", 1)
+    done = []
+
+    def backfill(lines, path, finished=True, real=models.backfill):
+        real(lines, path, finished)
+        done.append((os.path.basename(path), os.path.exists(f"{path}/_SUCCESS")))
+
+    monkeypatch.setattr(models, "backfill", backfill)
+    monkeypatch.setattr(models, "_WORKSPACES", {})
+    ws = workspace(spark, f"{tables}/.")                          # the same tables, layers of their own
+    assert sorted(map(repr, ws.fact().collect())) == fact
+    assert sorted(map(repr, ws.stg_tracks().collect())) == tracks
+    for kind in ("tracks", "artists"):
+        marks = [m for k, m in done if k == kind]
+        assert len(marks) > 1 and marks == [False] * (len(marks) - 1) + [True]
+
+
+def test_a_failed_feed_is_not_gone_on_with(spark, tables, monkeypatch):
+    ws, real = workspace(spark, tables), models.backfill
+    artists = ws.land("artists")
+    assert not os.path.exists(f"{artists}/tracks")               # a query on artists alone lands no tracks
+
+    def broken(lines, path, finished=True):
+        real(lines, path, False)
+        raise OSError("lost")
+
+    monkeypatch.setattr(models, "backfill", broken)
+    with pytest.raises(OSError):
+        ws.land("tracks")
+    monkeypatch.setattr(models, "backfill", real)
+    landed = ws.land()
+    assert landed != artists and read_raw_tracks(spark, f"{landed}/tracks").count() == 6
+    assert read_raw_artists(spark, f"{landed}/artists").count() == 3
+
+
+def test_alike_lines_lie_next_to_each_other(spark, tables):
+    feed = f"{workspace(spark, tables).land('tracks')}/tracks"
+    for d, _, names in os.walk(feed):
+        for f in names:
+            if f.startswith("part-"):
+                items = [json.loads(line) for line in gzip.open(f"{d}/{f}", "rt")]
+                keys = [(i["artists"][0]["id"], i["id"] or "") for i in items]
+                assert keys == sorted(keys)
+
+
+def test_bucketed_tracks_hold_what_the_join_reads(spark, tables, monkeypatch):
+    monkeypatch.setattr(batches, "BATCH_ROWS", 1)
+    ws = workspace(spark, tables)
+    tracks, _ = ws.bucketed_star()
+    assert tracks.columns == [*FACT_TRACK_COLUMNS, "album_key"] and tracks.count() == 6
+    assert all(f.endswith(".zstd.parquet") for f in map(os.path.basename, tracks.inputFiles()))
