@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import operators as ops
 from ..schemas import RAW_ARTIST, RAW_TRACK, with_partitions
+from ..session import PARQUET
 from ..sources.quarantine import good_rows, landing_lines
 
 BATCH = "batch"
@@ -46,7 +47,7 @@ def start_dimension_stream(spark: SparkSession, landing_root: str, kind: str, ou
               .groupBy(key).agg(F.max(F.struct(*order)).alias("row")))
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.select(key, "row.*").write.mode("overwrite").parquet(f"{out}/{BATCH}={number}")
+        batch.select(key, "row.*").write.mode("overwrite").options(**PARQUET).parquet(f"{out}/{BATCH}={number}")
 
     return (newest.writeStream.foreachBatch(write)
                   .outputMode("update")

@@ -209,3 +209,33 @@ def test_bucketed_tracks_hold_what_the_join_reads(spark, tables, monkeypatch):
     tracks, _ = ws.bucketed_star()
     assert tracks.columns == [*FACT_TRACK_COLUMNS, "album_key"] and tracks.count() == 6
     assert all(f.endswith(".zstd.parquet") for f in map(os.path.basename, tracks.inputFiles()))
+
+
+def test_the_fact_comes_in_shorter_stretches(spark, tables, monkeypatch):
+    rows = spark.sql("select date_add(date'2024-01-01', int(i % 40)) d from (select explode(sequence(0, 399)) i)")
+    monkeypatch.setattr(batches, "BATCH_ROWS", 40)
+    monkeypatch.setattr(batches, "MAX_BATCHES", 5)
+    assert [len(batches.snapshot_batches(rows, "d", finer)) for finer in (1, 2)] == [5, 10]
+    ws, written = workspace(spark, tables), []
+    real = RunFolders.write_batches
+    monkeypatch.setattr(batches, "BATCH_ROWS", 2)
+    monkeypatch.setattr(RunFolders, "write_batches", lambda self, frames, *a, **k: written.append(
+        (os.path.basename(self.root), len(frames))) or real(self, frames, *a, **k))
+    assert ws.fact().count() == 6
+    assert dict(written)["fct_snapshot_top_items"] == 3
+
+
+def test_a_dimension_by_parts_of_its_keys(spark, tables, monkeypatch):
+    from chartlake.plans import registry
+    whole = {q: sorted(map(repr, registry.QUERIES[q](spark, tables).collect())) for q in ("upsert_albums", "upsert_parts")}
+    monkeypatch.setattr(batches, "BATCH_ROWS", 1)
+    made, create = [], registry.ops.PartTable.create
+    monkeypatch.setattr(registry.ops.PartTable, "create", lambda self, *frames: made.append(len(frames)) or create(self, *frames))
+    for q, rows in whole.items():
+        assert sorted(map(repr, registry.QUERIES[q](spark, tables).collect())) == rows and len(rows) == 3
+    assert made and made[0] > 1
+    parts = [f for d, _, names in os.walk(workspace(spark, tables).base) if "/parts-" in d for f in names if f.startswith("part-")]
+    assert parts and all(f.endswith(".zstd.parquet") for f in parts)
+    keyed = spark.range(30).selectExpr("if(id % 3 = 0, null, id % 7) k", "id")
+    split = [[r.id for r in part.collect()] for part in batches.key_batches(keyed, "k")]
+    assert sorted(i for part in split for i in part) == list(range(30)) and len(split) == batches.MAX_BATCHES
