@@ -216,13 +216,13 @@ def test_the_fact_comes_in_shorter_stretches(spark, tables, monkeypatch):
     monkeypatch.setattr(batches, "BATCH_ROWS", 40)
     monkeypatch.setattr(batches, "MAX_BATCHES", 5)
     assert [len(batches.snapshot_batches(rows, "d", finer)) for finer in (1, 2)] == [5, 10]
-    ws, written = workspace(spark, tables), []
-    real = RunFolders.write_batches
-    monkeypatch.setattr(batches, "BATCH_ROWS", 2)
-    monkeypatch.setattr(RunFolders, "write_batches", lambda self, frames, *a, **k: written.append(
-        (os.path.basename(self.root), len(frames))) or real(self, frames, *a, **k))
-    assert ws.fact().count() == 6
-    assert dict(written)["fct_snapshot_top_items"] == 3
+    asked, real = [], batches.snapshot_batches
+    monkeypatch.setattr(models, "snapshot_batches",
+                        lambda rows, date, finer=1: asked.append((date, finer)) or real(rows, date, finer))
+    ws = workspace(spark, tables)
+    ws.land()
+    assert asked == [("d", 1), ("d", 2)]                          # artists, tracks
+    assert ws.fact().count() == 6 and asked[2:] == [("track_snapshot_date", 2)]
 
 
 def test_a_dimension_by_parts_of_its_keys(spark, tables, monkeypatch):
