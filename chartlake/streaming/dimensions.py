@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import operators as ops
 from ..schemas import RAW_ARTIST, RAW_TRACK, with_partitions
-from ..session import PARQUET
+from ..session import PARQUET, state_on_disk
 from ..sources.quarantine import good_rows, landing_lines
 
 BATCH = "batch"
@@ -41,6 +41,7 @@ def start_dimension_stream(spark: SparkSession, landing_root: str, kind: str, ou
     is the feed folder (…/tracks for albums, …/artists for artists). Lines that
     don't fit the feed's schema and rows without a key are left out.
     ``read_dimension`` gives the dimension."""
+    state_on_disk(spark)
     schema, stage, _, key, order = _KINDS[kind]
     lines = landing_lines(spark, landing_root, stream=True, max_files_per_trigger=max_files_per_trigger)
     newest = (stage(good_rows(lines, schema)).filter(F.col(key).isNotNull())

@@ -1,12 +1,18 @@
 """What a layer costs again for each stretch, and what grows with its rows: stretches, sorts, state, listings."""
 import datetime as dt
+import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from chartlake.plans import batches, binding
 from chartlake.plans.models import to_lines
+from chartlake.session import STATE_CONF
 from test_landing_size import plan, tables  # noqa: F401
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
 def test_a_layer_is_cut_into_few_stretches(spark, monkeypatch):
     rows = spark.sql("select date_add(date'2024-01-01', int(i)) d from (select explode(sequence(0, 99)) i)")
     monkeypatch.setattr(batches, "BATCH_ROWS", 1)            # more rows than any number of stretches holds
@@ -45,3 +51,22 @@ def test_release_texts_are_those_of_a_format(spark):
     got = df.select(binding.release_fields()[0].alias("got"), want.alias("want")).collect()
     assert len(got) == 28 and all(r.got == r.want for r in got)
     assert {"1996-03-04", "-18004", "201996-01", "null", None} <= {r.got for r in got}
+
+
+@pytest.mark.parametrize("said", [None, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"])
+def test_a_streams_state_lies_on_disk_unless_told_otherwise(spark, tables, said):  # noqa: F811
+    from chartlake.plans.models import workspace
+    from chartlake.streaming import read_dimension, start_dimension_stream
+    other = spark.newSession()                               # a session that isn't ours
+    for key in STATE_CONF:
+        other.conf.unset(key)
+    if said:
+        other.conf.set(PROVIDER, said)
+    run = f"{tables}/{uuid.uuid4().hex[:8]}"
+    q = start_dimension_stream(other, f"{workspace(spark, tables).land('tracks')}/tracks", "albums", f"{run}/dim", f"{run}/checkpoint")
+    q.awaitTermination()
+    assert q.exception() is None
+    state = q.recentProgress[0].stateOperators[0]
+    assert state.numRowsTotal == 3 and any(m.startswith("rocksdb") for m in state.customMetrics) == (said is None)
+    assert other.conf.get(PROVIDER) == (said or STATE_CONF[PROVIDER])
+    assert sorted(r.album_id for r in read_dimension(other, f"{run}/dim", "albums").collect()) == ["L1", "L2", "L3"]
