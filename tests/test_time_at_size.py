@@ -5,7 +5,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from chartlake.plans import batches, binding
+from chartlake.plans import batches, binding, registry
 from chartlake.plans.models import to_lines
 from chartlake.session import STATE_CONF
 from test_landing_size import plan, tables  # noqa: F401
@@ -70,3 +70,12 @@ def test_a_streams_state_lies_on_disk_unless_told_otherwise(spark, tables, said)
     assert state.numRowsTotal == 3 and any(m.startswith("rocksdb") for m in state.customMetrics) == (said is None)
     assert other.conf.get(PROVIDER) == (said or STATE_CONF[PROVIDER])
     assert sorted(r.album_id for r in read_dimension(other, f"{run}/dim", "albums").collect()) == ["L1", "L2", "L3"]
+
+
+@pytest.mark.parametrize("query", ["upsert_albums", "upsert_artists"])
+def test_the_newest_snapshot_is_taken_from_the_listing(spark, tables, query):  # noqa: F811
+    df = registry.QUERIES[query](spark, tables)
+    text = plan(df)
+    assert df.count() > 0 and "Subquery" in text
+    # The older rows, the newest ones and their keys; the newest date comes from a row per folder.
+    assert text.count("FileScan") == 3 and "Scan ExistingRDD" in text
